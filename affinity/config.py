@@ -13,6 +13,12 @@ from pyspark.sql import SparkSession
 # shuffle or by bucket.
 BROADCAST_ROWS = 1_000_000
 
+# Rows up to which a table that is read in every step of a loop stays persisted.
+PERSIST_ROWS = 100_000_000
+
+# Rows below which splitting a table further costs more than it saves.
+TASK_ROWS = 50_000
+
 # Rows that one bucket or one group of a join key may hold before it is split.
 GROUP_ROWS = 4_000_000
 

@@ -11,27 +11,32 @@ once. All values of lambda share the joins and shuffles as columns, and the runs
 of different length share their first iterations, so a whole grid costs as much
 as its longest run. Users start at 1, the one-dimensional unit vector.
 
-Pairs (user, item) rated more than once count once per rating.
+The ratings are laid out once, hashed on the user, and never shuffled again:
+item factors are broadcast to them when their number is known to be small, and
+otherwise joined with a second layout hashed on the item. Pairs (user, item) rated
+more than once are one row there, and count once per rating.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.config import BROADCAST_ROWS, GROUP_ROWS
+from affinity.config import BROADCAST_ROWS, GROUP_ROWS, PERSIST_ROWS, TASK_ROWS
 from affinity.workspace import Workspace
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes above which a side is no longer broadcast, or a group is split."""
+    """Sizes above which a table is not broadcast, not persisted, or a group is split."""
 
     broadcast_rows: int = BROADCAST_ROWS
+    persist_rows: int = PERSIST_ROWS
     group_rows: int = GROUP_ROWS
 
 
@@ -56,48 +61,68 @@ class GridFit:
 
 @dataclass(frozen=True)
 class _Side:
-    """One of the two keys of the pairs: how many values it has and which are hot."""
+    """One of the two keys: its values, its hot groups, and the pairs laid out by it."""
 
     key: str
     rows: int
     small: bool
+    buckets: int
     hot: DataFrame | None
-    bucketed: DataFrame | None = field(default=None)
+    pairs: DataFrame | None
 
+    @property
+    def keys(self) -> list[str]:
+        return [self.key] if self.hot is None else [self.key, "part"]
 
-def _measure(pairs: DataFrame, key: str, limits: Limits) -> tuple[int, int, int]:
+
+def _measure(pairs: DataFrame, key: str) -> tuple[int, int, int]:
     """(values, largest group, pairs) of a key, exactly."""
     sizes = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return tuple(
-        sizes.agg(
-            F.count(F.lit(1)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))
-        ).first()
-    )
+    values, largest, total = sizes.agg(F.count(F.lit(1)), F.max("size"), F.sum("size")).first()
+    return values, largest or 0, total or 0
 
 
 def _hot_groups(pairs: DataFrame, key: str, group_rows: int) -> DataFrame:
     """Keys with more pairs than a group may hold, and the parts to split each into.
 
-    There are at most pairs / group_rows of them.
+    There are fewer than pairs / group_rows of them.
     """
     sizes = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
     parts = F.ceil(F.col("size") / F.lit(group_rows)).cast("int")
     return sizes.filter(F.col("size") > group_rows).select(key, parts.alias("parts"))
 
 
-def _split_pairs(pairs: DataFrame, side: _Side, other: str) -> DataFrame:
-    """Pairs with a ``part``: hot groups are spread by the other key."""
-    if side.hot is None:
-        return pairs
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    return (
-        pairs.join(F.broadcast(side.hot), side.key, "left")
-        .withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int"))
-        .drop("parts")
-    )
+def _layout(
+    workspace: Workspace, name: str, pairs: DataFrame, key: str, other: str, limits: Limits
+) -> _Side:
+    """Measure a key and lay the pairs out by it where some step needs that.
+
+    The user's layout always exists; the item's only when items cannot be broadcast.
+    """
+    rows, largest, total = _measure(pairs, key)
+    small = rows <= limits.broadcast_rows
+    cores = workspace.spark.sparkContext.defaultParallelism
+    buckets = max(min(cores, -(-total // TASK_ROWS)), -(-total // limits.group_rows), 1)
+    if small and key == "movieId":
+        return _Side(key, rows, small, buckets, None, None)
+    if small and total <= limits.persist_rows:
+        kept = pairs.repartition(buckets, key).persist(StorageLevel.MEMORY_AND_DISK)
+        return _Side(key, rows, small, buckets, None, kept)
+    hot = None
+    if largest > limits.group_rows:
+        hot = workspace.write(f"{name}/hot_{key}", _hot_groups(pairs, key, limits.group_rows))
+        parts = F.coalesce(F.col("parts"), F.lit(1))
+        pairs = (
+            pairs.join(F.broadcast(hot), key, "left")
+            .withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int"))
+            .drop("parts")
+        )
+    keys = [key] if hot is None else [key, "part"]
+    table = workspace.write_bucketed(f"{name}/by_{key}", pairs, keys, buckets)
+    return _Side(key, rows, small, buckets, hot, table)
 
 
-def _spread_factors(factors: DataFrame, side: _Side) -> DataFrame:
+def _per_part(factors: DataFrame, side: _Side) -> DataFrame:
     """Factors once per part of their key."""
     if side.hot is None:
         return factors
@@ -109,40 +134,37 @@ def _spread_factors(factors: DataFrame, side: _Side) -> DataFrame:
     )
 
 
-def _keys(side: _Side) -> list[str]:
-    return [side.key] if side.hot is None else [side.key, "part"]
-
-
-def _with_factors(pairs: DataFrame, factors: DataFrame, side: _Side) -> DataFrame:
+def _with_factors(factors: DataFrame, side: _Side, by_user: _Side) -> DataFrame:
+    """The pairs with the factors of one side."""
     if side.small:
-        return pairs.join(F.broadcast(factors), side.key)
-    return side.bucketed.join(_spread_factors(factors, side), _keys(side))
+        return by_user.pairs.join(F.broadcast(factors), side.key)
+    return side.pairs.join(_per_part(factors, side), side.keys)
 
 
-def _ratio(top: Column, bottom: Column) -> Column:
-    return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
+def _quotient(top: str, bottom: str) -> str:
+    return f"if({bottom} > 0, {top} / ({bottom}), 0D)"
 
 
 def _solve(joined: DataFrame, key: str, lambdas: Sequence[float]) -> DataFrame:
     """Factors ``f0 f1 ...`` of ``key`` from rows with the other side's factors."""
-    sums = [F.sum("n").alias("n")]
-    for j in range(len(lambdas)):
-        f = F.col(f"f{j}")
-        sums.append(F.sum(F.col("s") * f).alias(f"top{j}"))
-        sums.append(F.sum(F.col("n") * f * f).alias(f"bottom{j}"))
-    return joined.groupBy(key).agg(*sums).select(
-        key,
-        *[
-            _ratio(F.col(f"top{j}"), F.col(f"bottom{j}") + F.lit(lam) * F.col("n")).alias(f"f{j}")
-            for j, lam in enumerate(lambdas)
-        ],
-    )
+    sums, factors = ["sum(n) as n"], []
+    for j, lam in enumerate(lambdas):
+        sums += [f"sum(s * f{j}) as top{j}", f"sum(n * f{j} * f{j}) as bottom{j}"]
+        factors.append(f"{_quotient(f'top{j}', f'bottom{j} + {lam!r}D * n')} as f{j}")
+    return joined.groupBy(key).agg(*map(F.expr, sums)).selectExpr(key, *factors)
 
 
 def _first_items(pairs: DataFrame, lambdas: Sequence[float]) -> DataFrame:
     """Item factors while every user factor is 1."""
-    ones = [F.lit(1.0).alias(f"f{j}") for j in range(len(lambdas))]
-    return _solve(pairs.select("movieId", "n", "s", *ones), "movieId", lambdas)
+    ones = [f"1D as f{j}" for j in range(len(lambdas))]
+    return _solve(pairs.selectExpr("movieId", "n", "s", *ones), "movieId", lambdas)
+
+
+def _write_factors(workspace: Workspace, name: str, factors: DataFrame, side: _Side) -> DataFrame:
+    """Written factors; large ones in the buckets of the layout they will be joined with."""
+    if side.small or side.hot is not None:
+        return workspace.write(name, factors)
+    return workspace.write_bucketed(name, factors, side.keys, side.buckets)
 
 
 def fit_grid(
@@ -166,51 +188,35 @@ def fit_grid(
             F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")
         ),
     )
-    sides = {}
-    for key, other in (("userId", "movieId"), ("movieId", "userId")):
-        rows, largest, total = _measure(pairs, key, limits)
-        small = rows <= limits.broadcast_rows
-        hot = None
-        if not small and largest > limits.group_rows:
-            hot = workspace.write(
-                f"{name}/hot_{key}", _hot_groups(pairs, key, limits.group_rows)
-            )
-        side = _Side(key, rows, small, hot)
-        if not small:
-            buckets = max(
-                workspace.spark.sparkContext.defaultParallelism, -(-total // limits.group_rows)
-            )
-            copy = workspace.write_bucketed(
-                f"{name}/by_{key}", _split_pairs(pairs, side, other), _keys(side), buckets
-            )
-            side = _Side(key, rows, small, hot, copy)
-        sides[key] = side
-    by_user, by_item = sides["userId"], sides["movieId"]
+    by_user = _layout(workspace, name, pairs, "userId", "movieId", limits)
+    by_item = _layout(workspace, name, pairs, "movieId", "userId", limits)
 
     users = items = None
     snapshots = {"userId": [], "movieId": []}
     for step in range(1, iterations[-1] + 1):
         if users is None:
-            items = _first_items(pairs, lambdas)
+            items = _first_items(by_user.pairs, lambdas)
         else:
-            items = _solve(_with_factors(pairs, users, by_user), "movieId", lambdas)
+            items = _solve(_with_factors(users, by_user, by_user), "movieId", lambdas)
         if step in iterations:
-            items = workspace.write(f"{name}/items_{step}", items)
-        users = _solve(_with_factors(pairs, items, by_item), "userId", lambdas)
+            items = _write_factors(workspace, f"{name}/items_{step}", items, by_item)
+        users = _solve(_with_factors(items, by_item, by_user), "userId", lambdas)
         if step in iterations or step % cut_every == 0:
-            users = workspace.write(f"{name}/users_{step}", users)
+            users = _write_factors(workspace, f"{name}/users_{step}", users, by_user)
         if step in iterations:
             for key, factors in (("userId", users), ("movieId", items)):
-                named = [F.col(f"f{j}").alias(f"f{step}_{j}") for j in range(len(lambdas))]
-                snapshots[key].append(factors.select(key, *named))
+                named = [f"f{j} as f{step}_{j}" for j in range(len(lambdas))]
+                snapshots[key].append(factors.selectExpr(key, *named))
 
     def wide(key: str) -> DataFrame:
         joined = reduce(lambda a, b: a.join(b, key), snapshots[key])
         return workspace.write(f"{name}/factors_{key}", joined)
 
-    return GridFit(
+    fit = GridFit(
         wide("userId"), wide("movieId"), by_user.rows, by_item.rows, lambdas, iterations
     )
+    by_user.pairs.unpersist()
+    return fit
 
 
 def equation_gaps(model, train: DataFrame, item_rows: int) -> DataFrame:
@@ -218,18 +224,17 @@ def equation_gaps(model, train: DataFrame, item_rows: int) -> DataFrame:
     items = model.items.select("movieId", F.col("factor").alias("v"))
     if item_rows <= BROADCAST_ROWS:
         items = F.broadcast(items)
-    v = F.col("v")
     sums = (
         train.groupBy("userId", "movieId")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"))
         .join(items, "movieId")
         .groupBy("userId")
         .agg(
-            F.sum(v * F.col("s")).alias("top"),
-            (F.sum(v * v * F.col("n")) + F.lit(model.lam) * F.sum("n")).alias("bottom"),
+            F.expr("sum(v * s)").alias("top"),
+            F.expr(f"sum(v * v * n) + {model.lam!r}D * sum(n)").alias("bottom"),
         )
     )
     return model.users.join(sums, "userId").select(
         "userId",
-        F.abs(F.col("factor") - _ratio(F.col("top"), F.col("bottom"))).alias("gap"),
+        F.expr(f"abs(factor - {_quotient('top', 'bottom')})").alias("gap"),
     )

@@ -19,13 +19,24 @@ def decode(messages: DataFrame) -> DataFrame:
     return messages.withColumn("userId", user_id(F.col("value")))
 
 
+def known_among(known: DataFrame, requests: DataFrame) -> DataFrame:
+    """The rows of ``known`` (one per user) whose users occur in ``requests``.
+
+    A batch is small beside the known users; put on the right of a semi-join it is
+    what gets broadcast, and the known users are scanned without a shuffle.
+    """
+    return known.join(requests.select("userId").distinct(), "userId", "left_semi")
+
+
 def known_requests(requests: DataFrame, known: DataFrame) -> DataFrame:
-    return requests.join(known.select("userId").distinct(), "userId", "left_semi")
+    """Requests of users in ``known``, which has one row per user."""
+    return requests.join(known.select("userId"), "userId", "left_semi")
 
 
 def new_requests(requests: DataFrame, known: DataFrame) -> DataFrame:
+    """Readable requests of users not in ``known``."""
     readable = requests.filter(F.col("userId").isNotNull())
-    return readable.join(known.select("userId").distinct(), "userId", "left_anti")
+    return readable.join(known.select("userId"), "userId", "left_anti")
 
 
 def per_user(requests: DataFrame) -> DataFrame:
@@ -57,7 +68,8 @@ def suggest(requests: DataFrame, model: Model, lists: DataFrame) -> DataFrame:
 
     Malformed requests come back as one row without a user.
     """
-    routed = per_user(requests).join(model.users, "userId", "left")
+    asked = per_user(requests)
+    routed = asked.join(known_among(model.users, asked), "userId", "left")
     known = F.col("factor").isNotNull()
     source = (
         F.when(F.col("userId").isNull(), REJECT).when(known, MODEL).otherwise(POPULAR)

@@ -173,18 +173,18 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = serve.decode(requests(spark, sf_dir))
-    return serve.known_requests(asked, stages(spark, sf_dir).train()).select("userId", "value")
+    return serve.known_requests(asked, stages(spark, sf_dir).known_users()).select("userId", "value")
 
 
 def route_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = serve.decode(requests(spark, sf_dir))
-    return serve.new_requests(asked, stages(spark, sf_dir).train()).select("userId", "value")
+    return serve.new_requests(asked, stages(spark, sf_dir).known_users()).select("userId", "value")
 
 
 def cold_start_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stages(spark, sf_dir)
     asked = serve.per_user(serve.decode(requests(spark, sf_dir)))
-    return serve.fallback(serve.new_requests(asked, s.train()), s.popular(), s.movies).select(
+    return serve.fallback(serve.new_requests(asked, s.known_users()), s.popular(), s.movies).select(
         "userId", "requests", "rank", "movieId", "title"
     )
 
@@ -283,15 +283,11 @@ def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing inside the stream: joins of every batch with the known users."""
     s = stages(spark, sf_dir)
     out = _fresh(s, "routed")
-    known = s.train()
-
-    def route(batch: DataFrame) -> DataFrame:
-        old = serve.known_requests(batch, known).select("value", "userId", F.lit("known").alias("route"))
-        new = serve.new_requests(batch, known).select("value", "userId", F.lit("new").alias("route"))
-        return old.union(new)
-
+    known = s.known_users()
     rows = stream.decoded(_replayed(spark, sf_dir))
-    stream.by_batch(rows, route, out, f"{out}-checkpoint").awaitTermination()
+    stream.by_batch(
+        rows, lambda batch: stream.routed(batch, known), out, f"{out}-checkpoint"
+    ).awaitTermination()
     return spark.read.parquet(out).select("userId", "value", "route")
 
 

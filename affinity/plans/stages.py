@@ -39,6 +39,11 @@ class Stages:
     def test(self) -> DataFrame:
         return self.workspace.stage("test", lambda: self.halves()[1])
 
+    def known_users(self) -> DataFrame:
+        return self.workspace.stage(
+            "known_users", lambda: popular.distinct_users(self.train())
+        )
+
     def fit(self) -> factor.GridFit:
         if self._fit is None:
             self._fit = factor.fit_grid(

@@ -11,7 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from affinity.functions.messages import user_id
 from affinity.operators import model as models
 from affinity.operators.model import Model
-from affinity.operators.serve import serving_lists, suggest
+from affinity.operators.serve import (
+    known_among,
+    known_requests,
+    new_requests,
+    serving_lists,
+    suggest,
+)
 from affinity.schemas import MESSAGE
 
 
@@ -75,6 +81,19 @@ def to_console(stream: DataFrame, checkpoint: str, interval: str | None = None):
     )
 
 
+def routed(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """(userId, value, route) of a batch: ``known`` or ``new``; malformed ones left out."""
+    found = known_among(known, batch)
+    parts = [
+        part.select("userId", "value", F.lit(name).alias("route"))
+        for name, part in (
+            ("known", known_requests(batch, found)),
+            ("new", new_requests(batch, found)),
+        )
+    ]
+    return parts[0].union(parts[1])
+
+
 class CurrentModel:
     """The published model and its lists, loaded again only when another is published."""
 
@@ -110,7 +129,12 @@ def by_batch(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        answer(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # The answer looks at a batch more than once; read it from the source once.
+        batch.persist()
+        try:
+            answer(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)
