@@ -53,14 +53,11 @@ def serving_lists(model: Model, popular: DataFrame, movies: DataFrame, n: int =
     return titled(ranked.union(default), movies)
 
 
-def fallback(users: DataFrame, popular: DataFrame, movies: DataFrame) -> DataFrame:
-    """The popular list for each of ``users``."""
-    lists = titled(
-        popular.select(F.lit(NEW_USER).alias("direction"), "rank", "movieId"), movies
-    )
-    return users.withColumn("direction", F.lit(NEW_USER)).join(
-        F.broadcast(lists), "direction"
-    ).drop("direction")
+def fallback(users: DataFrame, popular: DataFrame, movies: DataFrame, n: int = 5) -> DataFrame:
+    """The popular list for each of ``users``: one row per rank, matched by rank."""
+    lists = titled(popular.select("rank", "movieId"), movies)
+    ranks = users.withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    return ranks.join(F.broadcast(lists), "rank")
 
 
 def suggest(requests: DataFrame, model: Model, lists: DataFrame) -> DataFrame:
