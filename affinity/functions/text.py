@@ -13,14 +13,19 @@ def strip(field: Column) -> Column:
     return F.btrim(field, F.lit(BLANKS))
 
 
+# A failing cast builds an exception, so fields are matched before they are cast.
+_INTEGER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+_DECIMAL = r"^[\x00-\x20]*[+-]?[0-9.]+([eE][+-]?[0-9]+)?[\x00-\x20]*$"
+
+
 def to_int(field: Column) -> Column:
-    """The integer in ``field``, or null."""
-    return strip(field).try_cast("int")
+    """The integer in ``field``, or null. The cast ignores blanks around it."""
+    return F.when(field.rlike(_INTEGER), field.try_cast("int"))
 
 
 def to_double(field: Column) -> Column:
-    """The finite number in ``field``, or null."""
-    number = strip(field).try_cast("double")
+    """The finite number in ``field``, or null. The cast ignores blanks around it."""
+    number = F.when(field.rlike(_DECIMAL), field.try_cast("double"))
     return F.when(F.abs(number) < float("inf"), number)
 
 

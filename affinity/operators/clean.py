@@ -19,49 +19,59 @@ TOO_FEW = "too few fields"
 BAD_VALUE = "bad value"
 
 
-def _links(line: Column) -> tuple[Column, list[Column]]:
-    parts = fields(line)
-    return F.size(parts) < 3, [to_int(F.get(parts, i)) for i in range(3)]
+def _links(parts: Column) -> tuple[Column, list[Column]]:
+    return F.size(parts) < 3, [to_int(F.get(parts, F.lit(i))) for i in range(3)]
 
 
-def _ratings(line: Column) -> tuple[Column, list[Column]]:
-    parts = fields(line)
+def _ratings(parts: Column) -> tuple[Column, list[Column]]:
     casts = (to_int, to_int, to_double, to_int)
-    return F.size(parts) < 4, [cast(F.get(parts, i)) for i, cast in enumerate(casts)]
+    return F.size(parts) < 4, [cast(F.get(parts, F.lit(i))) for i, cast in enumerate(casts)]
 
 
-def _tags(line: Column) -> tuple[Column, list[Column]]:
-    parts = fields(line)
+def _tags(parts: Column) -> tuple[Column, list[Column]]:
     return F.size(parts) < 4, [
-        to_int(F.get(parts, 0)),
-        to_int(F.get(parts, 1)),
+        to_int(F.get(parts, F.lit(0))),
+        to_int(F.get(parts, F.lit(1))),
         strip(middle(parts, before=2, after=1)),
         to_int(F.element_at(parts, -1)),
     ]
 
 
-def _movies(line: Column) -> tuple[Column, list[Column]]:
-    record = F.from_csv(line, "movieId string, title string, genres string", {"escape": '"'})
+def _movies(record: Column) -> tuple[Column, list[Column]]:
     missing = record["title"].isNull() | record["genres"].isNull()
     return missing, [to_int(record["movieId"]), strip(record["title"]), strip(record["genres"])]
 
 
-_RULES = {"links": _links, "movies": _movies, "ratings": _ratings, "tags": _tags}
+def _quoted(line: Column) -> Column:
+    """Three fields of a line in which the title may be quoted."""
+    return F.from_csv(line, "movieId string, title string, genres string", {"escape": '"'})
+
+
+_RULES = {
+    "links": (fields, _links),
+    "movies": (_quoted, _movies),
+    "ratings": (fields, _ratings),
+    "tags": (fields, _tags),
+}
 
 
 def classify(lines: DataFrame, table: str) -> DataFrame:
     """``value``, the typed columns of ``table`` and ``reason`` (null for a kept line)."""
-    line = F.col("value")
-    too_few, typed = _RULES[table](line)
+    record_of, typed_of = _RULES[table]
     names = TABLES[table].names
-    row = lines.select(line, too_few.alias("_short"), *[c.alias(n) for c, n in zip(typed, names)])
+    records = lines.select("value", record_of(F.col("value")).alias("_record"))
+    too_few, typed = typed_of(F.col("_record"))
+    # A row made by ``inline`` is computed once: filters on it are not pushed below
+    # and do not parse the line again.
+    parsed = F.struct(too_few.alias("_short"), *[c.alias(n) for c, n in zip(typed, names)])
+    rows = records.select("value", F.inline(F.array(parsed)))
     unread = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
     reason = (
-        F.when(line.endswith(","), EMPTY_LAST)
+        F.when(F.col("value").endswith(","), EMPTY_LAST)
         .when(F.col("_short"), TOO_FEW)
         .when(unread, BAD_VALUE)
     )
-    return row.withColumn("reason", reason).drop("_short")
+    return rows.withColumn("reason", reason).drop("_short")
 
 
 def kept(classified: DataFrame, table: str) -> DataFrame:
