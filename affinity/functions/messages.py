@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from affinity.functions.text import to_int
 
 
-def encode(ratings: DataFrame, topic: str, per_user_key: bool = False) -> DataFrame:
-    """One message per rating.
+def encode(ratings: DataFrame, topic: str, *keep: str, per_user_key: bool = False) -> DataFrame:
+    """One message per rating, beside the columns to ``keep``.
 
     The key is the topic name. A topic with several partitions takes
     ``per_user_key``: one shared key would send every message to one partition.
     """
     key = F.col("userId").cast("string") if per_user_key else F.lit(topic)
     return ratings.select(
-        key.alias("key"), F.concat_ws("|", "userId", "movieId", "rating").alias("value")
+        *keep, key.alias("key"), F.concat_ws("|", "userId", "movieId", "rating").alias("value")
     )
 
 

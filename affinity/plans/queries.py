@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 
 from affinity.config import Config
 from affinity.functions import messages
-from affinity.operators import clean, evaluate, factor, model, popular, serve
+from affinity.operators import anyrank, clean, evaluate, factor, model, popular, serve
 from affinity.plans.stages import Stages
 from affinity.schemas import LINKS
 from affinity.sinks import writers
 from affinity.sources import readers, views
-from affinity.streaming import stream
+from affinity.streaming import replay, stream
 from affinity.workspace import Workspace
 
 CONFIG = Config()
 TOPIC = CONFIG.topic
 REPLAY_LIMIT = 10_000
+REPLAY_FILE = 2_500
+REPLAY_ORDER = ["userId", "movieId", "rating"]
 NTH_USER = 139
 
 _LINES = {
@@ -153,10 +155,14 @@ def encode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.encode(stages(spark, sf_dir).test(), TOPIC)
 
 
+def _head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = replay.first_rows(stages(spark, sf_dir).test(), REPLAY_ORDER, REPLAY_LIMIT)
+    return messages.encode(rows, TOPIC, "position")
+
+
 def replay_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bounded replay: the first messages of the test half in a fixed order."""
-    head = stages(spark, sf_dir).test().orderBy("userId", "movieId", "rating").limit(REPLAY_LIMIT)
-    return messages.encode(head, TOPIC)
+    return _head(spark, sf_dir).select("key", "value")
 
 
 def title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +213,15 @@ def als_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def als_rank3_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for a rank-3 model of ``pyspark.ml``, whose factors are floats."""
+    train = stages(spark, sf_dir).train()
+    fitted = anyrank.fit(train, rank=3, iterations=5, lam=0.05)
+    return anyrank.equation_gaps(fitted, train, 0.05).select(
+        "userId", (F.col("gap") < 1e-3).alias("ok")
+    )
+
+
 def als_rmse_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.best(stages(spark, sf_dir).errors()).select(
         F.round("rmse", 6).alias("rmse"), "n"
@@ -241,6 +256,14 @@ def als_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(model.for_all(stages(spark, sf_dir).model()))
 
 
+def topn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists of all users, put into a result table."""
+    s = stages(spark, sf_dir)
+    name = f"recommendations_{uuid.uuid4().hex[:8]}"
+    rows = model.for_all(s.model(), CONFIG.list_size)
+    return _rounded(writers.replace_table(rows, name, s.workspace.path(name)))
+
+
 def als_topn_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stages(spark, sf_dir)
     return _rounded(model.for_users(s.model(), popular.nth_user(s.train(), NTH_USER)))
@@ -279,6 +302,19 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded replay as a paced stream: which batch brings which message."""
+    s = stages(spark, sf_dir)
+    inbox = _fresh(s, "replay")
+    head = s.workspace.stage("replay_head", lambda: _head(spark, sf_dir))
+    replay.write_in_order(head, inbox, REPLAY_FILE)
+    rows = stream.decoded(stream.read_messages(spark, "parquet", inbox, files_per_batch=1))
+    stream.by_batch(
+        rows, lambda batch: batch, f"{inbox}-out", f"{inbox}-checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{inbox}-out").select("batch_id", "userId", "value")
+
+
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routing inside the stream: joins of every batch with the known users."""
     s = stages(spark, sf_dir)
@@ -338,15 +374,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_user_factors": als_user_factors,
     "als_item_factors": als_item_factors,
     "als_normal_equations": als_normal_equations,
+    "als_rank3_equations": als_rank3_equations,
     "als_rmse_holdout": als_rmse_holdout,
     "als_rmse_overlap": als_rmse_overlap,
     "als_grid": als_grid,
     "als_grid_best": als_grid_best,
     "als_topn_all": als_topn_all,
+    "topn_table": topn_table,
     "als_topn_one": als_topn_one,
     "als_topn_titles": als_topn_titles,
     "als_save_load": als_save_load,
     "stream_decode": stream_decode,
+    "stream_replay": stream_replay,
     "stream_route": stream_route,
     "stream_serve": stream_serve,
 }

@@ -218,6 +218,7 @@ cross join popular p left join movies m on m.movieId = p.movieId""",
         "als_user_factors": _sql(ALS, "select userId, round(f, 6) as factor from u"),
         "als_item_factors": _sql(ALS, "select movieId, round(f, 6) as factor from i"),
         "als_normal_equations": _sql(SPLIT, "select distinct userId, true as ok from train"),
+        "als_rank3_equations": _sql(SPLIT, "select distinct userId, true as ok from train"),
         "als_rmse_holdout": _sql(ALS, "select round(rmse, 6) as rmse, n from best"),
         "als_rmse_overlap": _sql(
             ALS,
@@ -238,6 +239,9 @@ group by lam, steps""",
         "als_topn_all": _sql(
             ALS, TOPN, "select userId, rank, movieId, round(rating, 6) as rating from topn"
         ),
+        "topn_table": _sql(
+            ALS, TOPN, "select userId, rank, movieId, round(rating, 6) as rating from topn"
+        ),
         "als_topn_one": _sql(
             ALS,
             TOPN,
@@ -255,6 +259,13 @@ from topn left join movies using (movieId)""",
         "stream_decode": _sql(
             SPLIT, REQUESTS, "select 'movie_topic' as key, value, userId from requests"
         ),
+        "stream_replay": _sql(
+            SPLIT,
+            """select cast(floor((position - 1) / 2500) as int) as batch_id, userId,
+       cast(userId as varchar) || '|' || cast(movieId as varchar) || '|' || cast(rating as varchar) as value
+from (select *, row_number() over (order by userId, movieId, rating) as position from test)
+where position <= 10000""",
+        ),
         "stream_route": _sql(
             SPLIT,
             REQUESTS,
