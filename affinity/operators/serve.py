@@ -19,13 +19,14 @@ def decode(messages: DataFrame) -> DataFrame:
     return messages.withColumn("userId", user_id(F.col("value")))
 
 
-def known_among(known: DataFrame, requests: DataFrame) -> DataFrame:
+def known_among(known: DataFrame, requests: DataFrame, few: bool = False) -> DataFrame:
     """The rows of ``known`` (one per user) whose users occur in ``requests``.
 
-    A batch is small beside the known users; put on the right of a semi-join it is
-    what gets broadcast, and the known users are scanned without a shuffle.
+    ``few`` says the requests have been counted and may be broadcast; the known
+    users are then scanned without a shuffle.
     """
-    return known.join(requests.select("userId").distinct(), "userId", "left_semi")
+    ids = requests.select("userId").distinct()
+    return known.join(F.broadcast(ids) if few else ids, "userId", "left_semi")
 
 
 def known_requests(requests: DataFrame, known: DataFrame) -> DataFrame:
@@ -60,13 +61,15 @@ def fallback(users: DataFrame, popular: DataFrame, movies: DataFrame, n: int = 5
     return ranks.join(F.broadcast(lists), "rank")
 
 
-def suggest(requests: DataFrame, model: Model, lists: DataFrame) -> DataFrame:
+def suggest(
+    requests: DataFrame, model: Model, lists: DataFrame, few: bool = False
+) -> DataFrame:
     """(userId, requests, source, rank, movieId, title) for decoded requests.
 
     Malformed requests come back as one row without a user.
     """
     asked = per_user(requests)
-    routed = asked.join(known_among(model.users, asked), "userId", "left")
+    routed = asked.join(known_among(model.users, asked, few), "userId", "left")
     known = F.col("factor").isNotNull()
     source = (
         F.when(F.col("userId").isNull(), REJECT).when(known, MODEL).otherwise(POPULAR)

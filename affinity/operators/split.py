@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 ORDER = ("timestamp", "userId", "movieId", "rating")
 OUTPUT = ("userId", "movieId", "rating")
 
-# Rows of a histogram that the driver may see.
-BINS = 65_536
+# Bins of a histogram: what each task adds to the shuffle, and what the driver sees.
+BINS = 4_096
+
+# Tied rows up to which their different values are listed instead of searched.
+FEW = 65_536
 
 
 @dataclass(frozen=True)
@@ -44,10 +47,18 @@ def _bin(column: Column, low, high, bins: int) -> Column:
     return F.floor((column - F.lit(low)) / F.lit((high - low) / bins))
 
 
-def _locate(rows: DataFrame, name: str, k: int, bins: int) -> tuple[object, int, int]:
-    """The k-th smallest value of a column, the rows below it and the rows at it."""
+def _bounds(rows: DataFrame, name: str) -> tuple:
+    """(lowest, highest, rows) of a column."""
+    return tuple(rows.agg(F.min(name), F.max(name), F.count(F.lit(1))).first())
+
+
+def _locate(rows: DataFrame, name: str, k: int, bounds: tuple, bins: int) -> tuple:
+    """The k-th smallest value of a column, the rows below it and the rows at it.
+
+    Each pass reads the one column and only the range that still matters.
+    """
     column = F.col(name)
-    low, high, at = rows.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+    low, high, at = bounds
     below = 0
     while low < high:
         histogram = (
@@ -64,18 +75,21 @@ def _locate(rows: DataFrame, name: str, k: int, bins: int) -> tuple[object, int,
     return low, below, at
 
 
-def find_boundary(ratings: DataFrame, k: int, bins: int = BINS) -> Boundary:
-    """The k-th row (from 1) of the total order."""
+def find_boundary(
+    ratings: DataFrame, k: int, bounds: tuple, bins: int = BINS, few: int = FEW
+) -> Boundary:
+    """The k-th row (from 1) of the total order; ``bounds`` are those of the timestamp."""
     rows, values, at = ratings, (), None
     for i, name in enumerate(ORDER):
-        if at is not None and at <= bins:
+        if at is not None and at <= few:
             rest = ORDER[i:]
             groups = rows.groupBy(*rest).agg(F.count(F.lit(1)).alias("n")).collect()
             for group in sorted(groups, key=lambda g: g[:-1]):
                 if group["n"] >= k:
                     return Boundary(values + tuple(group[:-1]), group["n"], k)
                 k -= group["n"]
-        value, below, at = _locate(rows, name, k, bins)
+        bounds = bounds if i == 0 else _bounds(rows, name)
+        value, below, at = _locate(rows, name, k, bounds, bins)
         rows = rows.filter(F.col(name) == F.lit(value))
         values += (value,)
         k -= below
@@ -103,14 +117,15 @@ def _copies(ratings: DataFrame, boundary: Boundary, n: int) -> DataFrame:
 
 
 def time_split(
-    ratings: DataFrame, share: float = 0.6, bins: int = BINS
+    ratings: DataFrame, share: float = 0.6, bins: int = BINS, few: int = FEW
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): the oldest ``int(n * share)`` rows and all others."""
-    k = train_size(ratings.agg(F.count(F.lit(1))).first()[0], share)
+    bounds = _bounds(ratings, ORDER[0])
+    k = train_size(bounds[-1], share)
     if k == 0:
         nothing = ratings.select(*OUTPUT).filter(F.lit(False))
         return nothing, ratings.select(*OUTPUT)
-    boundary = find_boundary(ratings, k, bins)
+    boundary = find_boundary(ratings, k, bounds, bins, few)
     halves = []
     for before, copies in (
         (True, boundary.train_copies),

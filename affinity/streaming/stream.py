@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from affinity.config import BROADCAST_ROWS
 from affinity.functions.messages import user_id
 from affinity.operators import model as models
 from affinity.operators.model import Model
@@ -81,9 +83,14 @@ def to_console(stream: DataFrame, checkpoint: str, interval: str | None = None):
     )
 
 
+def _few(batch: DataFrame) -> bool:
+    """Whether a batch, and so any set of its users, may be broadcast."""
+    return batch.count() <= BROADCAST_ROWS
+
+
 def routed(batch: DataFrame, known: DataFrame) -> DataFrame:
     """(userId, value, route) of a batch: ``known`` or ``new``; malformed ones left out."""
-    found = known_among(known, batch)
+    found = known_among(known, batch, _few(batch))
     parts = [
         part.select("userId", "value", F.lit(name).alias("route"))
         for name, part in (
@@ -95,7 +102,10 @@ def routed(batch: DataFrame, known: DataFrame) -> DataFrame:
 
 
 class CurrentModel:
-    """The published model and its lists, loaded again only when another is published."""
+    """The published model and its lists, loaded again only when another is published.
+
+    The user factors stay persisted between batches; what is lost is read again.
+    """
 
     def __init__(self, spark: SparkSession, root: str, popular: DataFrame, movies: DataFrame, n: int):
         self.spark, self.root, self.n = spark, root, n
@@ -110,6 +120,9 @@ class CurrentModel:
             lists = serving_lists(model, self.popular, self.movies, self.n)
             # At most 4n rows, kept beside the model they belong to.
             lists.coalesce(1).write.mode("overwrite").parquet(f"{path}/lists")
+            if self._loaded:
+                self._loaded[0].users.unpersist()
+            model.users.persist(StorageLevel.MEMORY_AND_DISK)
             self._loaded = model, self.spark.read.schema(lists.schema).parquet(f"{path}/lists")
             self._path = path
         return self._loaded
@@ -155,6 +168,6 @@ def serve(
 
     def answer(batch: DataFrame) -> DataFrame:
         model, lists = current.get()
-        return suggest(batch, model, lists)
+        return suggest(batch, model, lists, _few(batch))
 
     return by_batch(decoded(messages), answer, out, checkpoint, interval)

@@ -87,3 +87,33 @@ def test_scans_read_only_what_they_need(spark):
     s = queries.stages(spark, SF_DIR)
     assert "ReadSchema: struct<movieId:int>" in plan(popular.rating_counts(s.train()))
     assert "ReadSchema: struct<userId:int>" in plan(popular.distinct_users(s.train()))
+
+
+def test_a_hot_user_is_split_in_routing_joins(spark):
+    """With a shuffle join, the partition of a user with most requests is split."""
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        asked = spark.range(0, 60_000, 1, 8).selectExpr(
+            "cast(if(id % 3 = 0, 7, id) as int) as userId", "uuid() as value"
+        )
+        known = spark.range(0, 60_000, 2, 8).selectExpr("cast(id as int) as userId")
+        for join in (serve.known_requests, serve.new_requests):
+            df = join(asked, known)
+            rows = df.collect()
+            odd = join is serve.new_requests
+            assert len(rows) == (40_000 if odd else 20_000)
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in text
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
