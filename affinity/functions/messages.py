@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.functions.text import to_int
-
 
 def encode(ratings: DataFrame, topic: str, *keep: str, per_user_key: bool = False) -> DataFrame:
     """One message per rating, beside the columns to ``keep``.
@@ -20,6 +18,10 @@ def encode(ratings: DataFrame, topic: str, *keep: str, per_user_key: bool = Fals
     )
 
 
+# A message starts with an integer, possibly among blanks, and a bar.
+_USER = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*\|"
+
+
 def user_id(value: Column) -> Column:
     """The user of a message, or null for a malformed one."""
-    return F.when(value.contains("|"), to_int(F.split_part(value, F.lit("|"), F.lit(1))))
+    return F.when(value.rlike(_USER), F.substring_index(value, "|", 1).try_cast("int"))

@@ -173,8 +173,13 @@ def title_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages to serve: the test half, and events of visitors without ratings."""
-    rated = messages.encode(stages(spark, sf_dir).test(), TOPIC)
-    return rated.union(views.visitor_messages(spark, sf_dir, TOPIC))
+    s = stages(spark, sf_dir)
+
+    def build() -> DataFrame:
+        rated = messages.encode(s.test(), TOPIC)
+        return rated.union(views.visitor_messages(spark, sf_dir, TOPIC))
+
+    return s.workspace.stage("requests", build)
 
 
 def route_known(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +293,7 @@ def als_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All requests as a stream of message files, two files to a batch."""
     s = stages(spark, sf_dir)
-    s.workspace.stage("requests", lambda: requests(spark, sf_dir))
+    requests(spark, sf_dir)
     return stream.read_messages(
         spark, "parquet", s.workspace.path("requests"), files_per_batch=2
     )
