@@ -22,6 +22,9 @@ TASK_ROWS = 50_000
 # Rows that one bucket or one group of a join key may hold before it is split.
 GROUP_ROWS = 4_000_000
 
+# Fixed value: the number of buckets Spark allows a table by default.
+MAX_BUCKETS = 100_000
+
 
 @dataclass(frozen=True)
 class Config:

@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.config import BROADCAST_ROWS, GROUP_ROWS, PERSIST_ROWS, TASK_ROWS
+from affinity.config import BROADCAST_ROWS, GROUP_ROWS, MAX_BUCKETS, PERSIST_ROWS, TASK_ROWS
 from affinity.workspace import Workspace
 
 
@@ -42,7 +42,10 @@ class Limits:
 
 @dataclass(frozen=True)
 class GridFit:
-    """Factors of every grid point, one column ``f<iterations>_<lambda index>`` each."""
+    """Factors of every grid point, one column ``f<iterations>_<lambda index>`` each.
+
+    ``user_rows`` and ``item_rows`` bound the rows of the two tables from above.
+    """
 
     users: DataFrame
     items: DataFrame
@@ -61,7 +64,8 @@ class GridFit:
 
 @dataclass(frozen=True)
 class _Side:
-    """One of the two keys: its values, its hot groups, and the pairs laid out by it."""
+    """One of the two keys: at most how many values it has, its hot groups, and the
+    pairs laid out by it."""
 
     key: str
     rows: int
@@ -75,11 +79,10 @@ class _Side:
         return [self.key] if self.hot is None else [self.key, "part"]
 
 
-def _measure(pairs: DataFrame, key: str) -> tuple[int, int, int]:
-    """(values, largest group, pairs) of a key, exactly."""
+def _measure(pairs: DataFrame, key: str) -> tuple[int, int]:
+    """(values, largest group) of a key, exactly."""
     sizes = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    values, largest, total = sizes.agg(F.count(F.lit(1)), F.max("size"), F.sum("size")).first()
-    return values, largest or 0, total or 0
+    return tuple(sizes.agg(F.count(F.lit(1)), F.max("size")).first())
 
 
 def _hot_groups(pairs: DataFrame, key: str, group_rows: int) -> DataFrame:
@@ -99,10 +102,14 @@ def _layout(
 
     The user's layout always exists; the item's only when items cannot be broadcast.
     """
-    rows, largest, total = _measure(pairs, key)
+    total = pairs.count()
+    rows = largest = total  # no key has more values or a larger group than that
+    if total > limits.broadcast_rows:
+        rows, largest = _measure(pairs, key)
     small = rows <= limits.broadcast_rows
     cores = workspace.spark.sparkContext.defaultParallelism
     buckets = max(min(cores, -(-total // TASK_ROWS)), -(-total // limits.group_rows), 1)
+    buckets = min(buckets, MAX_BUCKETS)
     if small and key == "movieId":
         return _Side(key, rows, small, buckets, None, None)
     if small and total <= limits.persist_rows:
@@ -135,10 +142,14 @@ def _per_part(factors: DataFrame, side: _Side) -> DataFrame:
 
 
 def _with_factors(factors: DataFrame, side: _Side, by_user: _Side) -> DataFrame:
-    """The pairs with the factors of one side."""
+    """The pairs with the factors of one side.
+
+    Laid out pairs are streamed past the factors of their bucket, a hash table with
+    at most as many rows as the bucket has pairs: nothing is shuffled or sorted.
+    """
     if side.small:
         return by_user.pairs.join(F.broadcast(factors), side.key)
-    return side.pairs.join(_per_part(factors, side), side.keys)
+    return side.pairs.join(_per_part(factors, side).hint("shuffle_hash"), side.keys)
 
 
 def _quotient(top: str, bottom: str) -> str:

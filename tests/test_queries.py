@@ -2,9 +2,10 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from affinity.operators import evaluate, model, popular, serve, split
+from affinity.operators import evaluate, factor, model, popular, serve, split
 from affinity.plans import queries
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,6 +69,23 @@ def test_users_are_not_shuffled_for_recommendations(spark):
     assert "hashpartitioning" not in text and "CartesianProduct" not in text
 
 
+def test_large_layouts_move_only_partial_sums(spark):
+    """Beyond the broadcast bound a half-step shuffles sums, not pairs or factors."""
+    s = queries.stages(spark, SF_DIR)
+    pairs = s.workspace.write(
+        "plan/pairs", s.train().groupBy("userId", "movieId").agg(F.count("*").alias("n"), F.sum("rating").alias("s"))
+    )
+    limits = factor.Limits(broadcast_rows=0, persist_rows=0, group_rows=1_000)
+    by_user = factor._layout(s.workspace, "plan", pairs, "userId", "movieId", limits)
+    by_item = factor._layout(s.workspace, "plan", pairs, "movieId", "userId", limits)
+    items = factor._first_items(by_user.pairs, (0.01,))
+    items = factor._write_factors(s.workspace, "plan/items", items, by_item)
+    text = plan(factor._solve(factor._with_factors(items, by_item, by_user), "userId", (0.01,)))
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(userId" in text
+    assert "partial_sum" in text.split("Exchange")[1]
+    assert "ShuffledHashJoin" in text and "Sort" not in text
+
+
 def test_no_cross_joins_and_no_python(spark):
     s = queries.stages(spark, SF_DIR)
     asked = serve.decode(queries.requests(spark, SF_DIR))
