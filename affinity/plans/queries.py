@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from affinity.config import Config
 from affinity.functions import messages
 from affinity.operators import anyrank, clean, evaluate, factor, model, popular, serve
+from affinity.plans import ingest
 from affinity.plans.stages import Stages
 from affinity.schemas import LINKS
 from affinity.sinks import writers
@@ -74,7 +76,33 @@ def etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean.counts(clean.classify(raw_lines(spark, sf_dir, table), table), table)
         for table in _LINES
     ]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    return reduce(DataFrame.union, parts)
+
+
+def ingest_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw file put into a catalog table, and the rows then found there."""
+    s = stages(spark, sf_dir)
+    found = []
+    for table in _LINES:
+        path = _fresh(s, f"ingested-{table}")
+        name = f"{table}_{uuid.uuid4().hex[:8]}"
+        done = ingest.ingest(raw_lines(spark, sf_dir, table), table, path, name)
+        found.append(
+            spark.table(name)
+            .agg(F.count(F.lit(1)).alias("stored"))
+            .selectExpr(
+                f"'{table}' as table_name", "stored", "0L as rejects", f"{done.kept}L as counted"
+            )
+        )
+        found.append(
+            done.rejects.agg(F.count(F.lit(1)).alias("rejects"))
+            .selectExpr(f"'{table}' as table_name", "0L as stored", "rejects", "0L as counted")
+        )
+    return (
+        reduce(DataFrame.union, found)
+        .groupBy("table_name")
+        .agg(*[F.sum(c).alias(c) for c in ("stored", "rejects", "counted")])
+    )
 
 
 def links_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_tags": _cleaned("tags"),
     "rejects": rejects,
     "etl_counts": etl_counts,
+    "ingest_tables": ingest_tables,
     "links_not_null": links_not_null,
     "table_roundtrip": table_roundtrip,
     "ratings_count": ratings_count,

@@ -138,6 +138,13 @@ union all select 'movies', count(*), 0, 0 from part
 union all select 'ratings', count(*) filter (l_returnflag <> 'R'), 0, count(*) filter (l_returnflag = 'R')
           from lineitem join orders on l_orderkey = o_orderkey
 union all select 'tags', count(*), 0, 0 from documents""",
+        "ingest_tables": """select 'links' as table_name, count(*) filter (p_size <> 1) as stored,
+       count(*) filter (p_size = 1) as rejects, count(*) filter (p_size <> 1) as counted from part
+union all select 'movies', count(*), 0, count(*) from part
+union all select 'ratings', count(*) filter (l_returnflag <> 'R'), count(*) filter (l_returnflag = 'R'),
+                 count(*) filter (l_returnflag <> 'R')
+          from lineitem join orders on l_orderkey = o_orderkey
+union all select 'tags', count(*), 0, count(*) from documents""",
         "links_not_null": """select cast(p_partkey as int) as movieId, cast(p_partkey * 7 + 100000 as int) as imdbId,
        cast(p_partkey * 3 as int) as tmdbId from part where p_size <> 1""",
         "table_roundtrip": TAGS,

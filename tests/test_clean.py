@@ -77,3 +77,22 @@ def test_every_line_is_kept_dropped_or_rejected(spark):
     lines = ["1,2,3", "1,2,", "1,x,3", "", "4,5,6"]
     row = clean.counts(classified(spark, "links", *lines), "links").first()
     assert (row["kept"], row["dropped"], row["rejected"]) == (2, 1, 2)
+
+
+def test_ingest_writes_both_tables_in_one_pass(spark, workspace):
+    from affinity.plans.ingest import ingest
+
+    lines = spark.createDataFrame(
+        [(v,) for v in ("1,2,3", "1,2,", "1,x,3", "", "4,5,6")], "value string"
+    )
+    done = ingest(lines, "links", workspace.path("links"), "ingested_links")
+    assert (done.kept, done.dropped, done.rejected) == (2, 1, 2)
+    assert sorted(map(tuple, done.table.collect())) == [(1, 2, 3), (4, 5, 6)]
+    assert sorted(map(tuple, spark.table("ingested_links").collect())) == [(1, 2, 3), (4, 5, 6)]
+    assert sorted(map(tuple, done.rejects.collect())) == [
+        ("", clean.TOO_FEW),
+        ("1,2,", clean.EMPTY_LAST),
+        ("1,x,3", clean.BAD_VALUE),
+    ]
+    again = ingest(lines.limit(0), "links", workspace.path("none"))
+    assert again.kept == 0 and again.table.count() == 0

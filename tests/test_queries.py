@@ -73,7 +73,10 @@ def test_large_layouts_move_only_partial_sums(spark):
     """Beyond the broadcast bound a half-step shuffles sums, not pairs or factors."""
     s = queries.stages(spark, SF_DIR)
     pairs = s.workspace.write(
-        "plan/pairs", s.train().groupBy("userId", "movieId").agg(F.count("*").alias("n"), F.sum("rating").alias("s"))
+        "plan/pairs",
+        s.train()
+        .groupBy("userId", "movieId")
+        .agg(F.count("*").alias("n"), F.sum("rating").alias("s")),
     )
     limits = factor.Limits(broadcast_rows=0, persist_rows=0, group_rows=1_000)
     by_user = factor._layout(s.workspace, "plan", pairs, "userId", "movieId", limits)

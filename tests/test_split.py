@@ -52,7 +52,12 @@ def test_ties_at_every_level(spark, seed, bins):
     """Few bins force the search through several histograms and all columns."""
     rng = random.Random(seed)
     rows = [
-        (rng.choice([-5, 1, 2, 2**31 - 1]), rng.randrange(4), rng.randrange(1, 9) / 2, rng.choice([0, 50, 51, 10**9]))
+        (
+            rng.choice([-5, 1, 2, 2**31 - 1]),
+            rng.randrange(4),
+            rng.randrange(1, 9) / 2,
+            rng.choice([0, 50, 51, 10**9]),
+        )
         for _ in range(300)
     ]
     check(spark, rows, bins=bins, few=bins)

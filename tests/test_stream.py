@@ -123,3 +123,50 @@ def test_console_and_interval(spark, workspace):
     query.processAllAvailable()
     query.stop()
     assert query.exception() is None
+
+
+class Recorder:
+    """Stands in for a reader or writer of a connector that is not installed."""
+
+    def __init__(self, result=None):
+        self.settings, self.result, self.done = {}, result, False
+
+    def format(self, name):
+        self.settings["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.settings[key] = value
+        return self
+
+    def load(self):
+        return self.result
+
+    def save(self):
+        self.done = True
+
+
+def test_kafka_source_settings(spark, monkeypatch):
+    binary = spark.createDataFrame([(b"t", b"1|2|3.0")], "key binary, value binary")
+    recorder = Recorder(binary)
+    monkeypatch.setattr(type(spark), "readStream", property(lambda self: recorder))
+    rows = stream.read_messages(spark, "kafka", "host:9092", "movie_topic,other")
+    assert tuple(rows.first()) == ("t", "1|2|3.0")
+    assert recorder.settings == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "movie_topic,other",
+        "startingOffsets": "latest",
+    }
+
+
+def test_kafka_sink_settings(spark, monkeypatch):
+    rows = spark.createDataFrame([("t", "1|2|3.0")], MESSAGE)
+    recorder = Recorder()
+    monkeypatch.setattr(type(rows), "write", property(lambda self: recorder))
+    writers.send_messages(rows, "kafka", "host:9092", "movie_topic")
+    assert recorder.done and recorder.settings == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:9092",
+        "topic": "movie_topic",
+    }
