@@ -28,11 +28,12 @@ MAX_BUCKETS = 100_000
 
 @dataclass(frozen=True)
 class Config:
-    """What a run needs to know; the defaults suit one machine."""
+    """What a run needs to know."""
 
     app_name: str = "affinity"
     master: str | None = None
     shuffle_partitions: int | None = None
+    # Share of training rows, grid, list length and topic of the workload.
     train_share: float = 0.6
     lambdas: tuple[float, ...] = (0.001, 0.005, 0.01)
     iterations: tuple[int, ...] = (10, 12, 16)
@@ -79,6 +80,9 @@ def session(config: Config = Config()) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written stages: ``spark.checkpoint.dir`` as the cluster set it.
 
@@ -89,6 +93,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="affinity-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="affinity-")
+    return _local_folders[app]

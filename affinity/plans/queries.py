@@ -22,10 +22,11 @@ from affinity.workspace import Workspace
 
 CONFIG = Config()
 TOPIC = CONFIG.topic
+# Fixed values of the workload: messages of a bounded replay, and whose list is shown.
 REPLAY_LIMIT = 10_000
+NTH_USER = 139
 REPLAY_FILE = 2_500
 REPLAY_ORDER = ["userId", "movieId", "rating"]
-NTH_USER = 139
 
 _LINES = {
     "links": views.link_lines,

@@ -1,5 +1,7 @@
 """Writers. Targets that need a server are replaced by recorders."""
 
+from types import SimpleNamespace
+
 import pytest
 
 from affinity.config import JdbcTarget, shared_folder
@@ -68,3 +70,13 @@ def test_jdbc_settings_come_from_the_environment():
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    def unset(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+
+    assert shared_folder(unset("local[2]")) == shared_folder(unset("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(unset("spark://host:7077"))
