@@ -1,0 +1,89 @@
+"""The registered queries of the operators, and SQL for those that SQL can express."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from affinity.llm import lines, packing, tokenfiles, urls
+from affinity.llm.common import table, workspace
+from affinity.llm.tokens import byte_bpe_path
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark).path("tokens")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, byte_bpe_path())
+    return tokenfiles.read_digests(spark, folder)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op3_best_fit_packing,
+        op5_line_dedup,
+        op6_url_filters,
+        op8_token_files,
+    )
+}
+
+BLANK = r"[\x20\x09-\x0D]"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": rf"""
+        with split as (
+            select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
+        ), lines as (
+            select doc_id, unnest(parts) as line, generate_subscripts(parts, 1) as nr from split
+        ), keyed as (
+            select *, {_LOWER.format(rf"regexp_replace(regexp_replace(line, '^{BLANK}+', ''), '{BLANK}+$', '')")}
+                as line_key from lines
+        ), repeated as (
+            select line_key, max(doc_id) as keeper from keyed where length(line_key) >= 20
+            group by line_key having count(distinct doc_id) >= 3
+        ), marked as (
+            select doc_id, nr, line, coalesce(doc_id < keeper, false) as dropped
+            from keyed left join repeated using (line_key)
+        )
+        select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) order by nr) filter (not dropped), ''))
+                as kept_sha256
+        from marked group by doc_id
+    """,
+    "op6_url_filters": f"""
+        with parts as (
+            select page_id, case when contains(url, '://')
+                then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+        ), urls as (
+            select page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} as host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parts
+        ), rules(rule_host, rule_path, rule_verdict) as (
+            values {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.RULES)}
+        ), fits as (
+            select page_id, rule_host || rule_path as rule, rule_verdict, row_number() over (
+                partition by page_id order by length(rule_host || rule_path) desc,
+                length(rule_host) desc, rule_verdict desc) as place
+            from urls join rules on starts_with(path, rule_path)
+                and (host = rule_host or ends_with(host, '.' || rule_host))
+        )
+        select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict
+        from urls left join (select * from fits where place = 1) using (page_id)
+    """,
+}
