@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import lines, packing, tokenfiles, urls
+from affinity.llm import jaccard, lines, packing, substrings, tokenfiles, urls
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
@@ -16,6 +16,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents"))
     text = F.coalesce("text", F.lit(""))
@@ -27,6 +31,11 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = workspace(spark).path("tokens")
     tokenfiles.write_tokens(table(spark, sf_dir, "documents"), folder, byte_bpe_path())
@@ -37,8 +46,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op3_best_fit_packing,
+        op4_jaccard_join,
         op5_line_dedup,
         op6_url_filters,
+        op7_substring_dedup,
         op8_token_files,
     )
 }
@@ -46,7 +57,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 BLANK = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op4_jaccard_join": f"""
+        with recursive words as (
+            select doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} as w from documents
+        ), shingles as (
+            select distinct doc_id, unnest(case
+                when len(w) = 0 then []
+                when len(w) < 5 then [array_to_string(w, ' ')]
+                else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]
+            end) as s from words
+        ), sizes as (
+            select doc_id, count(*) as n from shingles group by doc_id
+        ), links as (
+            select x.doc_id as a, y.doc_id as b from shingles x join shingles y using (s)
+            join sizes p on p.doc_id = x.doc_id join sizes q on q.doc_id = y.doc_id
+            where x.doc_id <> y.doc_id group by x.doc_id, y.doc_id, p.n, q.n
+            having 100 * count(*) >= 80 * (p.n + q.n - count(*))
+        ), reached(doc_id, other) as (
+            select doc_id, doc_id from documents
+            union
+            select r.doc_id, l.b from reached r join links l on l.a = r.other
+        )
+        select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+        from reached left join sizes using (doc_id) group by doc_id
+    """,
+    "op7_substring_dedup": f"""
+        with words as (
+            select doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents
+        ), windows as (
+            select doc_id, unnest(range(1, len(w) - 18)) as start, w from words where len(w) >= 20
+        ), placed as (
+            select doc_id, start, array_to_string(w[start:start + 19], ' ') as s from windows
+        ), later as (
+            select doc_id, start, row_number() over (partition by s order by doc_id, start) as place
+            from placed
+        ), covered as (
+            select distinct doc_id, unnest(range(start, start + 20)) as nr from later where place > 1
+        ), each as (
+            select doc_id, unnest(w) as word, generate_subscripts(w, 1) as nr from words
+        ), kept as (
+            select doc_id, count(*) as kept, string_agg(word, ' ' order by nr) as body
+            from each anti join covered using (doc_id, nr) group by doc_id
+        )
+        select doc_id, len(w) as n_words, len(w) - coalesce(kept, 0) as n_removed,
+            sha256(coalesce(body, '')) as kept_sha256
+        from words left join kept using (doc_id)
+    """,
     "op5_line_dedup": rf"""
         with split as (
             select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents
