@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import jaccard, lines, packing, substrings, tokenfiles, urls
+from affinity.llm import contamination, jaccard, lines, packing, substrings, tokenfiles, urls
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = contamination.contamination(docs, items)
+    digest = F.sha2(F.concat_ws(",", "item_ids"), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated"
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe_path())
 
@@ -45,6 +54,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_decontamination,
         op3_best_fit_packing,
         op4_jaccard_join,
         op5_line_dedup,
@@ -59,7 +69,41 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES: dict[str, str] = {
+    "op2_decontamination": f"""
+        with words as (
+            select doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} as w from documents
+        ), item_words as (
+            select item_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} as w from benchmark
+        ), items as (
+            select *, least(len(w), 13) as width from item_words where len(w) > 0
+        ), windows as (
+            select item_id, width, array_to_string(w[i:i + width - 1], ' ') as s
+            from (select *, unnest(range(1, len(w) - width + 2)) as i from items)
+        ), widths as (
+            select distinct width from items
+        ), places as (
+            select doc_id, width, unnest(range(1, len(w) - width + 2)) as start, w
+            from words join widths on len(w) >= width
+        ), hits as (
+            select doc_id, start, p.width, item_id from (
+                select doc_id, start, width, array_to_string(w[start:start + width - 1], ' ') as s
+                from places) p
+            join windows using (s)
+        ), covered as (
+            select doc_id, count(distinct nr) as n_hit from (
+                select doc_id, unnest(range(start, start + width)) as nr from hits) group by doc_id
+        ), found as (
+            select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+            from (select distinct doc_id, item_id::varchar as i from hits) group by doc_id
+        )
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit,
+            coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+            coalesce(n_hit > 0 and 20 * n_hit >= len(w), false) as contaminated
+        from words left join covered using (doc_id) left join found using (doc_id)
+    """,
     "op4_jaccard_join": f"""
         with recursive words as (
             select doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} as w from documents
