@@ -44,7 +44,9 @@ def folded(word: F.Column) -> F.Column:
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    """(key, text, row): the other columns stay together, whatever their names."""
+    row = F.struct(*[c for c in docs.columns if c != "text"])
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "text", row.alias("row"))
 
 
 def _positions(docs: DataFrame) -> DataFrame:
@@ -150,7 +152,7 @@ class PhraseIndex:
         return met.join(small(items, self.n_items, 50_000), "item").filter(both).select("key", "item", "shift")
 
     def phrases(self) -> DataFrame:
-        """(doc_id, n_words, hits): every row of the documents, with its exact matches.
+        """(row, text, n_words, hits): every row of the documents, with its exact matches.
 
         ``hits`` are (item_id, start, end) in words, end exclusive, one for each longest run
         of equal words that has a window in it.
@@ -163,11 +165,11 @@ class PhraseIndex:
         )
         per_doc = self.work.write("per_doc", per_doc)
         docs = self.docs.join(small(per_doc, per_doc.count(), 5_000), "key", "left")
-        docs = docs.select("doc_id", split_words("text").alias("words"), "found")
+        docs = docs.select("row", "text", split_words("text").alias("words"), "found")
         hits = F.flatten(F.transform("found", lambda f: _runs(F.col("words"), f, self.window)))
         none = F.array().cast("array<struct<item_id:bigint,start:int,end:int>>")
         return docs.select(
-            "doc_id", F.size("words").cast("long").alias("n_words"),
+            "row", "text", F.size("words").cast("long").alias("n_words"),
             F.when(F.col("found").isNull(), none).otherwise(hits).alias("hits"),
         )
 
@@ -199,7 +201,7 @@ class PhraseIndex:
             .groupBy("key", "item_id", "window")
             .agg(F.min("distance").alias("distance"))
         )
-        return self.docs.select("key", "doc_id").join(met, "key").drop("key")
+        return self.docs.select("key", "row.doc_id").join(met, "key").drop("key")
 
 
 def _runs(words: F.Column, found: F.Column, window: int) -> F.Column:
@@ -258,13 +260,26 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     null or repeated doc_id are judged each by its own text. Items without an id are left out.
     An empty table of either kind gives zeros. Other columns are not read.
     """
-    found = PhraseIndex(docs, items, window).phrases()
+    found = PhraseIndex(docs.select("doc_id", "text"), items, window).phrases()
     ids = F.array_sort(
         F.array_distinct(F.transform("hits", lambda h: h["item_id"].cast("string")))
     )
+    n_hit = hit_words("hits")
     return found.select(
-        "doc_id", "n_words", hit_words("hits").alias("n_hit"), ids.alias("item_ids")
+        "row.doc_id", "n_words", n_hit.alias("n_hit"), ids.alias("item_ids")
     ).select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        _too_many("n_hit", "n_words").alias("contaminated"),
     )
+
+
+def _too_many(n_hit: str, n_words: str) -> F.Column:
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated."""
+    found = PhraseIndex(docs, items, window).phrases()
+    kept = found.withColumn("hits", hit_words("hits")).filter(~_too_many("hits", "n_words"))
+    columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    return kept.select(*columns)

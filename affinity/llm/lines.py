@@ -20,8 +20,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from affinity.llm.common import workspace
+from affinity.llm.common import fresh, workspace
 from affinity.llm.text import mix
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -105,7 +106,8 @@ def twice_filter(docs: DataFrame, min_length: int = 20, max_bits: int = MAX_BITS
         bits *= 2
     sparse, merge = _set_bits(bits, min_length)
     parts = (
-        docs.select("text")
+        docs.filter("doc_id is not null")
+        .select("text")
         .mapInArrow(sparse, "slice int, once binary, twice binary")
         .groupBy("slice")
         .applyInPandas(merge, "slice int, bits binary")
@@ -147,26 +149,32 @@ def _suspects(filter_bits, min_length: int):
     return pick
 
 
-def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        kept, n_lines, n_dropped = [], [], []
-        for text, drops in zip(
-            batch["text"].to_pylist(), batch["drops"].to_pylist(), strict=True
-        ):
-            if not drops:
-                kept.append(text)
-                n_lines.append((text or "").count("\n") + 1)
-                n_dropped.append(0)
-                continue
-            lines, gone = text.split("\n"), set(drops)
-            kept.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
-            n_lines.append(len(lines))
-            n_dropped.append(len(gone))
-        yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()),
-             pa.array(n_dropped, pa.int64())],
-            names=["doc_id", "text", "n_lines", "n_dropped"],
-        )
+def _keep(columns: list[str], drops: str, n_lines: str, n_dropped: str):
+    """All columns, with the text that is left and two counts in place of ``drops``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, lines, dropped = [], [], []
+            for text, numbers in zip(
+                batch["text"].to_pylist(), batch[drops].to_pylist(), strict=True
+            ):
+                if not numbers:
+                    kept.append(text)
+                    lines.append((text or "").count("\n") + 1)
+                    dropped.append(0)
+                    continue
+                all_lines, gone = (text or "").split("\n"), set(numbers)
+                kept.append("\n".join(x for i, x in enumerate(all_lines) if i not in gone))
+                lines.append(len(all_lines))
+                dropped.append(len(gone))
+            new = {"text": pa.array(kept, pa.string())}
+            yield pa.RecordBatch.from_arrays(
+                [new.get(c, batch[c]) for c in columns]
+                + [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
+                names=[*columns, n_lines, n_dropped],
+            )
+
+    return run
 
 
 def dedup_lines(
@@ -184,12 +192,25 @@ def dedup_lines(
     are one holder and lose the same lines; they are taken to repeat its text as well. Other
     columns are not read.
     """
+    return drop_lines(
+        docs.select("doc_id", "text"), "n_lines", "n_dropped", min_length, min_documents, max_bits
+    )
+
+
+def drop_lines(
+    docs: DataFrame,
+    n_lines: str,
+    n_dropped: str,
+    min_length: int = 20,
+    min_documents: int = 3,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """``dedup_lines`` with all columns of ``docs``; the two counts get the given new names."""
     if min_documents < 2:
         raise ValueError("min_documents must be 2 at least")
     spark = docs.sparkSession
     work = workspace(spark)
-    docs = docs.select("doc_id", "text")
-    named = docs.filter("doc_id is not null")
+    named = docs.filter("doc_id is not null").select("doc_id", "text")
     bits = spark.sparkContext.broadcast(twice_filter(docs, min_length, max_bits))
     suspects = work.write(
         "suspects",
@@ -199,19 +220,24 @@ def dedup_lines(
     )
     # Rows that repeat a doc_id must not count twice: equal (key, doc_id) meet first.
     holders = suspects.groupBy("key", "doc_id").agg(F.first("numbers").alias("numbers"))
-    repeated = (
+    # Written, so that both sides of the join below are plain shuffles and a hot key is split.
+    repeated = work.write(
+        "repeated",
         holders.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n") >= min_documents)
-        .select("key", "keeper")
+        .select("key", "keeper"),
     )
+    numbers = fresh("numbers")
     drops = (
         suspects.join(repeated, "key")
         .filter("doc_id < keeper")
         .groupBy("doc_id")
-        .agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("drops"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias(numbers))
     )
-    out = docs.join(drops, "doc_id", "left").mapInArrow(
-        _kept, "doc_id long, text string, n_lines long, n_dropped long"
+    schema = StructType(
+        [*docs.schema.fields, StructField(n_lines, LongType()), StructField(n_dropped, LongType())]
+    )
+    return docs.join(drops, "doc_id", "left").select(*docs.columns, numbers).mapInArrow(
+        _keep(docs.columns, numbers, n_lines, n_dropped), schema
     )
-    return out

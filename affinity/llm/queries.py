@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import contamination, jaccard, lines, packing, substrings, tokenfiles, urls
+from affinity.llm import contamination, jaccard, langid, lines, packing, substrings, tokenfiles, urls
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     found = contamination.contamination(docs, items)
@@ -54,6 +58,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_decontamination,
         op3_best_fit_packing,
         op4_jaccard_join,
