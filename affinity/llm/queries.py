@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import contamination, jaccard, langid, lines, packing, substrings, tokenfiles, urls
+from affinity.llm import contamination, embeddings, jaccard, langid, lines, packing, substrings, tokenfiles, urls
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
@@ -55,6 +55,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_digests(spark, folder)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_url_filters,
         op7_substring_dedup,
         op8_token_files,
+        op9_embedding_near_dedup,
     )
 }
 
