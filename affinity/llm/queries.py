@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import contamination, embeddings, jaccard, langid, lines, packing, substrings, tokenfiles, urls
+from affinity.llm import contamination, embeddings, jaccard, langid, lines, packing, pii, substrings, tokenfiles, urls
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
@@ -59,6 +59,15 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.number("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.written("base"), 256).alias("base_sha256"),
+        pii.written("spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -71,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_substring_dedup,
         op8_token_files,
         op9_embedding_near_dedup,
+        op10_pii,
     )
 }
 
