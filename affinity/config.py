@@ -13,6 +13,9 @@ from pyspark.sql import SparkSession
 # shuffle or by bucket.
 BROADCAST_ROWS = 1_000_000
 
+# Numbers beside the key that the bound above is meant for.
+BROADCAST_COLUMNS = 9
+
 # Rows up to which a table that is read in every step of a loop stays persisted.
 PERSIST_ROWS = 100_000_000
 
@@ -80,6 +83,11 @@ def session(config: Config = Config()) -> SparkSession:
     return builder.getOrCreate()
 
 
+def may_broadcast(rows: int, columns: int = 1, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a counted table with ``columns`` numbers beside its key is small enough."""
+    return rows * max(columns, BROADCAST_COLUMNS) <= limit * BROADCAST_COLUMNS
+
+
 _local_folders: dict[str, str] = {}
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinity.config import BROADCAST_ROWS
+from affinity.config import may_broadcast
 from affinity.operators.factor import GridFit
 
 
@@ -44,7 +44,8 @@ def root_mean_square(error: Column, weight: Column) -> Column:
 
 def _lookup(rows: DataFrame, table: DataFrame, key: str, table_rows: int) -> DataFrame:
     """Inner join with a table that has one row per key, counted beforehand."""
-    return rows.join(F.broadcast(table) if table_rows <= BROADCAST_ROWS else table, key)
+    small = may_broadcast(table_rows, len(table.columns) - 1)
+    return rows.join(F.broadcast(table) if small else table, key)
 
 
 def grid_errors(fit: GridFit, rows: DataFrame) -> DataFrame:

@@ -27,7 +27,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.config import BROADCAST_ROWS, GROUP_ROWS, MAX_BUCKETS, PERSIST_ROWS, TASK_ROWS
+from affinity.config import (
+    BROADCAST_COLUMNS,
+    BROADCAST_ROWS,
+    GROUP_ROWS,
+    MAX_BUCKETS,
+    PERSIST_ROWS,
+    TASK_ROWS,
+    may_broadcast,
+)
 from affinity.workspace import Workspace
 
 
@@ -73,6 +81,7 @@ class _Side:
     buckets: int
     hot: DataFrame | None
     pairs: DataFrame | None
+    few_hot: bool = True
 
     @property
     def keys(self) -> list[str]:
@@ -96,7 +105,13 @@ def _hot_groups(pairs: DataFrame, key: str, group_rows: int) -> DataFrame:
 
 
 def _layout(
-    workspace: Workspace, name: str, pairs: DataFrame, key: str, other: str, limits: Limits
+    workspace: Workspace,
+    name: str,
+    pairs: DataFrame,
+    key: str,
+    other: str,
+    limits: Limits,
+    columns: int,
 ) -> _Side:
     """Measure a key and lay the pairs out by it where some step needs that.
 
@@ -104,29 +119,30 @@ def _layout(
     """
     total = pairs.count()
     rows = largest = total  # no key has more values or a larger group than that
-    if total > limits.broadcast_rows:
+    if total > min(limits.broadcast_rows, limits.group_rows) or columns > BROADCAST_COLUMNS:
         rows, largest = _measure(pairs, key)
-    small = rows <= limits.broadcast_rows
+    small = may_broadcast(rows, columns, limits.broadcast_rows)
     cores = workspace.spark.sparkContext.defaultParallelism
     buckets = max(min(cores, -(-total // TASK_ROWS)), -(-total // limits.group_rows), 1)
     buckets = min(buckets, MAX_BUCKETS)
     if small and key == "movieId":
         return _Side(key, rows, small, buckets, None, None)
-    if small and total <= limits.persist_rows:
-        kept = pairs.repartition(buckets, key).persist(StorageLevel.MEMORY_AND_DISK)
-        return _Side(key, rows, small, buckets, None, kept)
-    hot = None
+    hot, few_hot = None, True
     if largest > limits.group_rows:
         hot = workspace.write(f"{name}/hot_{key}", _hot_groups(pairs, key, limits.group_rows))
+        few_hot = may_broadcast(hot.count(), 1, max(limits.broadcast_rows, TASK_ROWS))
         parts = F.coalesce(F.col("parts"), F.lit(1))
         pairs = (
-            pairs.join(F.broadcast(hot), key, "left")
+            pairs.join(F.broadcast(hot) if few_hot else hot, key, "left")
             .withColumn("part", F.pmod(F.xxhash64(other), parts).cast("int"))
             .drop("parts")
         )
     keys = [key] if hot is None else [key, "part"]
+    if small and total <= limits.persist_rows:
+        kept = pairs.repartition(buckets, *keys).persist(StorageLevel.MEMORY_AND_DISK)
+        return _Side(key, rows, small, buckets, hot, kept, few_hot)
     table = workspace.write_bucketed(f"{name}/by_{key}", pairs, keys, buckets)
-    return _Side(key, rows, small, buckets, hot, table)
+    return _Side(key, rows, small, buckets, hot, table, few_hot)
 
 
 def _per_part(factors: DataFrame, side: _Side) -> DataFrame:
@@ -135,7 +151,7 @@ def _per_part(factors: DataFrame, side: _Side) -> DataFrame:
         return factors
     last = F.coalesce(F.col("parts"), F.lit(1)) - 1
     return (
-        factors.join(F.broadcast(side.hot), side.key, "left")
+        factors.join(F.broadcast(side.hot) if side.few_hot else side.hot, side.key, "left")
         .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
         .drop("parts")
     )
@@ -199,8 +215,8 @@ def fit_grid(
             F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")
         ),
     )
-    by_user = _layout(workspace, name, pairs, "userId", "movieId", limits)
-    by_item = _layout(workspace, name, pairs, "movieId", "userId", limits)
+    by_user = _layout(workspace, name, pairs, "userId", "movieId", limits, len(lambdas))
+    by_item = _layout(workspace, name, pairs, "movieId", "userId", limits, len(lambdas))
 
     users = items = None
     snapshots = {"userId": [], "movieId": []}

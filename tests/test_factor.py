@@ -4,6 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.recommendation import ALS
+from pyspark.sql import functions as F
 
 from affinity.operators import evaluate, factor, model
 from affinity.schemas import USER_RATING
@@ -86,6 +87,26 @@ def test_large_layouts_give_the_same_factors(spark, workspace, limits):
         assert all(abs(a[k]["f4_0"] - b[k]["f4_0"]) < 1e-9 for k in a)
 
 
+def test_a_hot_user_is_split_on_the_persisted_layout(spark, workspace):
+    rows = [(0, i % 4_000, float(i % 5)) for i in range(20_000)]
+    rows += [(1 + i % 1_500, (i * 7) % 4_000, float(i % 3)) for i in range(12_000)]
+    ratings = spark.createDataFrame(rows, USER_RATING)
+    limits = factor.Limits(broadcast_rows=2_000, persist_rows=100_000, group_rows=1_000)
+    pairs = workspace.write(
+        "hot/pairs",
+        ratings.groupBy("userId", "movieId").agg(F.count("*").alias("n"), F.sum("rating").alias("s")),
+    )
+    side = factor._layout(workspace, "hot", pairs, "userId", "movieId", limits, 1)
+    assert side.hot is not None and side.keys == ["userId", "part"]
+    mine = side.pairs.filter("userId = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(mine) > 1 and max(r["count"] for r in mine) < 2_500 < sum(r["count"] for r in mine)
+    side.pairs.unpersist()
+    split = factor.fit_grid(workspace, ratings, (0.01,), (3,), limits=limits, name="split")
+    plain = factor.fit_grid(workspace, ratings, (0.01,), (3,), name="plain")
+    a, b = factors(split.users, "userId"), factors(plain.users, "userId")
+    assert a.keys() == b.keys() and all(abs(a[k]["f3_0"] - b[k]["f3_0"]) < 1e-9 for k in a)
+
+
 def test_normal_equations(spark, workspace):
     ratings = noisy(spark)
     fit = factor.fit_grid(workspace, ratings, (0.01,), (3,))
