@@ -7,7 +7,8 @@ size, one column after another, so no task and no driver ever holds a day, a
 second or a user as a whole. The two halves are then plain filters on the scan,
 plus the copies of the k-th row that belong to each side.
 
-No column of the input may hold nulls, which the cleaner guarantees.
+Nulls come first, as in an ascending ``order by``. Where there are any, they stand in for a
+value just below the smallest one until the halves are made.
 """
 
 from __future__ import annotations
@@ -47,6 +48,41 @@ def _bin(column: Column, low, high, bins: int) -> Column:
     return F.floor((column - F.lit(low)) / F.lit((high - low) / bins))
 
 
+def _without_nulls(ratings: DataFrame) -> tuple[DataFrame, dict]:
+    """The ratings with a value below all others in place of nulls, and these values.
+
+    Columns without nulls stay as they are, so that filters on them reach the scan.
+    """
+    found = ratings.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in ORDER],
+        *[F.min(c).alias(c) for c in ORDER],
+    ).first()
+    below = {
+        c: (found[c] - 1 if found[c] is not None else 0) for c in ORDER if found[f"n_{c}"]
+    }
+    if not below:
+        return ratings, below
+    kinds = dict(ratings.dtypes)
+    wide = {c: "double" if kinds[c] in ("float", "double") else "long" for c in below}
+    return ratings.withColumns(
+        {
+            c: F.coalesce(F.col(c).cast(wide[c]), F.lit(value).cast(wide[c]))
+            for c, value in below.items()
+        }
+    ), below
+
+
+def _with_nulls(half: DataFrame, below: dict, kinds: dict) -> DataFrame:
+    return half.select(
+        *[
+            F.when(F.col(c) != F.lit(below[c]), F.col(c)).cast(kinds[c]).alias(c)
+            if c in below
+            else F.col(c)
+            for c in OUTPUT
+        ]
+    )
+
+
 def _bounds(rows: DataFrame, name: str) -> tuple:
     """(lowest, highest, rows) of a column."""
     return tuple(rows.agg(F.min(name), F.max(name), F.count(F.lit(1))).first())
@@ -120,11 +156,13 @@ def time_split(
     ratings: DataFrame, share: float = 0.6, bins: int = BINS, few: int = FEW
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): the oldest ``int(n * share)`` rows and all others."""
+    kinds = dict(ratings.dtypes)
+    ratings, below = _without_nulls(ratings)
     bounds = _bounds(ratings, ORDER[0])
     k = train_size(bounds[-1], share)
     if k == 0:
-        nothing = ratings.select(*OUTPUT).filter(F.lit(False))
-        return nothing, ratings.select(*OUTPUT)
+        every = _with_nulls(ratings.select(*OUTPUT), below, kinds)
+        return every.filter(F.lit(False)), every
     boundary = find_boundary(ratings, k, bounds, bins, few)
     halves = []
     for before, copies in (
@@ -132,5 +170,6 @@ def time_split(
         (False, boundary.copies - boundary.train_copies),
     ):
         half = ratings.filter(_beyond(boundary.values, before)).select(*OUTPUT)
-        halves.append(half.union(_copies(ratings, boundary, copies)) if copies else half)
+        half = half.union(_copies(ratings, boundary, copies)) if copies else half
+        halves.append(_with_nulls(half, below, kinds) if below else half)
     return halves[0], halves[1]

@@ -32,6 +32,17 @@ def test_distinct_times(spark):
     check(spark, rows)
 
 
+def test_nulls_come_first(spark):
+    rows = [(i, i % 3, 1.0 + i % 2, 50 - i) for i in range(20)]
+    rows[3], rows[7], rows[11] = (3, 0, 2.0, None), (7, None, 1.0, 43), (None, 2, None, None)
+    train, test = halves(spark, rows)
+    key = lambda r: tuple((v is not None, v or 0) for v in (r[3], r[0], r[1], r[2]))
+    by_hand = sorted(rows, key=key)
+    assert [Counter(train), Counter(test)] == [
+        Counter(r[:3] for r in part) for part in (by_hand[:12], by_hand[12:])
+    ]
+
+
 def test_one_timestamp(spark):
     check(spark, [(i % 4, i % 3, (i % 5) / 2, 7) for i in range(10)])
 
