@@ -16,20 +16,28 @@ from affinity.schemas import TABLES
 
 EMPTY_LAST = "empty last field"
 TOO_FEW = "too few fields"
+TOO_MANY = "too many fields"
 BAD_VALUE = "bad value"
 
 
+def _count(parts: Column, least: int, most: int | None) -> Column:
+    """What is wrong with the number of fields, or null."""
+    wrong = F.when(F.size(parts) < least, TOO_FEW)
+    return wrong.when(F.size(parts) > most, TOO_MANY) if most else wrong
+
+
 def _links(parts: Column) -> tuple[Column, list[Column]]:
-    return F.size(parts) < 3, [to_int(F.get(parts, F.lit(i))) for i in range(3)]
+    return _count(parts, 3, 3), [to_int(F.get(parts, F.lit(i))) for i in range(3)]
 
 
 def _ratings(parts: Column) -> tuple[Column, list[Column]]:
     casts = (to_int, to_int, to_double, to_int)
-    return F.size(parts) < 4, [cast(F.get(parts, F.lit(i))) for i, cast in enumerate(casts)]
+    return _count(parts, 4, 4), [cast(F.get(parts, F.lit(i))) for i, cast in enumerate(casts)]
 
 
 def _tags(parts: Column) -> tuple[Column, list[Column]]:
-    return F.size(parts) < 4, [
+    # The tag is free text between the others, commas included.
+    return _count(parts, 4, None), [
         to_int(F.get(parts, F.lit(0))),
         to_int(F.get(parts, F.lit(1))),
         strip(middle(parts, before=2, after=1)),
@@ -39,12 +47,17 @@ def _tags(parts: Column) -> tuple[Column, list[Column]]:
 
 def _movies(record: Column) -> tuple[Column, list[Column]]:
     missing = record["title"].isNull() | record["genres"].isNull()
-    return missing, [to_int(record["movieId"]), strip(record["title"]), strip(record["genres"])]
+    wrong = F.when(missing, TOO_FEW).when(record["surplus"].isNotNull(), TOO_MANY)
+    return wrong, [to_int(record["movieId"]), strip(record["title"]), strip(record["genres"])]
 
 
 def _quoted(line: Column) -> Column:
-    """Three fields of a line in which the title may be quoted."""
-    return F.from_csv(line, "movieId string, title string, genres string", {"escape": '"'})
+    """Three fields of a line in which the title may be quoted; ``surplus`` if not three."""
+    return F.from_csv(
+        line,
+        "movieId string, title string, genres string, surplus string",
+        {"escape": '"', "columnNameOfCorruptRecord": "surplus"},
+    )
 
 
 _RULES = {
@@ -60,18 +73,18 @@ def classify(lines: DataFrame, table: str) -> DataFrame:
     record_of, typed_of = _RULES[table]
     names = TABLES[table].names
     records = lines.select("value", record_of(F.col("value")).alias("_record"))
-    too_few, typed = typed_of(F.col("_record"))
+    wrong, typed = typed_of(F.col("_record"))
     # A row made by ``inline`` is computed once: filters on it are not pushed below
     # and do not parse the line again.
-    parsed = F.struct(too_few.alias("_short"), *[c.alias(n) for c, n in zip(typed, names)])
+    parsed = F.struct(wrong.alias("_wrong"), *[c.alias(n) for c, n in zip(typed, names)])
     rows = records.select("value", F.inline(F.array(parsed)))
     unread = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
     reason = (
         F.when(F.col("value").endswith(","), EMPTY_LAST)
-        .when(F.col("_short"), TOO_FEW)
+        .when(F.col("_wrong").isNotNull(), F.col("_wrong"))
         .when(unread, BAD_VALUE)
     )
-    return rows.withColumn("reason", reason).drop("_short")
+    return rows.withColumn("reason", reason).drop("_wrong")
 
 
 def kept(classified: DataFrame, table: str) -> DataFrame:

@@ -40,9 +40,15 @@ def nth_user(ratings: DataFrame, n: int) -> DataFrame:
     return first.agg(F.max("userId").alias("userId"))
 
 
+def one_title(movies: DataFrame) -> DataFrame:
+    """(movieId, title): the smallest title of each id, however often the catalogue has it."""
+    return movies.groupBy("movieId").agg(F.min("title").alias("title"))
+
+
 def list_titles(top: DataFrame, movies: DataFrame) -> DataFrame:
     """Titles for a top-n list. The list is n rows long, so it is the broadcast side."""
-    named = movies.select("movieId", "title")
+    few = F.broadcast(top.select("movieId").distinct())
+    named = one_title(movies.select("movieId", "title").join(few, "movieId", "left_semi"))
     return named.join(F.broadcast(top), "movieId")
 
 
@@ -53,5 +59,5 @@ def lookup_titles(rows: DataFrame, movies: DataFrame) -> DataFrame:
     shared by a third of the rows meets a single catalogue row.
     """
     ids = rows.select("movieId").distinct()
-    named = movies.select("movieId", "title").join(ids, "movieId", "left_semi")
+    named = one_title(movies.select("movieId", "title").join(ids, "movieId", "left_semi"))
     return rows.join(named, "movieId", "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -37,18 +38,22 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
         F.count_if(reason.isNotNull() & (reason != clean.EMPTY_LAST)).alias("rejected"),
     )
     # A kept line is not stored beside its fields.
-    rows.select(
+    split = rows.select(
         *columns,
         F.when(reason.isNotNull(), F.col("value")).alias("value"),
         "reason",
         F.when(reason.isNull(), "kept").otherwise("rejected").alias("status"),
-    ).write.mode("overwrite").partitionBy("status").parquet(path)
+    )
+    with _open_writers(spark, 2):  # one for each status, so rows need not be sorted by it
+        split.write.mode("overwrite").partitionBy("status").parquet(path)
 
     kept_path = f"{path}/status=kept"
     counts = seen.get
     if name:
         spark.sql(f"drop table if exists {name}")
-    if name and counts["kept"]:
+    if not counts["kept"]:
+        spark.createDataFrame([], TABLES[table]).write.mode("overwrite").parquet(kept_path)
+    if name:
         spark.catalog.createTable(name, path=kept_path, source="parquet", schema=TABLES[table])
     stored = spark.read.schema(f"{_ddl(table)}, value string, reason string, status string")
     everything = stored.parquet(path)
@@ -59,5 +64,19 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
     )
 
 
+@contextmanager
+def _open_writers(spark, n: int):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _ddl(table: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table])

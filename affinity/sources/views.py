@@ -30,12 +30,46 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("movieId"),
-        F.concat("p_name", F.lit(', The "'), "p_brand", F.lit('"')).alias("title"),
-        F.concat("p_type", F.lit("|"), "p_brand").alias("genres"),
+    """The catalogue. Parts of size 2 or 3 are in it twice, with a later or an earlier title."""
+    parts = _table(spark, sf_dir, "part")
+    title = F.concat("p_name", F.lit(', The "'), "p_brand", F.lit('"'))
+    other = F.when(F.col("p_size") == 2, F.concat(title, F.lit(" again"))).otherwise(
+        F.concat(F.lit("A "), title)
     )
 
+    def rows(of: DataFrame, name) -> DataFrame:
+        return of.select(
+            F.col("p_partkey").cast("int").alias("movieId"),
+            name.alias("title"),
+            F.concat("p_type", F.lit("|"), "p_brand").alias("genres"),
+        )
+
+    return rows(parts, title).union(rows(parts.filter("p_size in (2, 3)"), other))
+
+
+# What is wrong with a nation's line in each file, by its key modulo 4.
+# ``k`` is the key and ``name`` the name of the nation.
+WRONG_LINES = {
+    "links": ("{k}", "{k},{k},{k},{k}", "{k},,{k}", "{k},{k},"),
+    "movies": ("{k},{name}", "{k},{name}, The,Drama", ",{name},Drama", "{k},{name},"),
+    "ratings": ("{k},{k},4.0", "{k},{k},4.0,{k},{k}", "{k},,4.0,{k}", "{k},{k},4.0,"),
+    "tags": ("{k},{name},{k}", "{k},{k},{name}, {name},{k}", "{k},,{name},{k}", "{k},{k},{name},"),
+}
+
+
+def wrong_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A line of each nation that is short, has a field too many, a null one or no last one.
+
+    Only in tags is the second form no error: a tag may hold commas.
+    """
+    key, value = F.col("n_nationkey"), None
+    for case, line in enumerate(WRONG_LINES[table]):
+        text = F.lit(line)
+        for mark, column in (("{k}", key.cast("string")), ("{name}", F.col("n_name"))):
+            text = F.replace(text, F.lit(mark), column)
+        value = (F if value is None else value).when(key % 4 == case, text)
+    return _table(spark, sf_dir, "nation").select(value.alias("value"))
+
 
 def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with blanks and a leading zero; parts of size 1 have no last field."""

@@ -41,7 +41,10 @@ def test_short_tag_lines_are_rejected(spark, line):
 
 def test_links(spark):
     assert cleaned(spark, "links", "1, 0114709 ,862") == [(1, 114709, 862)]
-    assert cleaned(spark, "links", "1,2,3,more") == [(1, 2, 3)]
+    assert reason(spark, "links", "1,2,3,more") == clean.TOO_MANY
+    assert reason(spark, "ratings", "1,2,3.0,4,more") == clean.TOO_MANY
+    assert reason(spark, "movies", "5,A, B,X|Y") == clean.TOO_MANY
+    assert cleaned(spark, "movies", '5,"A, B",X|Y') == [(5, "A, B", "X|Y")]
     assert reason(spark, "links", "101,102,") == clean.EMPTY_LAST
     assert reason(spark, "links", "1,x,862") == clean.BAD_VALUE
     assert reason(spark, "links", "1,2.5,862") == clean.BAD_VALUE
