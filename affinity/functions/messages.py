@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def encode(ratings: DataFrame, topic: str, *keep: str, per_user_key: bool = False) -> DataFrame:
+def encode(ratings: DataFrame, topic: str | None, *keep: str) -> DataFrame:
     """One message per rating, beside the columns to ``keep``.
 
-    The key is the topic name. A topic with several partitions takes
-    ``per_user_key``: one shared key would send every message to one partition.
+    The key is the name of the ``topic``, or the user if that is None. A broker is sent
+    user keys: one shared key would put every message into one partition.
     """
-    key = F.col("userId").cast("string") if per_user_key else F.lit(topic)
+    key = F.lit(topic) if topic is not None else F.col("userId").cast("string")
     return ratings.select(
         *keep, key.alias("key"), F.concat_ws("|", "userId", "movieId", "rating").alias("value")
     )

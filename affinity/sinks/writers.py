@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.config import JdbcTarget
+from affinity.functions.messages import user_id
 
 # Rows of one output file when few files are asked for.
 FILE_ROWS = 5_000_000
@@ -41,29 +42,57 @@ def pending_rows(results: DataFrame, stored: DataFrame, run_id: str) -> DataFram
     return results.withColumn("run_id", F.lit(run_id)).join(mine, ["userId", "rank"], "left_anti")
 
 
+def table_exists(spark: SparkSession, target: JdbcTarget) -> bool:
+    """Whether the database has the target, by its standard catalogue."""
+    name = target.table.rsplit(".", 1)[-1].strip('"`').lower().replace("'", "''")
+    found = spark.read.jdbc(
+        target.url,
+        f"(select 1 as there from information_schema.tables where lower(table_name) = '{name}') as t",
+        properties=target.properties(),
+    )
+    return bool(found.head(1))
+
+
+def stored_rows(spark: SparkSession, target: JdbcTarget, run_id: str, users: tuple, connections: int) -> DataFrame:
+    """(run_id, userId, rank) of the run in the target, read by ranges of users."""
+    run = run_id.replace("'", "''")
+    return spark.read.jdbc(
+        target.url,
+        f"(select run_id, userId, rank from {target.table} where run_id = '{run}') as stored",
+        column="userId",
+        lowerBound=users[0],
+        upperBound=users[1] + 1,
+        numPartitions=connections,
+        properties=target.properties(),
+    )
+
+
 def append_jdbc(results: DataFrame, target: JdbcTarget, run_id: str, connections: int = 16) -> None:
     """Append a run's top-n rows in one write over a bounded number of connections.
 
-    Rows of the run that are already stored are left out, so a rerun adds nothing.
-    A unique key on (run_id, userId, rank) in the database also covers a task that
-    fails after its commit.
+    Rows of the run that are already stored are left out, so a rerun adds nothing; the first
+    write makes the table. A unique key on (run_id, userId, rank) in the database also covers
+    a task that fails after its commit.
     """
     spark: SparkSession = results.sparkSession
-    stored = spark.read.jdbc(
-        target.url,
-        f"(select run_id, userId, rank from {target.table}) as stored",
-        properties=target.properties(),
-    )
-    rows = pending_rows(results, stored, run_id)
+    rows = results.withColumn("run_id", F.lit(run_id))
+    users = tuple(results.agg(F.min("userId"), F.max("userId")).first())
+    if users[0] is not None and table_exists(spark, target):
+        rows = pending_rows(results, stored_rows(spark, target, run_id, users, connections), run_id)
     rows.write.mode("append").option("numPartitions", connections).jdbc(
         target.url, target.table, properties=target.properties()
     )
 
 
 def send_messages(messages: DataFrame, fmt: str, location: str, topic: str | None = None) -> None:
-    """Write (key, value) rows to ``kafka`` brokers, or as files of another format."""
+    """Write (key, value) rows to ``kafka`` brokers, or as files of another format.
+
+    For brokers, a key that is the topic's name gives way to the user of the message.
+    """
     rows = messages.select("key", "value")
     if fmt == "kafka":
+        by_user = F.coalesce(user_id(F.col("value")).cast("string"), F.col("key"))
+        rows = rows.withColumn("key", F.when(F.col("key") == topic, by_user).otherwise(F.col("key")))
         rows.write.format("kafka").option("kafka.bootstrap.servers", location).option(
             "topic", topic
         ).save()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,10 @@ from affinity.operators.serve import (
 from affinity.schemas import MESSAGE
 
 
+# Messages that one batch takes from a topic unless told otherwise.
+OFFSETS_PER_BATCH = 10_000_000
+
+
 def read_messages(
     spark: SparkSession,
     fmt: str,
@@ -30,22 +35,29 @@ def read_messages(
     topics: str | None = None,
     files_per_batch: int | None = None,
     starting: str = "latest",
+    offsets_per_batch: int | None = OFFSETS_PER_BATCH,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A stream of (key, value) strings.
 
+    ``offsets_per_batch`` bounds what one batch takes from a topic, also after a pause;
+    ``options`` go to the reader as they are.
+
     ``fmt`` is ``kafka`` (``location`` = brokers, ``topics`` = comma list) or a
     file format (``location`` = folder).
     """
     if fmt == "kafka":
-        stream = (
+        reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", location)
             .option("subscribe", topics)
             .option("startingOffsets", starting)
-            .load()
         )
+        if offsets_per_batch:
+            reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
+        stream = reader.options(**(options or {})).load()
         return stream.select(F.col("key").cast("string"), F.col("value").cast("string"))
-    reader = spark.readStream.format(fmt).schema(MESSAGE)
+    reader = spark.readStream.format(fmt).schema(MESSAGE).options(**(options or {}))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(location)
@@ -104,7 +116,10 @@ def routed(batch: DataFrame, known: DataFrame) -> DataFrame:
 class CurrentModel:
     """The published model and its lists, loaded again only when another is published.
 
-    The user factors stay persisted between batches; what is lost is read again.
+    The user factors stay persisted between batches, hashed on the user: a batch moves its
+    own users to them and never the model. What is lost is read again. The lists are at most
+    4n rows and stay with the server; nothing is written into the registry, which servers
+    with other lists may share. ``close`` releases the factors.
     """
 
     def __init__(self, spark: SparkSession, root: str, popular: DataFrame, movies: DataFrame, n: int):
@@ -118,15 +133,19 @@ class CurrentModel:
         if path != self._path:
             model = models.load(self.spark, path)
             lists = serving_lists(model, self.popular, self.movies, self.n)
-            # At most 4n rows, kept beside the model they belong to.
-            lists.coalesce(1).write.mode("overwrite").parquet(f"{path}/lists")
-            if self._loaded:
-                self._loaded[0].users.unpersist()
-            model.users.persist(StorageLevel.MEMORY_AND_DISK)
-            self._loaded = model, self.spark.read.schema(lists.schema).parquet(f"{path}/lists")
+            lists = self.spark.createDataFrame(lists.collect(), lists.schema)
+            self.close()
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            users = model.users.repartition(parts, "userId").persist(StorageLevel.MEMORY_AND_DISK)
+            self._loaded = replace(model, users=users), lists
             self._path = path
         return self._loaded
 
+    def close(self) -> None:
+        if self._loaded:
+            self._loaded[0].users.unpersist()
+        self._loaded = self._path = None
+
 
 def by_batch(
     stream: DataFrame,

@@ -21,6 +21,16 @@ class Workspace:
         self.tag = uuid.uuid4().hex[:12]
         self.root = root or f"{shared_folder(spark)}/affinity-{self.tag}"
         self._stages: dict[str, DataFrame] = {}
+        self._tables: list[str] = []
+
+    def close(self) -> None:
+        """Drop the tables and delete the folder; nothing read from them works afterwards."""
+        for table in self._tables:
+            self.spark.sql(f"drop table if exists {table}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(path, True)
+        self._tables, self._stages = [], {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -55,4 +65,5 @@ class Workspace:
             .option("path", self.path(name))
             .saveAsTable(table)
         )
+        self._tables.append(table)
         return self.spark.table(table)

@@ -49,16 +49,66 @@ def test_append_jdbc_is_one_append(spark, monkeypatch):
         [(1, 1, 10, 4.0)], "userId int, rank int, movieId int, rating double"
     )
     stored = spark.createDataFrame([], "run_id string, userId int, rank int")
-    calls = []
-    monkeypatch.setattr(
-        type(spark.read), "jdbc", lambda self, url, table, properties: stored, raising=True
-    )
+    calls, reads = [], []
+
+    def read(self, url, table, **options):
+        reads.append((table, options))
+        if "information_schema" in table:
+            return spark.range(1 if there else 0)
+        return stored
+
+    there = False
+    monkeypatch.setattr(type(spark.read), "jdbc", read, raising=True)
     monkeypatch.setattr(
         type(results.write), "jdbc",
         lambda self, url, table, properties: calls.append((url, table, properties)),
     )
     writers.append_jdbc(results, target, "run")
     assert calls == [("jdbc:x:y", "als", target.properties())]
+    assert len(reads) == 1  # an absent target is not read
+    there = True
+    writers.append_jdbc(results, target, "it's a run", connections=4)
+    assert len(calls) == 2
+    table, options = reads[-1]
+    assert "run_id = 'it''s a run'" in table
+    assert (options["column"], options["lowerBound"], options["numPartitions"]) == ("userId", 1, 4)
+
+
+def test_a_broker_is_sent_user_keys(spark, monkeypatch):
+    sent = []
+
+    class Writer:
+        def __init__(self, df):
+            self.df = df
+
+        def format(self, name):
+            return self
+
+        option = lambda self, *a: self
+
+        def save(self):
+            sent.extend(tuple(r) for r in self.df.collect())
+
+    df = spark.createDataFrame([("t", "7|1|2.0"), ("own", "8|1|2.0"), ("t", "bad")], "key string, value string")
+    monkeypatch.setattr(type(df), "write", property(Writer))
+    writers.send_messages(df, "kafka", "host:1", "t")
+    assert sorted(k for k, _ in sent) == ["7", "own", "t"]
+
+
+def test_close_leaves_nothing_behind(spark):
+    import os
+
+    from affinity.workspace import Workspace
+
+    workspace = Workspace(spark)
+    workspace.write_bucketed("b", spark.range(10), ["id"], 2)
+    workspace.write("rows", spark.range(3))
+    tables = list(workspace._tables)
+    root = workspace.root.removeprefix("file:")
+    assert os.path.isdir(root) and all(spark.catalog.tableExists(t) for t in tables)
+    workspace.close()
+    assert not os.path.exists(root)
+    assert not any(spark.catalog.tableExists(t) for t in tables)
 
 
 def test_jdbc_settings_come_from_the_environment():

@@ -37,7 +37,7 @@ def test_encode_then_decode(spark):
     ratings = spark.createDataFrame([(139, 50, 4.0)], "userId int, movieId int, rating double")
     encoded = messages.encode(ratings, "topic").first()
     assert tuple(encoded) == ("topic", "139|50|4.0")
-    assert messages.encode(ratings, "topic", per_user_key=True).first()["key"] == "139"
+    assert messages.encode(ratings, None).first()["key"] == "139"
 
 
 def test_suggest(spark, small):
@@ -139,6 +139,10 @@ class Recorder:
         self.settings[key] = value
         return self
 
+    def options(self, **more):
+        self.settings.update(more)
+        return self
+
     def load(self):
         return self.result
 
@@ -150,13 +154,17 @@ def test_kafka_source_settings(spark, monkeypatch):
     binary = spark.createDataFrame([(b"t", b"1|2|3.0")], "key binary, value binary")
     recorder = Recorder(binary)
     monkeypatch.setattr(type(spark), "readStream", property(lambda self: recorder))
-    rows = stream.read_messages(spark, "kafka", "host:9092", "movie_topic,other")
+    rows = stream.read_messages(
+        spark, "kafka", "host:9092", "movie_topic,other", options={"failOnDataLoss": "false"}
+    )
     assert tuple(rows.first()) == ("t", "1|2|3.0")
     assert recorder.settings == {
         "format": "kafka",
         "kafka.bootstrap.servers": "host:9092",
         "subscribe": "movie_topic,other",
         "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": stream.OFFSETS_PER_BATCH,
+        "failOnDataLoss": "false",
     }
 
 
@@ -170,3 +178,41 @@ def test_kafka_sink_settings(spark, monkeypatch):
         "kafka.bootstrap.servers": "host:9092",
         "topic": "movie_topic",
     }
+
+
+def test_servers_with_other_lists_share_a_registry(spark, small, workspace):
+    m, popular, movies = small
+    root = workspace.path("registry")
+    model.publish(m, root)
+    servers = [stream.CurrentModel(spark, root, popular, movies, n) for n in (1, 2)]
+    for _ in range(2):
+        for server, n in zip(servers, (1, 2)):
+            lists = server.get()[1]
+            assert lists.filter("direction = 1").count() == n
+    for server in servers:
+        server.close()
+        assert not server._loaded
+    assert servers[0].get()[1].count() > 0
+    servers[0].close()
+
+
+def test_a_batch_moves_its_users_and_not_the_model(spark, small, workspace):
+    m, popular, movies = small
+    root = workspace.path("registry")
+    model.publish(m, root)
+    server = stream.CurrentModel(spark, root, popular, movies, 2)
+    loaded, lists = server.get()
+    asked = serve.decode(spark.createDataFrame([("t", "1|0|1"), ("t", "3|0|1")], MESSAGE))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        text = serve.suggest(asked, loaded, lists)._jdf.queryExecution().sparkPlan().toString()
+        known = serve.known_among(loaded.users, asked.select("userId"))
+        executed = known._jdf.queryExecution().executedPlan().toString()
+        # One exchange: the distinct users of the batch.
+        assert executed.split("InMemoryRelation")[0].count("Exchange hashpartitioning") <= 1
+        assert "InMemoryTableScan" in executed and text
+    finally:
+        spark.conf.set(setting, before)
+        server.close()
