@@ -1,4 +1,4 @@
-"""Factor models: choose, save, load, recommend."""
+"""Factor models: choose, save, load, list."""
 
 from __future__ import annotations
 
@@ -111,7 +111,7 @@ def direction(factor: Column) -> Column:
     return F.signum(factor).cast("int")
 
 
-def recommend(users: DataFrame, lists: DataFrame) -> DataFrame:
+def suggestions_for(users: DataFrame, lists: DataFrame) -> DataFrame:
     """(userId, rank, movieId, rating, ...) for rows (userId, factor).
 
     Only the lists travel; users are not shuffled. Items a user has rated stay in.
@@ -139,8 +139,8 @@ def titled(lists: DataFrame, movies: DataFrame) -> DataFrame:
 def for_users(model: Model, users: DataFrame, n: int = 5) -> DataFrame:
     """Top-n of the given users; users unknown to the model give no row."""
     wanted = model.users.join(users.select("userId").distinct(), "userId", "left_semi")
-    return recommend(wanted, top_lists(model.items, n))
+    return suggestions_for(wanted, top_lists(model.items, n))
 
 
 def for_all(model: Model, n: int = 5) -> DataFrame:
-    return recommend(model.users, top_lists(model.items, n))
+    return suggestions_for(model.users, top_lists(model.items, n))

@@ -14,7 +14,7 @@ from affinity.functions import messages
 from affinity.operators import anyrank, clean, evaluate, factor, model, popular, serve
 from affinity.plans import ingest
 from affinity.plans.stages import Stages
-from affinity.schemas import LINKS
+from affinity.schemas import LINKS, TABLES
 from affinity.sinks import writers
 from affinity.sources import readers, views
 from affinity.streaming import replay, stream
@@ -25,15 +25,24 @@ TOPIC = CONFIG.topic
 # Fixed values of the workload: messages of a bounded replay, and whose list is shown.
 REPLAY_LIMIT = 10_000
 NTH_USER = 139
-REPLAY_FILE = 2_500
+REPLAY_FILE = 10_000
 REPLAY_ORDER = ["userId", "movieId", "rating"]
 
-_LINES = {
+_GOOD_LINES = {
     "links": views.link_lines,
     "movies": views.movie_lines,
     "ratings": views.rating_lines,
     "tags": views.tag_lines,
 }
+
+
+def _lines(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: _GOOD_LINES[table](spark, sf_dir).union(
+        views.wrong_lines(spark, sf_dir, table)
+    )
+
+
+_LINES = {table: _lines(table) for table in _GOOD_LINES}
 _stages: dict[tuple[str, str], Stages] = {}
 
 
@@ -67,9 +76,9 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean.rejected(clean.classify(raw_lines(spark, sf_dir, table), table)).select(
             F.lit(table).alias("table_name"), "value", "reason"
         )
-        for table in ("links", "ratings")
+        for table in _LINES
     ]
-    return parts[0].union(parts[1])
+    return reduce(DataFrame.union, parts)
 
 
 def etl_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +115,42 @@ def ingest_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_text(rows: DataFrame, table: str) -> DataFrame:
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in TABLES[table].names]
+    return rows.select(F.lit(table).alias("table_name"), F.concat_ws("|", *texts).alias("fields"))
+
+
+def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that every catalog table holds after its raw file was put in."""
+    s = stages(spark, sf_dir)
+    parts = []
+    for table in _LINES:
+        name = f"{table}_{uuid.uuid4().hex[:8]}"
+        ingest.ingest(raw_lines(spark, sf_dir, table), table, _fresh(s, f"rows-{table}"), name)
+        parts.append(_as_text(spark.table(name), table))
+    return reduce(DataFrame.union, parts)
+
+
+def ingest_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of raw files in which no line can be kept: they are there, and empty."""
+    s = stages(spark, sf_dir)
+    parts = []
+    for table in ("links", "movies", "ratings"):
+        name = f"{table}_{uuid.uuid4().hex[:8]}"
+        lines = s.workspace.text_stage(
+            f"wrong/{table}", lambda t=table: views.wrong_lines(spark, sf_dir, t)
+        )
+        done = ingest.ingest(lines, table, _fresh(s, f"nothing-{table}"), name)
+        stored = spark.table(name).agg(F.count(F.lit(1)).alias("stored"))
+        parts.append(
+            stored.selectExpr(
+                f"'{table}' as table_name", "stored", f"{done.rejected}L as rejected",
+                f"{done.dropped}L as dropped",
+            )
+        )
+    return reduce(DataFrame.union, parts)
+
+
 def links_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links as CSV with a header, filtered, written as few files, read back."""
     s = stages(spark, sf_dir)
@@ -293,7 +338,7 @@ def als_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lists of all users, put into a result table."""
     s = stages(spark, sf_dir)
-    name = f"recommendations_{uuid.uuid4().hex[:8]}"
+    name = f"top_items_{uuid.uuid4().hex[:8]}"
     rows = model.for_all(s.model(), CONFIG.list_size)
     return _rounded(writers.replace_table(rows, name, s.workspace.path(name)))
 
@@ -307,16 +352,25 @@ def als_topn_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stages(spark, sf_dir)
     chosen = s.model()
     return _rounded(
-        model.recommend(chosen.users, model.titled(model.top_lists(chosen.items), s.movies)),
+        model.suggestions_for(chosen.users, model.titled(model.top_lists(chosen.items), s.movies)),
         "title",
     )
 
 
 def als_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published model as a reader finds it."""
+    """The published model as a reader finds it: factors of both sides and parameters."""
     root = stages(spark, sf_dir).published()
     loaded = model.load(spark, model.current_path(spark, root))
-    return loaded.users.select("userId", F.round("factor", 6).alias("factor"))
+    facts = spark.createDataFrame(
+        [("lambda", loaded.lam), ("iterations", float(loaded.iterations)), ("rmse", loaded.rmse)],
+        "part string, value double",
+    )
+    rows = [
+        loaded.users.select(F.lit("user").alias("part"), F.col("userId").alias("id"), "factor"),
+        loaded.items.select(F.lit("item").alias("part"), F.col("movieId").alias("id"), "factor"),
+        facts.select("part", F.lit(0).alias("id"), F.col("value").alias("factor")),
+    ]
+    return reduce(DataFrame.union, rows).withColumn("factor", F.round("factor", 6))
 
 
 def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,11 +391,11 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bounded replay as a paced stream: which batch brings which message."""
+    """The whole test half as a paced stream: which batch brings which message."""
     s = stages(spark, sf_dir)
     inbox = _fresh(s, "replay")
-    head = s.workspace.stage("replay_head", lambda: _head(spark, sf_dir))
-    replay.write_in_order(head, inbox, REPLAY_FILE)
+    rows = replay.numbered(s.workspace, _fresh(s, "numbered"), s.test(), REPLAY_ORDER)
+    replay.write_in_order(messages.encode(rows, TOPIC, "position"), inbox, REPLAY_FILE)
     rows = stream.decoded(stream.read_messages(spark, "parquet", inbox, files_per_batch=1))
     stream.by_batch(
         rows, lambda batch: batch, f"{inbox}-out", f"{inbox}-checkpoint"
@@ -368,9 +422,12 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = stream.CurrentModel(
         spark, s.published(), s.popular(), s.movies, CONFIG.list_size
     )
-    stream.serve(
-        _replayed(spark, sf_dir), current, out, f"{out}-checkpoint"
-    ).awaitTermination()
+    try:
+        stream.serve(
+            _replayed(spark, sf_dir), current, out, f"{out}-checkpoint"
+        ).awaitTermination()
+    finally:
+        current.close()
     return (
         spark.read.parquet(out)
         .groupBy("userId", "source", "rank", "movieId", "title")
@@ -386,6 +443,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejects": rejects,
     "etl_counts": etl_counts,
     "ingest_tables": ingest_tables,
+    "ingest_rows": ingest_rows,
+    "ingest_nothing": ingest_nothing,
     "links_not_null": links_not_null,
     "table_roundtrip": table_roundtrip,
     "ratings_count": ratings_count,

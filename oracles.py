@@ -30,9 +30,46 @@ test as materialized (
   select userId, movieId, rating from numbered where rn > floor(n * cast(0.6 as double)))"""
 )
 
-MOVIES = """movies as (
-  select cast(p_partkey as int) as movieId, p_name || ', The "' || p_brand || '"' as title
-  from part)"""
+CATALOGUE = """catalogue as (
+  select cast(p_partkey as int) as movieId, p_name || ', The "' || p_brand || '"' as title,
+         p_type || '|' || p_brand as genres
+  from part
+  union all
+  select cast(p_partkey as int),
+         case when p_size = 2 then p_name || ', The "' || p_brand || '" again'
+              else 'A ' || p_name || ', The "' || p_brand || '"' end,
+         p_type || '|' || p_brand
+  from part where p_size in (2, 3))"""
+
+MOVIES = CATALOGUE + """,
+movies as (select movieId, min(title) as title from catalogue group by movieId)"""
+
+# Lines of nations that are wrong in each file, by the key modulo 4, and why.
+_K = "cast(n_nationkey as varchar)"
+WRONG = {
+    "links": (_K, f"concat_ws(',', {_K}, {_K}, {_K}, {_K})", f"{_K} || ',,' || {_K}", f"{_K} || ',' || {_K} || ','"),
+    "movies": (
+        f"{_K} || ',' || n_name", f"{_K} || ',' || n_name || ', The,Drama'",
+        "',' || n_name || ',Drama'", f"{_K} || ',' || n_name || ','",
+    ),
+    "ratings": (
+        f"{_K} || ',' || {_K} || ',4.0'", f"concat_ws(',', {_K}, {_K}, '4.0', {_K}, {_K})",
+        f"{_K} || ',,4.0,' || {_K}", f"{_K} || ',' || {_K} || ',4.0,'",
+    ),
+    "tags": (
+        f"{_K} || ',' || n_name || ',' || {_K}", None,
+        f"{_K} || ',,' || n_name || ',' || {_K}", f"{_K} || ',' || {_K} || ',' || n_name || ','",
+    ),
+}
+REASONS = ("too few fields", "too many fields", "bad value", "empty last field")
+
+
+def _wrong(table: str) -> str:
+    return "\nunion all\n".join(
+        f"select '{table}' as table_name, {line} as value, '{reason}' as reason from nation where n_nationkey % 4 = {case}"
+        for case, (line, reason) in enumerate(zip(WRONG[table], REASONS, strict=True))
+        if line
+    )
 
 POPULAR = """popular as (
   select cast(row_number() over (order by c desc, movieId) as int) as rank, movieId, c
@@ -99,7 +136,10 @@ TOPN = """topn as (
 TAGS = f"""select cast(doc_id as int) as userId, cast(n_chars as int) as movieId,
        trim(replace(replace(translate(text, chr(10) || chr(13), '  '), ',', ''), '"', ''), {BLANKS}) as tag,
        cast(doc_id + 1442943290 as int) as timestamp
-from documents"""
+from documents
+union all
+select cast(n_nationkey as int), cast(n_nationkey as int), n_name || ' ' || n_name, cast(n_nationkey as int)
+from nation where n_nationkey % 4 = 1"""
 
 LINK_VALUE = """cast(p_partkey as varchar) || ', 0' || cast(p_partkey * 7 + 100000 as varchar) || ' ,' ||
        case when p_size = 1 then '' else cast(p_partkey * 3 as varchar) end"""
@@ -112,14 +152,28 @@ def _sql(*ctes_and_body: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
+def _outcome() -> str:
+    """(table_name, reason) of every raw line, null where it is kept."""
+    return "\nunion all\n".join(
+        [
+            "select 'links' as table_name, case when p_size = 1 then 'empty last field' end as reason from part",
+            "select 'movies', null from part",
+            "select 'movies', null from part where p_size in (2, 3)",
+            "select 'ratings', case when flag = 'R' then 'bad value' end from ratings",
+            "select 'tags', null from documents",
+            "select 'tags', null from nation where n_nationkey % 4 = 1",
+        ]
+        + [f"select table_name, reason from ({_wrong(t)})" for t in WRONG]
+    )
+
+
 def all_oracles() -> dict[str, str]:
     top = "select cast(row_number() over (order by {o}) as int) as rank, * from ({q})"
     counted = "select movieId, count(*) as c from train group by movieId order by {o} limit 5"
     return {
         "clean_links": """select cast(p_partkey as int) as movieId, cast(p_partkey * 7 + 100000 as int) as imdbId,
        cast(p_partkey * 3 as int) as tmdbId from part where p_size <> 1""",
-        "clean_movies": """select cast(p_partkey as int) as movieId, p_name || ', The "' || p_brand || '"' as title,
-       p_type || '|' || p_brand as genres from part""",
+        "clean_movies": _sql(CATALOGUE, "select movieId, title, genres from catalogue"),
         "clean_ratings": _sql(
             RATINGS, "select userId, movieId, rating, timestamp from ratings where flag <> 'R'"
         ),
@@ -130,21 +184,43 @@ def all_oracles() -> dict[str, str]:
 from part where p_size = 1
 union all
 select 'ratings', 'x' || concat_ws(',', userId, movieId, rating, timestamp), 'bad value'
-from ratings where flag = 'R'""",
+from ratings where flag = 'R'
+union all
+"""
+            + "\nunion all\n".join(map(_wrong, WRONG)),
+        ),
+        "etl_counts": _sql(
+            RATINGS,
+            f"outcome as ({_outcome()})",
+            """select table_name, count(*) filter (reason is null) as kept,
+       count(*) filter (reason = 'empty last field') as dropped,
+       count(*) filter (reason <> 'empty last field') as rejected
+from outcome group by table_name""",
+        ),
+        "ingest_tables": _sql(
+            RATINGS,
+            f"outcome as ({_outcome()})",
+            """select table_name, count(*) filter (reason is null) as stored,
+       count(*) filter (reason is not null) as rejects, count(*) filter (reason is null) as counted
+from outcome group by table_name""",
+        ),
+        "ingest_rows": _sql(
+            RATINGS,
+            CATALOGUE,
+            f"tags as ({TAGS})",
+            """select 'links' as table_name,
+       concat_ws('|', p_partkey, p_partkey * 7 + 100000, p_partkey * 3) as fields from part where p_size <> 1
+union all select 'movies', concat_ws('|', movieId, title, genres) from catalogue
+union all select 'ratings', concat_ws('|', userId, movieId, rating, timestamp) from ratings where flag <> 'R'
+union all select 'tags', concat_ws('|', userId, movieId, tag, timestamp) from tags""",
+        ),
+        "ingest_nothing": _sql(
+            f"wrong as ({' union all '.join(_wrong(t) for t in ('links', 'movies', 'ratings'))})",
+            """select table_name, cast(0 as bigint) as stored,
+       count(*) filter (reason <> 'empty last field') as rejected,
+       count(*) filter (reason = 'empty last field') as dropped
+from wrong group by table_name""",
         ),
-        "etl_counts": """select 'links' as table_name, count(*) filter (p_size <> 1) as kept,
-       count(*) filter (p_size = 1) as dropped, cast(0 as bigint) as rejected from part
-union all select 'movies', count(*), 0, 0 from part
-union all select 'ratings', count(*) filter (l_returnflag <> 'R'), 0, count(*) filter (l_returnflag = 'R')
-          from lineitem join orders on l_orderkey = o_orderkey
-union all select 'tags', count(*), 0, 0 from documents""",
-        "ingest_tables": """select 'links' as table_name, count(*) filter (p_size <> 1) as stored,
-       count(*) filter (p_size = 1) as rejects, count(*) filter (p_size <> 1) as counted from part
-union all select 'movies', count(*), 0, count(*) from part
-union all select 'ratings', count(*) filter (l_returnflag <> 'R'), count(*) filter (l_returnflag = 'R'),
-                 count(*) filter (l_returnflag <> 'R')
-          from lineitem join orders on l_orderkey = o_orderkey
-union all select 'tags', count(*), 0, count(*) from documents""",
         "links_not_null": """select cast(p_partkey as int) as movieId, cast(p_partkey * 7 + 100000 as int) as imdbId,
        cast(p_partkey * 3 as int) as tmdbId from part where p_size <> 1""",
         "table_roundtrip": TAGS,
@@ -262,16 +338,22 @@ where userId = {NTH}""",
             """select userId, rank, movieId, round(rating, 6) as rating, title
 from topn left join movies using (movieId)""",
         ),
-        "als_save_load": _sql(ALS, "select userId, round(f, 6) as factor from u"),
+        "als_save_load": _sql(
+            ALS,
+            """select 'user' as part, userId as id, round(f, 6) as factor from u
+union all select 'item', movieId, round(f, 6) from i
+union all select 'lambda', 0, lam from best
+union all select 'iterations', 0, cast(steps as double) from best
+union all select 'rmse', 0, round(rmse, 6) from best""",
+        ),
         "stream_decode": _sql(
             SPLIT, REQUESTS, "select 'movie_topic' as key, value, userId from requests"
         ),
         "stream_replay": _sql(
             SPLIT,
-            """select cast(floor((position - 1) / 2500) as int) as batch_id, userId,
+            """select cast(floor((position - 1) / 10000) as int) as batch_id, userId,
        cast(userId as varchar) || '|' || cast(movieId as varchar) || '|' || cast(rating as varchar) as value
-from (select *, row_number() over (order by userId, movieId, rating) as position from test)
-where position <= 10000""",
+from (select *, row_number() over (order by userId, movieId, rating) as position from test)""",
         ),
         "stream_route": _sql(
             SPLIT,

@@ -54,7 +54,7 @@ def test_titles_are_null_for_unlisted_items(spark):
     movies = spark.createDataFrame(
         [(i, f"title {i}") for i, _ in items if i % 2], "movieId int, title string"
     )
-    rows = model.recommend(m.users, model.titled(model.top_lists(m.items, 5), movies)).collect()
+    rows = model.suggestions_for(m.users, model.titled(model.top_lists(m.items, 5), movies)).collect()
     assert len(rows) == 40 * 5
     assert all(r["title"] == (f"title {r['movieId']}" if r["movieId"] % 2 else None) for r in rows)
 

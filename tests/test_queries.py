@@ -27,7 +27,7 @@ def ordered(rows):
     return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -60,11 +60,11 @@ def test_top_k_needs_no_global_sort(spark):
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
 
 
-def test_users_are_not_shuffled_for_recommendations(spark):
+def test_users_are_not_shuffled_for_lists(spark):
     s = queries.stages(spark, SF_DIR)
     chosen = s.model()
     lists = s.workspace.write("lists", model.top_lists(chosen.items))
-    text = plan(model.recommend(chosen.users, lists))
+    text = plan(model.suggestions_for(chosen.users, lists))
     assert "BroadcastHashJoin" in text
     assert "hashpartitioning" not in text and "CartesianProduct" not in text
 
@@ -79,8 +79,8 @@ def test_large_layouts_move_only_partial_sums(spark):
         .agg(F.count("*").alias("n"), F.sum("rating").alias("s")),
     )
     limits = factor.Limits(broadcast_rows=0, persist_rows=0, group_rows=1_000)
-    by_user = factor._layout(s.workspace, "plan", pairs, "userId", "movieId", limits)
-    by_item = factor._layout(s.workspace, "plan", pairs, "movieId", "userId", limits)
+    by_user = factor._layout(s.workspace, "plan", pairs, "userId", "movieId", limits, 1)
+    by_item = factor._layout(s.workspace, "plan", pairs, "movieId", "userId", limits, 1)
     items = factor._first_items(by_user.pairs, (0.01,))
     items = factor._write_factors(s.workspace, "plan/items", items, by_item)
     text = plan(factor._solve(factor._with_factors(items, by_item, by_user), "userId", (0.01,)))
