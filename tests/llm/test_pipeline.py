@@ -1,6 +1,8 @@
 """The pipeline's stages do what their operators decide."""
 
 import corpus_pipeline
+import duckdb
+import pytest
 from affinity.llm import contamination, jaccard, langid, lines
 from affinity.llm.queries import ORACLES, QUERIES
 
@@ -44,3 +46,22 @@ def test_stages(spark):
     packed = stages["packing"](spark, clean, DATA).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in clean.collect()}
     assert sorted(tuple(r)[:5] for r in corpus_pipeline.run(spark, DATA).collect()) == sorted(tuple(r)[:5] for r in packed)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in ("documents", "pages", "benchmark", "embeddings"):
+        con.execute(f"create view {name} as select * from '{DATA}/{name}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, duck, name):
+    df = QUERIES[name](spark, DATA)
+    columns = sorted(df.columns)
+    result = duck.execute(ORACLES[name])
+    names = [c[0] for c in result.description]
+    assert sorted(names) == columns
+    expected = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
+    assert sorted(map(str, map(tuple, df.select(*columns).collect()))) == sorted(map(str, expected))
