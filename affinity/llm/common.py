@@ -43,7 +43,8 @@ def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
     that chains shorten by doubling. Every round is written; minima combine before they are
     shuffled, and a hub's rows are split by the adaptive join.
     """
-    both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
+    ways = F.inline(F.expr("array(struct(a, b), struct(b as a, a as b))"))
+    both = edges.filter("a <> b").select(ways).distinct()
     both = work.write(f"{name}/edges", both)
     labels = work.write(
         f"{name}/labels_0", both.groupBy(F.col("a").alias("id"))

@@ -23,7 +23,7 @@ Links inside a component are not all found: components are the result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,12 @@ from affinity.llm.common import components, partitions, small, workspace
 
 WIDTH, PERCENT = 5, 80
 # A block with more documents, or more shingles, than this is salted.
-BLOCK_DOCS = 200
-BLOCK_SHINGLES = 200_000
+BLOCK_DOCS = 4_000
+BLOCK_SHINGLES = 1_000_000
+# Documents of a large block in one part.
+PART_DOCS = 200
 # Pivots of a block in a round: at first, and at most.
-PIVOTS, MORE_PIVOTS = 32, 512
+PIVOTS, MORE_PIVOTS = 256, 4_096
 _SENT = "batch long, bucket int, head boolean, docs binary, counts binary, keys binary, sums binary"
 _DOCS = "doc_id long, n long, low long, high long, prefix array<long>"
 
@@ -166,10 +168,37 @@ def _prefixes(percent: int):
     return choose
 
 
+def _leaders(table: pa.Table) -> pa.Table:
+    """(document, smallest document it is connected to by keys of this bin).
+
+    Smallest ids go from keys to documents and back until none changes. As documents that
+    are alike share keys in most bins, most bins name the same leader.
+    """
+    doc_ids, doc = np.unique(table["doc_id"].to_numpy(), return_inverse=True)
+    _, key = np.unique(table["key"].to_numpy(), return_inverse=True)
+    least = np.arange(len(doc_ids))
+    while True:
+        of_key = np.full(key.max(initial=-1) + 1, len(doc_ids))
+        np.minimum.at(of_key, key, least[doc])
+        new = least.copy()
+        np.minimum.at(new, doc, of_key[key])
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    own = np.flatnonzero(least != np.arange(len(least)))
+    return pa.table({"a": doc_ids[own], "b": doc_ids[least[own]]})
+
+
 def candidates(
-    own: np.ndarray, cut: int, starts: np.ndarray, sizes: np.ndarray, members: np.ndarray
+    own: np.ndarray,
+    cut: int,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    members: np.ndarray,
+    wanted: Callable[[np.ndarray], np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge the ``cut`` shortest inverted lists of the shingles ``own``.
+    """Merge the ``cut`` shortest inverted lists of the shingles ``own``, or their ``wanted`` part.
 
     Returns the documents met, how often, and the shingles whose lists were skipped.
     """
@@ -178,7 +207,10 @@ def candidates(
     n = sizes[short]
     ends = np.cumsum(n)
     at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[short] - ends + n, n)
-    met, count = np.unique(members[at], return_counts=True)
+    found = members[at]
+    if wanted is not None:
+        found = found[wanted(found)]
+    met, count = np.unique(found, return_counts=True)
     return met, count, np.sort(skipped)
 
 
@@ -193,34 +225,44 @@ def search(sets: list[np.ndarray], percent: int) -> np.ndarray:
     members = owner[np.argsort(ids, kind="stable")]
     lengths = np.bincount(ids)
     starts = np.cumsum(lengths) - lengths
-    root = np.arange(len(sets))
+    component = np.arange(len(sets))
+    held = {x: [x] for x in range(len(sets))}
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+    def merge(x: int, y: int) -> None:
+        a, b = component[x], component[y]
+        if len(held[a]) < len(held[b]):
+            a, b = b, a
+        component[held[b]] = a
+        held[a] += held.pop(b)
 
+    last = -1
     for x, n in enumerate(sizes.tolist()):
         least = needed(n, percent)
         own = ids[limits[x] : limits[x + 1]]
-        met, count, skipped = candidates(own, n - least + 1, starts, lengths, members)
+        # Copies come in groups: the last partner is tried first, and members of x's component
+        # need not be met again.
+        if last >= 0 and sizes[last] >= least:
+            both = len(np.intersect1d(own, ids[limits[last] : limits[last + 1]], assume_unique=True))
+            if 100 * both >= percent * (n + sizes[last] - both):
+                merge(x, last)
+        met, count, skipped = candidates(
+            own, n - least + 1, starts, lengths, members, lambda y: (y < x) & (component[y] != component[x])
+        )
         m = sizes[met]
         # 100 * overlap >= percent * (n + m - overlap)
         required = -(-(percent * (n + m)) // (100 + percent))
-        good = (met < x) & (m >= least) & (count + len(skipped) >= required)
-        order = np.flatnonzero(good)
+        order = np.flatnonzero((m >= least) & (count + len(skipped) >= required))
         for k in order[np.argsort(-count[order], kind="stable")].tolist():
             y = int(met[k])
-            a, b = find(x), find(y)
-            if a == b:
+            if component[x] == component[y]:
                 continue
             other = ids[limits[y] : limits[y + 1]]
             at = np.minimum(np.searchsorted(other, skipped), len(other) - 1)
             if count[k] + np.count_nonzero(other[at] == skipped) >= required[k]:
-                root[max(a, b)] = min(a, b)
+                merge(x, y)
+                last = y
     out = np.empty(len(sets), np.int64)
-    out[by_size] = [find(x) for x in range(len(sets))]
+    out[by_size] = component
     return out
 
 
@@ -297,7 +339,7 @@ def _large_blocks(work, big: DataFrame, percent: int) -> DataFrame:
     """(doc_id, component) of the documents ``big(block, doc_id, hashes)`` of large blocks."""
     sizes = big.groupBy("block").agg(F.count(F.lit(1)).alias("docs"))
     parts = work.write(
-        "parts", sizes.select("block", F.ceil(F.col("docs") / BLOCK_DOCS).cast("int").alias("parts"))
+        "parts", sizes.select("block", F.ceil(F.col("docs") / PART_DOCS).cast("int").alias("parts"))
     )
     found = big.select("doc_id", F.col("doc_id").alias("component"), "block")
     links = pivoted = None
@@ -346,7 +388,7 @@ def _large_blocks(work, big: DataFrame, percent: int) -> DataFrame:
             big.select("block", "doc_id").join(labels, "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("component"), "block"),
         )
-        many = min(2 * many, MORE_PIVOTS)
+        many = min(4 * many, MORE_PIVOTS)
     return found.select("doc_id", "component")
 
 
@@ -382,14 +424,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
         .agg(F.min("doc_id").alias("rep"), F.max(F.size("prefix")).alias("keys")),
     )
     reps = equal.filter("keys > 0").select("rep")
-    entries = (
-        named.join(reps, named.doc_id == reps.rep, "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", F.explode("prefix").alias("key"))
+    entries = named.join(reps, named.doc_id == reps.rep, "left_semi").select(
+        "doc_id", F.explode("prefix").alias("key")
+    )
+    edges = (
+        entries.withColumn("bin", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+        .groupBy("bin")
+        .applyInArrow(_leaders, "a long, b long")
     )
-    leader = F.min("doc_id").over(Window.partitionBy("key"))
-    edges = entries.select(F.col("doc_id").alias("a"), leader.alias("b")).filter("a <> b")
-    blocks = components(work, "blocks", edges.distinct())
+    blocks = components(work, "blocks", edges)
     weights = named.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n")
     sized = work.write("sized", blocks.join(weights, "id"))
     per_block = sized.groupBy("component").agg(
