@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import Config
 from affinity.functions import messages
-from affinity.operators import anyrank, clean, evaluate, factor, model, popular, serve
+from affinity.operators import anyrank, clean, evaluate, factor, factor2, model, popular, serve
 from affinity.plans import ingest
 from affinity.plans.stages import Stages
 from affinity.schemas import LINKS, TABLES
@@ -25,6 +25,7 @@ TOPIC = CONFIG.topic
 # Fixed values of the workload: messages of a bounded replay, and whose list is shown.
 REPLAY_LIMIT = 10_000
 NTH_USER = 139
+RANK2_LAMBDA, RANK2_STEPS = 0.05, 4
 REPLAY_FILE = 10_000
 REPLAY_ORDER = ["userId", "movieId", "rating"]
 
@@ -301,6 +302,28 @@ def als_rank3_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rank2(spark: SparkSession, sf_dir: str) -> factor2.Rank2:
+    s = stages(spark, sf_dir)
+    if s.rank2 is None:
+        s.rank2 = factor2.fit(s.workspace, s.train(), RANK2_LAMBDA, RANK2_STEPS)
+    return s.rank2
+
+
+def als_rank2_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of a rank-2 model."""
+    fitted = _rank2(spark, sf_dir)
+    sides = [
+        side.select(F.lit(part).alias("part"), F.col(key).alias("id"), "f0", "f1")
+        for part, key, side in (("user", "userId", fitted.users), ("item", "movieId", fitted.items))
+    ]
+    return sides[0].union(sides[1]).withColumns({c: F.round(c, 4) for c in ("f0", "f1")})
+
+
+def als_rank2_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tested = evaluate.weighted(stages(spark, sf_dir).test())
+    return factor2.error(_rank2(spark, sf_dir), tested).select(F.round("rmse", 4).alias("rmse"), "n")
+
+
 def als_rmse_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.best(stages(spark, sf_dir).errors()).select(
         F.round("rmse", 6).alias("rmse"), "n"
@@ -469,6 +492,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_item_factors": als_item_factors,
     "als_normal_equations": als_normal_equations,
     "als_rank3_equations": als_rank3_equations,
+    "als_rank2_factors": als_rank2_factors,
+    "als_rank2_rmse": als_rank2_rmse,
     "als_rmse_holdout": als_rmse_holdout,
     "als_rmse_overlap": als_rmse_overlap,
     "als_grid": als_grid,

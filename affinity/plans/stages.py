@@ -23,6 +23,7 @@ class Stages:
         self._fit: factor.GridFit | None = None
         self._model: model.Model | None = None
         self._published: str | None = None
+        self.rank2 = None  # a rank-2 model, where one was asked for
 
     def ratings(self) -> DataFrame:
         return self.workspace.stage("ratings", lambda: self._ratings)

@@ -124,6 +124,31 @@ def _als() -> str:
     return ",\n".join(parts)
 
 
+def _rank2(lam: float = 0.05, steps: int = 4) -> str:
+    """Rank-2 alternating least squares by its normal equations."""
+    parts = [
+        """p0 as materialized (
+  select userId, cast(1 as double) as f0, ((cast(userId as bigint) * 37) % 101) / 101.0::double - 0.5 as f1
+  from (select distinct userId from train))"""
+    ]
+    for step in range(1, steps + 1):
+        for new, old, key, other in (
+            (f"q{step}", f"p{step - 1}", "movieId", "userId"),
+            (f"p{step}", f"q{step}", "userId", "movieId"),
+        ):
+            parts.append(
+                f"""{new} as materialized (
+  select {key}, (p * c - q * b) / (a * c - b * b) as f0, (q * a - p * b) / (a * c - b * b) as f1
+  from (select {key}, sum(f0 * f0) + {lam}::double * count(*) as a, sum(f0 * f1) as b,
+               sum(f1 * f1) + {lam}::double * count(*) as c,
+               sum(rating * f0) as p, sum(rating * f1) as q
+        from train join {old} using ({other}) group by {key}))"""
+            )
+    return ",\n".join(parts)
+
+
+RANK2 = SPLIT + ",\n" + _rank2()
+
 ALS = SPLIT + ",\n" + _als()
 
 TOPN = """topn as (
@@ -302,6 +327,16 @@ cross join popular p left join movies m on m.movieId = p.movieId""",
         "als_item_factors": _sql(ALS, "select movieId, round(f, 6) as factor from i"),
         "als_normal_equations": _sql(SPLIT, "select distinct userId, true as ok from train"),
         "als_rank3_equations": _sql(SPLIT, "select distinct userId, true as ok from train"),
+        "als_rank2_factors": _sql(
+            RANK2,
+            """select 'user' as part, userId as id, round(f0, 4) as f0, round(f1, 4) as f1 from p4
+union all select 'item', movieId, round(f0, 4), round(f1, 4) from q4""",
+        ),
+        "als_rank2_rmse": _sql(
+            RANK2,
+            """select round(sqrt(avg((rating - u.f0 * i.f0 - u.f1 * i.f1) ** 2)), 4) as rmse, count(*) as n
+from test join p4 u using (userId) join q4 i using (movieId)""",
+        ),
         "als_rmse_holdout": _sql(ALS, "select round(rmse, 6) as rmse, n from best"),
         "als_rmse_overlap": _sql(
             ALS,

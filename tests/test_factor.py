@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
-from affinity.operators import evaluate, factor, model
+from affinity.operators import evaluate, factor, factor2, model
 from affinity.schemas import USER_RATING
 
 
@@ -148,3 +148,17 @@ def test_unrated_values_and_zero_ratings(spark, workspace):
     users = factors(fit.users, "userId")
     assert users[1]["f2_0"] == 0.0
     assert users[2]["f2_0"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("group_rows", [10_000, 10])
+def test_rank2_layouts_agree_and_fit_better_than_rank1(spark, workspace, group_rows):
+    ratings = noisy(spark)
+    small = factor2.fit(workspace, ratings, 0.01, 4, name="two_small")
+    limits = factor.Limits(broadcast_rows=0, persist_rows=0, group_rows=group_rows)
+    large = factor2.fit(workspace, ratings, 0.01, 4, limits=limits, name=f"two_large_{group_rows}")
+    a, b = factors(small.users, "userId"), factors(large.users, "userId")
+    assert a.keys() == b.keys()
+    assert all(abs(a[k][c] - b[k][c]) < 1e-6 for k in a for c in ("f0", "f1"))
+    rows = evaluate.weighted(ratings)
+    one = evaluate.grid_errors(factor.fit_grid(workspace, ratings, (0.01,), (4,), name="one"), rows)
+    assert factor2.error(small, rows).first()["rmse"] < one.first()["rmse"]
