@@ -51,6 +51,8 @@ _FOLDED = _folded()
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n + 1 limits, bucket, count): the different trigrams of documents, blanks around each."""
     sizes = np.diff(offsets)
+    if len(sizes) == 1 and sizes[0] > 2 * text.SLICE_BYTES:
+        return _long_trigrams(data[offsets[0] : offsets[1]])
     limits = np.concatenate([[0], np.cumsum(sizes + 2)])
     body = np.full(limits[-1] + 2, 32, np.uint8)
     at = np.arange(offsets[-1] - offsets[0]) + np.repeat(1 + 2 * np.arange(len(sizes)), sizes)
@@ -69,6 +71,22 @@ def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array(ends), join(bucket), join(count)
 
 
+def _long_trigrams(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for one long document, in parts that overlap by two bytes."""
+    total = np.zeros(BUCKETS, np.int64)
+    whole = np.concatenate([[32], body, [32]]).astype(np.uint8)
+    for at in range(0, len(whole) - 2, text.SLICE_BYTES):
+        # Blanks around the part make a trigram more at either end.
+        part = whole[at : at + text.SLICE_BYTES + 2]
+        _, bucket, count = trigrams(part, np.array([0, len(part)]))
+        total[bucket] += count
+        for a, b, c in ((32, part[0], part[1]), (part[-2], part[-1], 32)):
+            code = int(_FOLDED[a]) | int(_FOLDED[b]) << 8 | int(_FOLDED[c]) << 16
+            total[(code * 0x9E3779B1 & 0xFFFFFFFF) >> 18] -= 1
+    own = np.flatnonzero(total)
+    return np.array([0, len(own)]), own, total[own]
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:

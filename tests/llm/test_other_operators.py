@@ -304,3 +304,12 @@ def test_personal_data(spark):
     for r in out:
         assert set(map(tuple, r.base)) <= set(map(tuple, r.spans))
     assert pii.personal_data(frame(spark, [])).collect() == []
+
+
+def test_long_documents_have_the_same_trigrams(monkeypatch):
+    body = np.frombuffer((" ".join(words(8, 400)) + " É").encode(), np.uint8)
+    offsets = np.array([0, len(body)])
+    whole = langid.trigrams(body, offsets)
+    monkeypatch.setattr(langid.text, "SLICE_BYTES", 50)
+    for a, b in zip(whole, langid.trigrams(body, offsets), strict=True):
+        assert a.tolist() == b.tolist()
