@@ -152,7 +152,7 @@ class PhraseIndex:
         return met.join(small(items, self.n_items, 50_000), "item").filter(both).select("key", "item", "shift")
 
     def phrases(self) -> DataFrame:
-        """(row, text, n_words, hits): every row of the documents, with its exact matches.
+        """(key, row, n_words, hits): every row of the documents, with its exact matches.
 
         ``hits`` are (item_id, start, end) in words, end exclusive, one for each longest run
         of equal words that has a window in it.
@@ -164,12 +164,19 @@ class PhraseIndex:
             F.collect_list(F.struct("item_id", "item_words", "shift")).alias("found")
         )
         per_doc = self.work.write("per_doc", per_doc)
-        docs = self.docs.join(small(per_doc, per_doc.count(), 5_000), "key", "left")
-        docs = docs.select("row", "text", split_words("text").alias("words"), "found")
+        met = per_doc.select("key", F.lit(True).alias("met"))
+        # Only documents with an alignment bring their text along.
+        docs = self.docs.join(small(met, met.count()), "key", "left").select(
+            "key", "row", F.size(split_words("text")).cast("long").alias("n_words"),
+            F.when(F.col("met"), F.col("text")).alias("text"),
+        )
+        docs = docs.join(per_doc, "key", "left").select(
+            "key", "row", "n_words", split_words("text").alias("words"), "found"
+        )
         hits = F.flatten(F.transform("found", lambda f: _runs(F.col("words"), f, self.window)))
         none = F.array().cast("array<struct<item_id:bigint,start:int,end:int>>")
         return docs.select(
-            "row", "text", F.size("words").cast("long").alias("n_words"),
+            "key", "row", "n_words",
             F.when(F.col("found").isNull(), none).otherwise(hits).alias("hits"),
         )
 
@@ -269,17 +276,19 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         "row.doc_id", "n_words", n_hit.alias("n_hit"), ids.alias("item_ids")
     ).select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
-        _too_many("n_hit", "n_words").alias("contaminated"),
+        _too_many(F.col("n_hit")).alias("contaminated"),
     )
 
 
-def _too_many(n_hit: str, n_words: str) -> F.Column:
-    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+def _too_many(n_hit: F.Column) -> F.Column:
+    return (n_hit > 0) & (20 * n_hit >= F.col("n_words"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not contaminated."""
-    found = PhraseIndex(docs, items, window).phrases()
-    kept = found.withColumn("hits", hit_words("hits")).filter(~_too_many("hits", "n_words"))
+    index = PhraseIndex(docs, items, window)
+    bad = index.phrases().filter(_too_many(hit_words("hits"))).select("key").distinct()
+    bad = index.work.write("bad", bad)
+    kept = index.docs.join(small(bad, bad.count()), "key", "left_anti")
     columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     return kept.select(*columns)
