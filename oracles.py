@@ -151,11 +151,17 @@ RANK2 = SPLIT + ",\n" + _rank2()
 
 ALS = SPLIT + ",\n" + _als()
 
-TOPN = """topn as (
+# A product with a positive factor is largest for the largest factors, with a negative one for
+# the smallest, and with zero for all alike: five items of each kind are enough at any size.
+TOPN = """few as materialized (
+  (select * from i order by f desc, movieId limit 5)
+  union (select * from i order by f, movieId limit 5)
+  union (select * from i order by movieId limit 5)),
+topn as (
   select * from (
-    select userId, movieId, u.f * i.f as rating,
-           cast(row_number() over (partition by userId order by u.f * i.f desc, movieId) as int) as rank
-    from u cross join i)
+    select userId, movieId, u.f * few.f as rating,
+           cast(row_number() over (partition by userId order by u.f * few.f desc, movieId) as int) as rank
+    from u cross join few)
   where rank <= 5)"""
 
 TAGS = f"""select cast(doc_id as int) as userId, cast(n_chars as int) as movieId,
