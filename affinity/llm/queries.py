@@ -209,4 +209,27 @@ ORACLES: dict[str, str] = {
         select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict
         from urls left join (select * from fits where place = 1) using (page_id)
     """,
+    # Brute force: equal where the index misses no link, as on the tables it was measured on.
+    "op9_embedding_near_dedup": """
+        with recursive vectors as (
+            select vec_id, embedding::double[] as e from embeddings
+            where vec_id is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links as (
+            select x.vec_id as a, y.vec_id as b from vectors x join vectors y
+            on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+            where list_cosine_similarity(x.e, y.e) >= 0.9
+        ), reached(vec_id, other) as (
+            select vec_id, vec_id from embeddings
+            union
+            select r.vec_id, l.b from reached r join links l on l.a = r.other
+        ), components as (
+            select vec_id, min(other) as component_id from reached group by vec_id
+        ), counts as (
+            select a as vec_id, count(distinct b) as n_links from links group by a
+        )
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from components left join counts using (vec_id)
+    """,
 }
