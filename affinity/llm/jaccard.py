@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm import buckets, text
+from affinity.llm import buckets, text, worker
 from affinity.llm.common import components, partitions, small, workspace
 
 WIDTH, PERCENT = 5, 80
@@ -75,6 +75,7 @@ def _shingles_of(i: int, j: int, data, offsets, width: int):
 
 def _send(width: int, n_buckets: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         numbers = buckets.Batches()
         for batch in batches:
             data, offsets = text.utf8(batch["text"])
@@ -277,6 +278,7 @@ def _sets(column, width: int) -> list[np.ndarray]:
 
 def _search_texts(width: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
+        worker.release()
         table = table.combine_chunks()
         ids = table["doc_id"].to_numpy()
         number = search(_sets(table["text"], width), percent)
@@ -404,6 +406,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     its number of shingles and a null component, and links with nothing. Rows that repeat a
     doc_id are returned each; they should repeat its text, and share a component in any case.
     An empty table gives an empty result; other columns are not read.
+
+    Batches of documents are numbered as a task reads them, so ``docs`` should be read from
+    files: a task that is repeated after a loss then meets the same rows in the same order.
     """
     work = workspace(docs.sparkSession)
     docs = docs.select("doc_id", "text")

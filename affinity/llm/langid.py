@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from affinity.llm import text
+from affinity.llm import text, worker
 from affinity.llm.common import fresh
 
 UNKNOWN = "und"
@@ -88,6 +88,7 @@ def _long_trigrams(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker.release()
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         data, offsets = text.utf8(batch["text"])
@@ -211,6 +212,7 @@ def predicted(docs: DataFrame, model: Model, lang: str, score: str) -> DataFrame
         raise ValueError("the new columns must have new names")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         for batch in batches:
             texts = batch["text"].to_pylist()
             langs, scores = sent.value.predict(texts, *text.utf8(batch["text"]))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from affinity.llm import worker
 from affinity.llm.common import fresh, workspace
 from affinity.llm.text import mix
 
@@ -34,6 +35,16 @@ BITS_PER_LINE = 16
 MAX_BITS = 1 << 30
 MIN_BITS = 1 << 16
 SLICES = 64
+# Documents whose lines are held at once.
+BLOCK = 1_000
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches that are small enough to be held as Python strings."""
+    worker.release()
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK):
+            yield batch.slice(at, BLOCK)
 
 
 def line_key(line: str) -> str:
@@ -63,7 +74,7 @@ def _set_bits(bits: int, min_length: int):
     width = bits // SLICES
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             found = [k for t in batch["text"].to_pylist() for k in _keys(t, min_length)]
             if not found:
                 continue
@@ -125,7 +136,7 @@ def _suspects(filter_bits, min_length: int):
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = np.frombuffer(filter_bits.value, np.uint8)
-        for batch in batches:
+        for batch in _blocks(batches):
             keys, ids, numbers = [], [], []
             for doc_id, text in zip(
                 batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True
@@ -153,7 +164,7 @@ def _keep(columns: list[str], drops: str, n_lines: str, n_dropped: str):
     """All columns, with the text that is left and two counts in place of ``drops``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _blocks(batches):
             kept, lines, dropped = [], [], []
             for text, numbers in zip(
                 batch["text"].to_pylist(), batch[drops].to_pylist(), strict=True

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm import buckets, text
+from affinity.llm import buckets, text, worker
 from affinity.llm.common import partitions, workspace
 
 WIDTH = 20
@@ -44,6 +44,7 @@ def _windows(width: int, n_buckets: int):
     ]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.release()
         numbers = buckets.Batches()
         for batch in batches:
             data, offsets = text.utf8(batch["text"])

@@ -14,8 +14,10 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
-# Pieces a worker remembers; then it starts anew. Bounds its memory to some 300 MB.
-CACHE_PIECES = 1_000_000
+from affinity.llm import worker
+
+# Pieces a worker remembers; then it starts anew. Bounds its memory to some 200 MB.
+CACHE_PIECES = 800_000
 
 
 def byte_bpe_path() -> str:
@@ -40,8 +42,6 @@ class _Codes(dict):
 class Encoder:
     """Encodes texts; one per worker and tokenizer file."""
 
-    _made: dict[str, Encoder] = {}
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -50,9 +50,7 @@ class Encoder:
 
     @classmethod
     def of(cls, path: str) -> Encoder:
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        return worker.keep(("encoder", path), lambda: cls(path))
 
     def _joins_blanks(self) -> bool:
         """Whether this tokenizer is not known to be cut at blanks: all texts go whole then."""
