@@ -295,6 +295,26 @@ def test_windows_reconcile_to_the_tags_they_were_cut_from():
     assert sorted(pii.spans_of(tags), key=lambda s: s[1]) == sorted(pii.base_spans(body)[0], key=lambda s: s[1])
 
 
+def test_failed_matches_bar_no_other_span():
+    """Digits of these spans are cards that failed their check."""
+    for kind, body, before, after in (
+        ("phone", "(415) 555-0100", "call ", " now"),
+        ("card", "4111 1111 1111 1111", "order 12 ", " paid"),
+        ("card", "4111.1111.1111.1111", "card ", ""),
+        ("phone", "+1 415 555 0100", "", " 2024-05-01"),
+        ("ip", "fe80::12ab", "at ", ""),
+    ):
+        whole = before + body + after
+        base, failed = pii.base_spans(whole)
+        added = (kind, len(before), len(before) + len(body))
+        assert base == [] and failed
+        assert pii.all_spans(whole, base, failed, pii.tags_of(len(whole), [added])) == [added], whole
+    # The same span and kind that failed its check stays out, and so does what touches a base span.
+    for body, kind in (("4111 1111 1111 1112", "card"), ("300.1.1.1", "ip"), ("+1 23", "phone"), ("a@b.example", "phone")):
+        base, failed = pii.base_spans(body)
+        assert pii.all_spans(body, base, failed, pii.tags_of(len(body), [(kind, 0, len(body))])) == base
+
+
 def test_personal_data(spark):
     data = rows() + [(2000 + i, b, *[None] * 6) for i, b in enumerate(sentences(4, 40))]
     out = pii.personal_data(frame(spark, data), windows=200).collect()
