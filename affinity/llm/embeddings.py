@@ -10,12 +10,16 @@ vector carries its buckets in all tables, so no list of pairs is kept to find re
 What leaves a task is a count per vector and a spanning forest of its links. A bucket that is
 too large for a task is cut into blocks, and every pair of blocks is a task of its own.
 
+More functions make buckets small and pairs meet in fewer tables, so the number of tables
+follows from the share of random pairs, at just the least cosine, that meet in one table.
+
 Recall at cosine 0.9 and more is measured against brute force in the tests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,12 @@ from pyspark.sql import functions as F
 
 from affinity.llm.common import components, partitions, small, workspace
 
+# Tables at least, and probes of each.
 TABLES, PROBES = 10, 4
+# Share of pairs at the least cosine that may meet in no table, and random pairs it is measured on.
+MISSED, PAIRS = 0.01, 1_000
+# With more tables than this, functions are left out: buckets grow, and no pair is lost.
+MOST_TABLES = 100
 # Next best axes of a function that probes are chosen from.
 NEXT_AXES = 4
 # Vectors of a bucket that one task compares with one another.
@@ -85,11 +94,51 @@ def probe_codes(x: np.ndarray, tables: int, probes: int, k: int, seed: int = SEE
     return out
 
 
-def _hash(tables: int, probes: int, functions: dict[int, int]):
+def pairs_at(cosine: float, n: int, width: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` random pairs of unit vectors with just this cosine; of one number, equal vectors."""
+    random = np.random.default_rng([seed, width])
+    x, y = random.standard_normal((2, n, width))
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    if width == 1:
+        return x, x
+    y -= (x * y).sum(axis=1)[:, None] * x
+    y /= np.sqrt((y * y).sum(axis=1))[:, None]
+    return x, cosine * x + np.sqrt(1 - cosine * cosine) * y
+
+
+def meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """By pair and table, whether one of two vectors looks into the other's bucket."""
+    return (a == b[:, :, :1]).any(axis=2) | (b == a[:, :, :1]).any(axis=2)
+
+
+@cache
+def tables_for(least: float, width: int, k: int, probes: int, missed: float = MISSED) -> int:
+    """Tables in which all but ``missed`` of the pairs at cosine ``least`` meet."""
+    x, y = pairs_at(min(max(least, -1.0), 1.0), max(200, min(PAIRS, (1 << 18) // width)), width)
+    met = meet(*(probe_codes(v, TABLES, probes, k) for v in (x, y)))
+    # Half a pair more or less, so that the share is neither none nor all.
+    share = min(max(met.sum(), 0.5), met.size - 0.5) / met.size
+    return max(1, int(np.ceil(np.log(missed) / np.log1p(-share))))
+
+
+def layout(rows: int, width: int, least: float, tables: int | None, probes: int) -> tuple[int, int]:
+    """(functions, tables) for so many vectors; ``tables`` as given, or as many as are needed."""
+    k = functions_for(rows, 1 << max(width - 1, 0).bit_length())
+    if tables is not None:
+        return k, tables
+    while k > 1 and tables_for(least, width, k, probes) > MOST_TABLES:
+        k -= 1
+    return k, max(TABLES, tables_for(least, width, k, probes))
+
+
+def _hash(probes: int, layouts: dict[int, tuple[int, int]]):
+    # Every table holds a copy of each vector.
+    at_once = max(1, 1_000 * TABLES // max(tables for _, tables in layouts.values()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 1_000):
-                batch = whole.slice(at, 1_000)
+            for at in range(0, whole.num_rows, at_once):
+                batch = whole.slice(at, at_once)
                 ids = batch["vec_id"].to_numpy()
                 lists = batch["embedding"]
                 widths = np.diff(np.asarray(lists.offsets))
@@ -99,7 +148,8 @@ def _hash(tables: int, probes: int, functions: dict[int, int]):
                     own = np.flatnonzero(widths == width)
                     rows = flat[(ends[own] - width)[:, None] + np.arange(width)]
                     norms = np.sqrt((rows.astype(np.float64) ** 2).sum(axis=1))
-                    codes = probe_codes(rows / norms[:, None], tables, probes, functions[width])
+                    functions, tables = layouts[width]
+                    codes = probe_codes(rows / norms[:, None], tables, probes, functions)
                     vectors = [r.tobytes() for r in rows]
                     packed = [c.tobytes() for c in codes]
                     n = len(own)
@@ -117,7 +167,7 @@ def _hash(tables: int, probes: int, functions: dict[int, int]):
     return run
 
 
-def _compare(tables: int, probes: int, kind, least: float):
+def _compare(probes: int, kind, least: float):
     """Links of one bin: (a, b, n) with a partner in the forest, or a null b and a count."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -141,7 +191,7 @@ def _compare(tables: int, probes: int, kind, least: float):
             a /= np.sqrt((a * a).sum(axis=1))[:, None]
             b /= np.sqrt((b * b).sum(axis=1))[:, None]
             code_a, code_b = (
-                np.stack([np.frombuffer(codes[i], np.int64) for i in x]).reshape(len(x), tables, probes)
+                np.stack([np.frombuffer(codes[i], np.int64) for i in x]).reshape(len(x), -1, probes)
                 for x in (asks, own)
             )
             x, y = np.nonzero(a @ b.T >= least)
@@ -193,12 +243,13 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.9, tables: int = TABLES, probes: int = PROBES
+    vectors: DataFrame, least: float = 0.9, tables: int | None = None, probes: int = PROBES
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors(vec_id, embedding)``.
 
     Pairs that the index finds link if their cosine, in double precision, is ``least`` or
-    more. ``n_links`` counts the other vec_ids linked directly, ``component_id`` is the
+    more. Without ``tables`` there are so many that about a hundredth of the pairs at just ``least``
+    is missed, whatever the number of rows. ``n_links`` counts the other vec_ids linked directly, ``component_id`` is the
     smallest that links lead to, and the vector with that id is kept. Only vectors of equal
     length are compared.
 
@@ -216,8 +267,8 @@ def near_duplicates(
     if not sizes:
         links = spark.createDataFrame([], "a long, b long, n long")
     else:
-        functions = {s.d: functions_for(s.n, 1 << max(s.d - 1, 0).bit_length()) for s in sizes}
-        hashed = work.write("hashed", own.mapInArrow(_hash(tables, probes, functions), _ROWS))
+        layouts = {s.d: layout(s.n, s.d, least, tables, probes) for s in sizes}
+        hashed = work.write("hashed", own.mapInArrow(_hash(probes, layouts), _ROWS))
         bucket = ["width", "tab", "bucket"]
         per_bucket = hashed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"))
         full = work.write(
@@ -243,7 +294,7 @@ def near_duplicates(
             .drop("blocks")
             .withColumn("bin", F.pmod(cell, F.lit(8 * n)).cast("int"))
             .groupBy("bin")
-            .applyInArrow(_compare(tables, probes, kind, least), "a long, b long, n long"),
+            .applyInArrow(_compare(probes, kind, least), "a long, b long, n long"),
         )
     counts = links.groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links")).filter("n_links > 0")
     linked = components(work, "components", links.filter("b is not null").select("a", "b"))

@@ -218,6 +218,30 @@ def test_embeddings(spark, monkeypatch, block):
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("k", [2, 3, 4])
+def test_embeddings_meet_whatever_the_number_of_functions(spark, monkeypatch, k):
+    """Large tables have more functions; pairs are placed at the least cosine, or little above."""
+    monkeypatch.setattr(embeddings, "functions_for", lambda rows, d: k)
+    x, y = embeddings.pairs_at(0.9005, 400, 64, seed=77)
+    data = [(2 * i + j, v.tolist()) for i, pair in enumerate(zip(x, y)) for j, v in enumerate(pair)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df.repartition(4)).collect()}
+    assert sum(r.n_links for r in got.values()) >= 0.97 * 2 * 400
+    assert sum(got[2 * i].component_id == got[2 * i + 1].component_id for i in range(400)) >= 0.97 * 400
+
+
+def test_embedding_tables_follow_the_functions():
+    for rows, width, k in ((1_000, 64, 2), (100_000, 64, 3), (10_000_000, 64, 4), (100_000_000, 128, 4)):
+        functions, tables = embeddings.layout(rows, width, 0.9, None, embeddings.PROBES)
+        assert functions == k
+        a, b = (
+            embeddings.probe_codes(v, tables, embeddings.PROBES, functions, seed=5)
+            for v in embeddings.pairs_at(0.9, 300, width, seed=6)
+        )
+        assert embeddings.meet(a, b).any(axis=1).mean() >= 0.97
+    assert embeddings.layout(10_000_000, 64, 0.9, 7, 4) == (4, 7)
+
+
 def test_hadamard_keeps_norms():
     x = np.random.default_rng(2).standard_normal((5, 32))
     y = embeddings.hadamard(x)
