@@ -3,7 +3,7 @@
 A language is a distribution over hashed byte trigrams of its texts, learned from labelled
 documents. A document's trigrams are drawn from a mixture of languages whose proportions are
 estimated by expectation-maximisation. The set of languages is chosen by penalised
-likelihood: of the sets of the k most probable languages, k = 1, 2, ..., the one with the
+likelihood: of the sets of the k most probable languages, k = 1, 2, ... to all, the one with the
 largest log-likelihood less a price for each further language. The predicted language has the
 largest proportion, which is the score.
 """
@@ -29,8 +29,8 @@ UNKNOWN = "und"
 # of the id. More change the trigram distributions little.
 DOCS_PER_LANGUAGE = 3_000
 BUCKETS = 1 << 14
-# Largest set of languages that is tried for a document, and rounds of EM for each.
-MOST_LANGUAGES, ROUNDS = 3, 8
+# Rounds of EM for each set of languages that is tried for a document.
+ROUNDS = 8
 # Price of a further language, times log(1 + trigrams): trigrams overlap, so three of them
 # count as one observation of a BIC of one half.
 PRICE = 1.5
@@ -139,7 +139,7 @@ class Model:
             return best.T
         weights = self._em(p, doc, at, count, total, np.full((n_langs, n_docs), 1 / n_langs, np.float32))[0]
         rank = np.argsort(np.argsort(-weights, axis=0, kind="stable"), axis=0)
-        for k in range(2, min(n_langs, MOST_LANGUAGES) + 1):
+        for k in range(2, n_langs + 1):
             chosen, likelihood = self._em(p, doc, at, count, total, np.where(rank < k, 1 / k, 0).astype(np.float32))
             likelihood = likelihood - (k - 1) * PRICE * np.log1p(total)
             better = likelihood > value

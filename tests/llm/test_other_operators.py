@@ -176,6 +176,28 @@ def test_language_id_ignores_held_out_labels(spark):
     assert same[0] == same[1]
 
 
+def test_language_id_of_many_languages():
+    """The share of the largest language does not take in those beyond the third."""
+    def grams(parts):
+        raw = " ".join(parts).encode()
+        return langid.trigrams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+
+    def words_of(lang, seed, n):
+        r = np.random.default_rng([lang, seed])
+        own = list("abcdefghijklmnopqrstuvwxyz"[5 * lang : 5 * lang + 5])
+        return ["".join(r.choice(own, 5)) for _ in range(n)]
+
+    counts = np.zeros((5, langid.BUCKETS), np.int64)
+    for lang in range(5):
+        _, bucket, count = grams(words_of(lang, 1, 3000))
+        counts[lang, bucket] = count
+    model = langid.Model(list("abcde"), counts)
+    for shares in ([40, 20, 20, 20, 0], [36, 16, 16, 16, 16], [45, 30, 25, 0, 0]):
+        ends, bucket, count = grams([w for lang, n in enumerate(shares) for w in words_of(lang, 2, 4 * n)])
+        found = model.mixtures(ends, bucket, count)[0]
+        assert np.abs(found - np.array(shares) / 100).max() < 0.04, found
+
+
 # Embeddings
 
 
