@@ -16,7 +16,7 @@ from pyspark import TaskContext
 
 def planes(values: np.ndarray) -> bytes:
     """Byte 0 of all values, then byte 1 and so on: small numbers compress well."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def unplanes(data: bytes, kind) -> np.ndarray:

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import contamination, embeddings, jaccard, langid, lines, packing, pii, substrings, tokenfiles, urls
+from affinity.llm import (
+    clusters,
+    contamination,
+    embeddings,
+    exact,
+    jaccard,
+    langid,
+    lines,
+    packing,
+    pii,
+    search,
+    substrings,
+    tokenfiles,
+    urls,
+)
 from affinity.llm.common import table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
@@ -68,6 +82,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_embedding_near_dedup,
         op10_pii,
+        op11_ranked_search,
+        op12_exact_dedup,
+        op13_centroid_clustering,
     )
 }
 
@@ -91,6 +120,48 @@ _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 _TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_RANKED = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _clustering(k: int, rounds: int, width: int, scale: int, seed: int) -> str:
+    """The clustering, unrolled: a table of centroids and one of assignments per round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        d{i} as materialized (
+            select id, c, sum((x.v - m.v) * (x.v - m.v))::bigint as d
+            from x join c{i} m using (i) group by id, c
+        ), a{i} as materialized (
+            select id, c, d from d{i} qualify row_number() over (partition by id order by d, c) = 1
+        )""")
+        if i < rounds:
+            steps.append(f"""
+        s{i} as (select c, i, sum(v)::bigint as s, count(*) as n from x join a{i} using (id) group by c, i),
+        c{i + 1} as materialized (
+            select m.c, m.i, coalesce((s - ((s % n) + n) % n) // n, m.v) as v from c{i} m left join s{i} using (c, i)
+        )""")
+    return f"""
+        with q as materialized (
+            select vec_id, row_number() over (order by vec_id) as id,
+                list_transform(embedding, lambda e: floor({scale} * e::double)::bigint) as e
+            from embeddings where len(embedding) = {width}
+                and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+        ), x as materialized (
+            select id, unnest(e) as v, generate_subscripts(e, 1) as i from q
+        ), starts as (
+            select id, row_number() over (order by sha256('{seed}:' || vec_id)) - 1 as c from q
+            order by c limit {k}
+        ), c0 as materialized (select c, i, v from starts join x using (id)), {",".join(steps)},
+        digests as (
+            select c, sha256(string_agg(v::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by c
+        )
+        select vec_id, c::integer as cluster, d as distance,
+            (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+            centroid_sha256
+        from a{rounds} join digests using (c) join q using (id)
+    """
+
+
 ORACLES: dict[str, str] = {
     "op2_decontamination": f"""
         with words as (
@@ -232,4 +303,43 @@ ORACLES: dict[str, str] = {
         select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
         from components left join counts using (vec_id)
     """,
+    "op11_ranked_search": f"""
+        with words as (
+            select doc_id, unnest({_RANKED.format(_LOWER.format("coalesce(text, '')"))}) as term from documents
+        ), lengths as (
+            select doc_id, count(*) as n from words group by doc_id
+        ), totals as (
+            select count(*)::bigint as docs, sum(n)::bigint as length from lengths
+        ), tfs as (
+            select doc_id, term, count(*) as tf from words group by doc_id, term
+        ), weights as (
+            select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from tfs, totals group by term, docs
+        ), asked as (
+            select item_id, unnest({_RANKED.format(_LOWER.format("coalesce(text, '')"))}) as term from benchmark
+        ), items as (
+            select item_id, term, count(*) as times from asked group by item_id, term
+        ), scores as (
+            select item_id, doc_id, sum(times * w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // length))))::bigint as score
+            from items join weights using (term) join tfs using (term) join lengths using (doc_id), totals
+            group by item_id, doc_id
+        )
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::integer as rank,
+            doc_id, score
+        from scores where score > 0
+        qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10
+    """,
+    "op12_exact_dedup": rf"""
+        with bodies as (
+            select doc_id, length(coalesce(text, '')) as size,
+                regexp_replace(coalesce(text, ''), '{BLANK}+', '', 'g') as body from documents
+        )
+        select doc_id, first_value(doc_id) over kept as keep_id, count(*) over (partition by body) as group_size,
+            row_number() over kept = 1 as kept, sha256(body) as text_sha256
+        from bodies window kept as (partition by body order by size desc, doc_id)
+    """,
+    "op13_centroid_clustering": _clustering(
+        clusters.CENTROIDS, clusters.ROUNDS, clusters.WIDTH, clusters.SCALE, clusters.SEED
+    ),
 }

@@ -114,7 +114,12 @@ def word_hashes(
 ) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of every word; with ``lower``, A-Z count as a-z."""
     begin, end, doc = word_bounds(data, offsets, blanks)
-    chunk, out = data[offsets[0] : offsets[-1]], np.empty(len(begin), _U)
+    return hashes_between(data[offsets[0] : offsets[-1]], begin, end, lower), doc
+
+
+def hashes_between(chunk: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """The hash of each of the words from ``begin`` to ``end``, which do not overlap."""
+    out = np.empty(len(begin), _U)
     at = 0
     while at < len(begin):
         start = begin[at]
@@ -126,7 +131,7 @@ def word_hashes(
         b, e = begin[at:to] - start, end[at:to] - start
         out[at:to] = (sums[e] - sums[b]) * down[b] + (e - b).astype(_U) * _U(_WORD_BASE)
         at = to
-    return mix(out), doc
+    return mix(out)
 
 
 def window_hashes(
