@@ -36,6 +36,14 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of at most ``rows`` rows, in as few tasks and files as hold them.
+
+    Small tables would else be written as one file for every partition of their shuffle.
+    """
+    return df.coalesce(max(1, -(-rows // BROADCAST_ROWS)))
+
+
 def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over ``edges(a, b)``, for ids that have one.
 
@@ -46,10 +54,9 @@ def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
     ways = F.inline(F.expr("array(struct(a, b), struct(b as a, a as b))"))
     both = edges.filter("a <> b").select(ways).distinct()
     both = work.write(f"{name}/edges", both)
-    labels = work.write(
-        f"{name}/labels_0", both.groupBy(F.col("a").alias("id"))
-        .agg(F.least(F.col("id"), F.min("b")).alias("component")),
-    )
+    rows = both.count()  # and no more ids than that
+    first = both.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("component"))
+    labels = work.write(f"{name}/labels_0", few(first, rows))
     step = 0
     while True:
         step += 1
@@ -66,7 +73,7 @@ def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
             "id", F.least("c", "next").alias("component"),
             (F.least("c", "next") < F.col("old")).alias("moved"),
         )
-        written = work.write(f"{name}/labels_{step}", moved)
+        written = work.write(f"{name}/labels_{step}", few(moved, rows))
         labels = written.select("id", "component")
         if not written.filter("moved").head(1):
             return labels

@@ -13,7 +13,8 @@ Only DataFrame and SQL functions are used; no Python runs on rows.
    compared in place. Runs of equal words as long as a window are exact phrase matches.
 
 Documents are known by a 64-bit hash of id and text in between. As all words are compared in
-the document at the end, a collision costs time but no exactness.
+the document at the end, and bad documents are left out by their id as well, a collision costs
+time but no exactness.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import small, workspace
+from affinity.llm.common import few, small, workspace
 
 WINDOW = 13
 # Rarest terms of a window that are intersected before words are compared.
@@ -66,10 +67,13 @@ class PhraseIndex:
         self.window, self.work = window, workspace(docs.sparkSession)
         self.docs = _with_key(docs)
         self.items = self._items(items)
-        self.n_items = self.items.count()
+        self.n_items, n_words = self.items.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.size("words")), F.lit(0))
+        ).first()
         self.lexicon = self._lexicon()
-        self.windows = self.work.write("windows", self._windows())
-        self.probes = self.work.write("probes", self._probes())
+        self.windows = self.work.write("windows", few(self._windows(), self.n_items))
+        # As many as the items have words, at most.
+        self.probes = self.work.write("probes", few(self._probes(), n_words))
         self.n_probes = self.probes.count()
         self.postings = self._postings()
 
@@ -100,7 +104,7 @@ class PhraseIndex:
             .groupBy("term")
             .agg(F.count(F.lit(1)).alias("postings"))
         )
-        return self.work.write("lexicon", counted)
+        return self.work.write("lexicon", few(counted, n))
 
     def _windows(self) -> DataFrame:
         """(item, words, item_id, windows): the places of the rarest terms of every window."""
@@ -173,8 +177,8 @@ class PhraseIndex:
         docs = docs.join(per_doc, "key", "left").select(
             "key", "row", "n_words", split_words("text").alias("words"), "found"
         )
-        hits = F.flatten(F.transform("found", lambda f: _runs(F.col("words"), f, self.window)))
-        none = F.array().cast("array<struct<item_id:bigint,start:int,end:int>>")
+        none = F.array().cast(_runs_type(self.items))
+        hits = F.flatten(F.transform("found", lambda f: _runs(F.col("words"), f, self.window, none)))
         return docs.select(
             "key", "row", "n_words",
             F.when(F.col("found").isNull(), none).otherwise(hits).alias("hits"),
@@ -211,7 +215,12 @@ class PhraseIndex:
         return self.docs.select("key", "row.doc_id").join(met, "key").drop("key")
 
 
-def _runs(words: F.Column, found: F.Column, window: int) -> F.Column:
+def _runs_type(items: DataFrame) -> str:
+    kind = items.schema["item_id"].dataType.simpleString()
+    return f"array<struct<item_id:{kind},start:int,end:int>>"
+
+
+def _runs(words: F.Column, found: F.Column, window: int, none: F.Column) -> F.Column:
     """Longest runs of equal words of one alignment that hold a window."""
     low = F.greatest(F.lit(0), -found["shift"])
     high = F.least(F.size(found["item_words"]), F.size(words) - found["shift"])
@@ -225,14 +234,12 @@ def _runs(words: F.Column, found: F.Column, window: int) -> F.Column:
     parts = F.split(marks, "(?<=0)(?=1)|(?<=1)(?=0)", -1)
     start = F.struct(
         (found["shift"] + low).alias("at"),
-        F.array().cast("array<struct<item_id:bigint,start:int,end:int>>").alias("runs"),
+        none.alias("runs"),
     )
 
     def step(state: F.Column, part: F.Column) -> F.Column:
         end = state["at"] + F.length(part)
-        run = F.struct(
-            found["item_id"].cast("long").alias("item_id"), state["at"].alias("start"), end.alias("end")
-        )
+        run = F.struct(found["item_id"].alias("item_id"), state["at"].alias("start"), end.alias("end"))
         long_enough = part.startswith("1") & (F.length(part) >= width)
         runs = F.when(long_enough, F.array_append(state["runs"], run)).otherwise(state["runs"])
         return F.struct(end.alias("at"), runs.alias("runs"))
@@ -287,8 +294,10 @@ def _too_many(n_hit: F.Column) -> F.Column:
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not contaminated."""
     index = PhraseIndex(docs, items, window)
-    bad = index.phrases().filter(_too_many(hit_words("hits"))).select("key").distinct()
+    bad = index.phrases().filter(_too_many(hit_words("hits"))).select("key", "row.doc_id").distinct()
     bad = index.work.write("bad", bad)
-    kept = index.docs.join(small(bad, bad.count()), "key", "left_anti")
+    # The id is compared as well: a document whose hash is that of a bad one stays.
+    same = (index.docs["key"] == bad["key"]) & index.docs["row.doc_id"].eqNullSafe(bad["doc_id"])
+    kept = index.docs.join(small(bad, bad.count()), same, "left_anti")
     columns = [F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
     return kept.select(*columns)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.llm import buckets, text, worker
-from affinity.llm.common import components, partitions, small, workspace
+from affinity.llm.common import components, few, partitions, small, workspace
 
 WIDTH, PERCENT = 5, 80
 # A block with more documents, or more shingles, than this is salted.
@@ -74,8 +74,8 @@ def _shingles_of(i: int, j: int, data, offsets, width: int):
 
 
 def _send(width: int, n_buckets: int):
+    @worker.lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker.release()
         numbers = buckets.Batches()
         for batch in batches:
             data, offsets = text.utf8(batch["text"])
@@ -107,6 +107,7 @@ def _send(width: int, n_buckets: int):
     return send
 
 
+@worker.lean
 def _count(table: pa.Table) -> pa.Table:
     """Of the keys of one bucket, those in two documents or more, with their number."""
     rows = table.to_pylist()
@@ -135,6 +136,7 @@ def _count(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(percent: int):
+    @worker.lean
     def choose(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         heads = [r for r in rows if r["head"]]
@@ -169,6 +171,7 @@ def _prefixes(percent: int):
     return choose
 
 
+@worker.lean
 def _leaders(table: pa.Table) -> pa.Table:
     """(document, smallest document it is connected to by keys of this bin).
 
@@ -277,8 +280,8 @@ def _sets(column, width: int) -> list[np.ndarray]:
 
 
 def _search_texts(width: int, percent: int):
+    @worker.lean
     def run(table: pa.Table) -> pa.Table:
-        worker.release()
         table = table.combine_chunks()
         ids = table["doc_id"].to_numpy()
         number = search(_sets(table["text"], width), percent)
@@ -290,6 +293,7 @@ def _search_texts(width: int, percent: int):
 
 
 def _with_sets(width: int):
+    @worker.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [s.tobytes() for s in _sets(batch["text"], width)]
@@ -304,6 +308,7 @@ def _with_sets(width: int):
 def _visit(percent: int):
     """Links of the documents of one part of a block to the pivots that visit it."""
 
+    @worker.lean
     def run(table: pa.Table) -> pa.Table:
         pivot = table["pivot"].to_numpy(zero_copy_only=False).astype(bool)
         ids = table["doc_id"].to_numpy()
@@ -439,18 +444,17 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     )
     blocks = components(work, "blocks", edges)
     weights = named.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n")
-    sized = work.write("sized", blocks.join(weights, "id"))
+    n_linked = blocks.count()
+    sized = work.write("sized", few(blocks.join(weights, "id"), n_linked))
     per_block = sized.groupBy("component").agg(
         F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")
     )
-    chosen = work.write(
-        "members",
-        sized.join(per_block, "component").select(
-            F.col("id").alias("doc_id"), F.col("component").alias("block"),
-            ((F.col("docs") > BLOCK_DOCS) | (F.col("shingles") > BLOCK_SHINGLES)).alias("large"),
-        ),
+    members = sized.join(per_block, "component").select(
+        F.col("id").alias("doc_id"), F.col("component").alias("block"),
+        ((F.col("docs") > BLOCK_DOCS) | (F.col("shingles") > BLOCK_SHINGLES)).alias("large"),
     )
-    bodies = docs.join(small(chosen, chosen.count()), "doc_id").dropDuplicates(["doc_id"])
+    chosen = work.write("members", few(members, n_linked))
+    bodies = docs.join(small(chosen, n_linked), "doc_id").dropDuplicates(["doc_id"])
     inside = (
         bodies.filter("not large")
         .select(F.pmod(F.xxhash64("block"), F.lit(n)).cast("int").alias("bin"), "doc_id", "text")
@@ -482,6 +486,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
 
 def _sizes(width: int):
+    @worker.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [len(s) for s in _sets(batch["text"], width)]

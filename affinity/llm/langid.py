@@ -29,6 +29,8 @@ UNKNOWN = "und"
 # of the id. More change the trigram distributions little.
 DOCS_PER_LANGUAGE = 3_000
 BUCKETS = 1 << 14
+# Documents whose texts are held as Python strings at once.
+BLOCK = 1_000
 # Rounds of EM for each set of languages that is tried for a document.
 ROUNDS = 8
 # Price of a further language, times log(1 + trigrams): trigrams overlap, so three of them
@@ -87,8 +89,8 @@ def _long_trigrams(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.array([0, len(own)]), own, total[own]
 
 
+@worker.lean
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    worker.release()
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         data, offsets = text.utf8(batch["text"])
@@ -211,15 +213,17 @@ def predicted(docs: DataFrame, model: Model, lang: str, score: str) -> DataFrame
     if lang in docs.columns or score in docs.columns:
         raise ValueError("the new columns must have new names")
 
+    @worker.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker.release()
-        for batch in batches:
-            texts = batch["text"].to_pylist()
-            langs, scores = sent.value.predict(texts, *text.utf8(batch["text"]))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, lang, score],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                texts = batch["text"].to_pylist()
+                langs, scores = sent.value.predict(texts, *text.utf8(batch["text"]))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*batch.schema.names, lang, score],
+                )
 
     schema = StructType([*docs.schema.fields, StructField(lang, StringType()), StructField(score, DoubleType())])
     return docs.mapInArrow(run, schema)

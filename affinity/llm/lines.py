@@ -41,7 +41,6 @@ BLOCK = 1_000
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts of the batches that are small enough to be held as Python strings."""
-    worker.release()
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK):
             yield batch.slice(at, BLOCK)
@@ -73,6 +72,7 @@ def _positions(keys: list[str], bits: int) -> np.ndarray:
 def _set_bits(bits: int, min_length: int):
     width = bits // SLICES
 
+    @worker.lean
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             found = [k for t in batch["text"].to_pylist() for k in _keys(t, min_length)]
@@ -134,6 +134,7 @@ def twice_filter(docs: DataFrame, min_length: int = 20, max_bits: int = MAX_BITS
 def _suspects(filter_bits, min_length: int):
     """Lines whose key passes the filter: (key, doc_id, numbers of its lines)."""
 
+    @worker.lean
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = np.frombuffer(filter_bits.value, np.uint8)
         for batch in _blocks(batches):
@@ -163,6 +164,7 @@ def _suspects(filter_bits, min_length: int):
 def _keep(columns: list[str], drops: str, n_lines: str, n_dropped: str):
     """All columns, with the text that is left and two counts in place of ``drops``."""
 
+    @worker.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
             kept, lines, dropped = [], [], []

@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.llm import worker
 from affinity.llm.common import small, workspace
 from affinity.llm.tokens import Encoder
 
@@ -127,6 +128,7 @@ def sweep(rows: list[tuple], lowest: int, opening: int | None, capacity: int) ->
 def _superstep(opening: int | None, capacity: int):
     names = [f.split()[0] for f in RUNS.split(", ")]
 
+    @worker.lean
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for f in frames for r in f[names].itertuples(index=False, name=None)]
         rows = [(k, int(s), int(a), int(n), None, None) for k, s, a, n, *_ in rows]

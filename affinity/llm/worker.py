@@ -7,7 +7,9 @@ the memory free.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 from typing import Any
 
 import pyarrow as pa
@@ -23,7 +25,43 @@ def keep(key: Any, make: Callable[[], Any]) -> Any:
     return _kept[key]
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library than glibc
+    _trim = None
+
+
+def trim() -> None:
+    """Give freed memory back to the system; it would else stay with this process while others work."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def release() -> None:
-    """Keep nothing, and give back what Arrow holds for later use."""
+    """Keep nothing of earlier work."""
     _kept.clear()
-    pa.default_memory_pool().release_unused()
+    trim()
+
+
+def lean(run: Callable) -> Callable:
+    """A function on batches, or on one group, that starts and ends with as little memory as it can.
+
+    Workers outlive their tasks: what one held at its peak is given back when the task ends.
+    """
+
+    @wraps(run)
+    def wrapped(given):
+        release()
+        out = run(given)
+        if isinstance(out, Iterator):
+            return _ending(out)
+        trim()
+        return out
+
+    return wrapped
+
+
+def _ending(batches: Iterator) -> Iterator:
+    yield from batches
+    trim()

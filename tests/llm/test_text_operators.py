@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from affinity.llm import contamination, jaccard, lines, substrings, text
+from pyspark.sql import functions as F
 from llm_cases import SCHEMA, collected, frame, rows, words
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -198,6 +199,19 @@ def test_contamination(spark):
     assert any(r[5] for r in got)
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(5,0)"])
+def test_item_ids_of_any_type(spark, kind):
+    items = spark.createDataFrame([(i, b) for i, b in enumerate(["one two", " ".join(words(1, 60, 500)), "nowhere"])])
+    name = F.concat(F.lit("item "), "_1") if kind == "string" else F.col("_1").cast(kind)
+    items = items.select(name.alias("item_id"), F.col("_2").alias("text"))
+    docs = frame(spark)
+    plain = items.withColumn("item_id", F.regexp_replace("item_id", "item ", "").cast("long"))
+    want = [(*r[:4], [f"item {i}" if kind == "string" else i for i in r[4]], r[5]) for r in collected(contamination.contamination(docs, plain))]
+    assert collected(contamination.contamination(docs, items)) == want and any(r[4] for r in want)
+    kept = contamination.decontaminate(docs, items)
+    assert collected(kept) == collected(contamination.decontaminate(docs, plain))
+
+
 def test_contamination_drops_rows_and_keeps_columns(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     bad = [r[5] for r in sorted(hit_brute(rows(), ITEMS), key=str)]
