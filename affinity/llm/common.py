@@ -12,6 +12,9 @@ from affinity.workspace import Workspace
 # Rows of ids or small values up to which a counted table may be broadcast (some 50 MB).
 BROADCAST_ROWS = 500_000
 
+# Bytes read by one task where files are read in smaller parts than that.
+TASK_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,6 +47,17 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, -(-rows // BROADCAST_ROWS)))
 
 
+def compact(df: DataFrame, source: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``df``, made of the rows of ``source``, in tasks and files that are not tiny.
+
+    A task gets ``task_bytes`` of what ``source`` reads, or less where that would leave cores idle;
+    tables that are read in larger parts stay as they are.
+    """
+    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(2 * cores, -(-size // task_bytes)))
+
+
 def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over ``edges(a, b)``, for ids that have one.
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from affinity.llm import worker
-from affinity.llm.common import fresh, workspace
+from affinity.llm.common import compact, few, fresh, workspace
 from affinity.llm.text import mix
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -225,22 +225,18 @@ def drop_lines(
     work = workspace(spark)
     named = docs.filter("doc_id is not null").select("doc_id", "text")
     bits = spark.sparkContext.broadcast(twice_filter(docs, min_length, max_bits))
-    suspects = work.write(
-        "suspects",
-        named.mapInArrow(
-            _suspects(bits, min_length), "key string, doc_id long, numbers array<int>"
-        ),
-    )
+    found = named.mapInArrow(_suspects(bits, min_length), "key string, doc_id long, numbers array<int>")
+    suspects = work.write("suspects", compact(found, docs))
     # Rows that repeat a doc_id must not count twice: equal (key, doc_id) meet first.
     holders = suspects.groupBy("key", "doc_id").agg(F.first("numbers").alias("numbers"))
     # Written, so that both sides of the join below are plain shuffles and a hot key is split.
-    repeated = work.write(
-        "repeated",
+    keepers = (
         holders.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n") >= min_documents)
-        .select("key", "keeper"),
+        .select("key", "keeper")
     )
+    repeated = work.write("repeated", few(keepers, suspects.count()))
     numbers = fresh("numbers")
     drops = (
         suspects.join(repeated, "key")
