@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import contamination, jaccard, langid, lines, packing
-from affinity.llm.common import fresh, small, table, workspace
+from affinity.llm.common import compact, fresh, small, table, workspace
 from affinity.llm.tokens import byte_bpe_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,14 +20,15 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language that makes up at least half of them."""
-    return langid.reject(docs)
+    return compact(langid.reject(docs), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that three or more have; ``n_chars`` follows the text."""
     counts = fresh("lines"), fresh("dropped")
     out = lines.drop_lines(docs, *counts).drop(*counts)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return compact(out, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +36,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     work = workspace(spark)
     found = jaccard.jaccard_components(docs.select("doc_id", "text"))
     gone = work.write("gone", found.filter("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    return compact(docs.join(small(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words less than a twentieth are in windows of benchmark items."""
-    return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return compact(contamination.decontaminate(docs, table(spark, sf_dir, "benchmark")), docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
