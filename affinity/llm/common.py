@@ -53,7 +53,7 @@ def compact(df: DataFrame, source: DataFrame, task_bytes: int = TASK_BYTES) -> D
     A task gets ``task_bytes`` of what ``source`` reads, or less where that would leave cores idle;
     tables that are read in larger parts stay as they are.
     """
-    size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.coalesce(max(2 * cores, -(-size // task_bytes)))
 
