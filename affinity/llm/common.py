@@ -55,7 +55,7 @@ def compact(df: DataFrame, source: DataFrame, task_bytes: int = TASK_BYTES) -> D
     """
     size = int(str(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(max(2 * cores, -(-size // task_bytes)))
+    return df.coalesce(min(max(2 * cores, -(-size // task_bytes)), (1 << 31) - 1))
 
 
 def components(work: Workspace, name: str, edges: DataFrame) -> DataFrame:
