@@ -30,17 +30,18 @@ USERS, ITEMS = 1_024, 1_024
 
 
 def merged(score: np.ndarray, item: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``n`` best of every row of candidates by (score, smaller item), best first.
+    """The ``n`` best of every row of candidates by (rounded score, smaller item), best first.
 
     Rows may have fewer: what is missing has a score of minus infinity.
     """
+    rounded = np.round(score, DIGITS)
     if score.shape[1] > n:
-        least = np.partition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n]
-        row, column = np.nonzero(score >= least[:, None])  # ties at the end included
+        least = np.partition(rounded, score.shape[1] - n, axis=1)[:, score.shape[1] - n]
+        row, column = np.nonzero(rounded >= least[:, None])  # ties at the end included
     else:
         row, column = np.nonzero(np.ones(score.shape, bool))
     value, name = score[row, column], item[row, column]
-    order = np.lexsort((name, -value, row))
+    order = np.lexsort((name, -rounded[row, column], row))
     row, value, name = row[order], value[order], name[order]
     first = np.searchsorted(row, np.arange(len(score)))
     place = np.arange(len(row)) - first[row]
@@ -68,7 +69,7 @@ def scan(
         score = np.zeros((len(left), len(block)))
         for c in range(users.shape[1]):  # in order, so that equal factors have equal scores
             score += users[left, c][:, None] * block[None, :, c]
-        score = np.concatenate([best[left], np.round(score, DIGITS)], axis=1)
+        score = np.concatenate([best[left], score], axis=1)
         name = np.concatenate([names[left], np.broadcast_to(ids[at : at + ITEMS], (len(left), len(block)))], axis=1)
         best[left], names[left] = merged(score, name, n)
         scored[left] += len(block)

@@ -26,6 +26,10 @@ class Rank2:
     users: DataFrame  # userId int, f0 double, f1 double
     items: DataFrame  # movieId int, f0 double, f1 double
 
+    @property
+    def columns(self) -> list[str]:
+        return ["f0", "f1"]
+
 
 def _start(keys: DataFrame) -> DataFrame:
     second = F.pmod(F.col("userId").cast("long") * 37, F.lit(101)) / F.lit(101.0) - F.lit(0.5)

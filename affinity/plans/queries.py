@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import Config
 from affinity.functions import messages
-from affinity.operators import anyrank, clean, evaluate, factor, factor2, model, popular, serve
+from affinity.operators import anyrank, bestitems, clean, evaluate, factor, factor2, model, popular, rankk, serve
 from affinity.plans import ingest
 from affinity.plans.stages import Stages
 from affinity.schemas import LINKS, TABLES
@@ -26,6 +26,9 @@ TOPIC = CONFIG.topic
 REPLAY_LIMIT = 10_000
 NTH_USER = 139
 RANK2_LAMBDA, RANK2_STEPS = 0.05, 4
+# Rank, lambdas and steps of the grid at rank 3, and of one fit at rank 8.
+RANK3 = (3, (0.02, 0.05), (2, 4))
+RANK8 = (8, (0.05,), (2,))
 REPLAY_FILE = 10_000
 REPLAY_ORDER = ["userId", "movieId", "rating"]
 
@@ -57,8 +60,12 @@ def stages(spark: SparkSession, sf_dir: str) -> Stages:
     return _stages[key]
 
 
+def _name(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex[:8]}"
+
+
 def _fresh(s: Stages, name: str) -> str:
-    return s.workspace.path(f"{name}-{uuid.uuid4().hex[:8]}")
+    return s.workspace.path(_name(name))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -324,6 +331,67 @@ def als_rank2_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factor2.error(_rank2(spark, sf_dir), tested).select(F.round("rmse", 4).alias("rmse"), "n")
 
 
+def als_rank2_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = stages(spark, sf_dir)
+    found = bestitems.for_users(s.workspace, _rank2(spark, sf_dir), name=_name("lists"))
+    return found.withColumn("rating", F.round("rating", 4))
+
+
+def _factors(fitted: rankk.RankModel) -> DataFrame:
+    """(part, id, f0, ...) of both sides."""
+    sides = [
+        side.select(F.lit(part).alias("part"), F.col(key).alias("id"), *fitted.columns)
+        for part, key, side in (("user", "userId", fitted.users), ("item", "movieId", fitted.items))
+    ]
+    return sides[0].union(sides[1]).withColumns({c: F.round(c, 6) for c in fitted.columns})
+
+
+def als_rank8_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _factors(stages(spark, sf_dir).rank_models(*RANK8)[0])
+
+
+def als_rank8_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the factors of every user solve their equations."""
+    s = stages(spark, sf_dir)
+    gaps = rankk.equation_gaps(s.rank_models(*RANK8)[0], s.train())
+    return gaps.select("userId", (F.col("gap") < 1e-9).alias("ok"))
+
+
+def als_rank3_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stages(spark, sf_dir).rank_errors(*RANK3).select(
+        "lambda", "iterations", F.round("rmse", 6).alias("rmse"), "n"
+    )
+
+
+def als_rank3_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best model of the grid as it was saved: both sides, and lambda, steps and error."""
+    loaded = stages(spark, sf_dir).rank_best(*RANK3)
+    facts = spark.range(1).select(
+        F.lit("params").alias("part"), F.lit(0).alias("id"), F.lit(loaded.lam).alias("f0"),
+        F.lit(float(loaded.iterations)).alias("f1"), F.round(F.lit(loaded.rmse), 6).alias("f2"),
+    )
+    return _factors(loaded).union(facts)
+
+
+def _rank3_lists(spark: SparkSession, sf_dir: str, users: DataFrame | None = None) -> DataFrame:
+    s = stages(spark, sf_dir)
+    return bestitems.for_users(s.workspace, s.rank_best(*RANK3), users, CONFIG.list_size, name=_name("lists"))
+
+
+def als_rank3_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_rank3_lists(spark, sf_dir))
+
+
+def als_rank3_topn_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nth = popular.nth_user(stages(spark, sf_dir).train(), NTH_USER)
+    return _rounded(_rank3_lists(spark, sf_dir, nth))
+
+
+def als_rank3_topn_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _rank3_lists(spark, sf_dir)
+    return _rounded(popular.lookup_titles(found, stages(spark, sf_dir).movies), "title")
+
+
 def als_rmse_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.best(stages(spark, sf_dir).errors()).select(
         F.round("rmse", 6).alias("rmse"), "n"
@@ -494,6 +562,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_rank3_equations": als_rank3_equations,
     "als_rank2_factors": als_rank2_factors,
     "als_rank2_rmse": als_rank2_rmse,
+    "als_rank2_topn_all": als_rank2_topn_all,
+    "als_rank8_factors": als_rank8_factors,
+    "als_rank8_equations": als_rank8_equations,
+    "als_rank3_grid": als_rank3_grid,
+    "als_rank3_saved": als_rank3_saved,
+    "als_rank3_topn_all": als_rank3_topn_all,
+    "als_rank3_topn_one": als_rank3_topn_one,
+    "als_rank3_topn_titles": als_rank3_topn_titles,
     "als_rmse_holdout": als_rmse_holdout,
     "als_rmse_overlap": als_rmse_overlap,
     "als_grid": als_grid,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from affinity.config import Config
-from affinity.operators import evaluate, factor, model, popular, split
+from affinity.operators import evaluate, factor, model, popular, rankk, split
 from affinity.workspace import Workspace
 
 
@@ -24,6 +24,8 @@ class Stages:
         self._model: model.Model | None = None
         self._published: str | None = None
         self.rank2 = None  # a rank-2 model, where one was asked for
+        self._ranks: dict[tuple, list[rankk.RankModel]] = {}
+        self._rank_best: dict[tuple, rankk.RankModel] = {}
 
     def ratings(self) -> DataFrame:
         return self.workspace.stage("ratings", lambda: self._ratings)
@@ -68,6 +70,32 @@ class Stages:
             self._model = model.best_model(self.fit(), self.errors())
         return self._model
 
+    def weighted_test(self) -> DataFrame:
+        return self.workspace.stage("weighted_test", lambda: evaluate.weighted(self.test()))
+
+    def rank_models(self, rank: int, lambdas: tuple, iterations: tuple) -> list[rankk.RankModel]:
+        """Models of any rank, one for every (lambda, iterations)."""
+        key = (rank, lambdas, iterations)
+        if key not in self._ranks:
+            name = f"rank_{rank}_{len(self._ranks)}"
+            self._ranks[key] = rankk.fit(self.workspace, self.train(), rank, lambdas, iterations, name=name)
+        return self._ranks[key]
+
+    def rank_errors(self, rank: int, lambdas: tuple, iterations: tuple) -> DataFrame:
+        models = self.rank_models(rank, lambdas, iterations)
+        name = f"rank_errors_{list(self._ranks).index((rank, lambdas, iterations))}"
+        return self.workspace.stage(name, lambda: rankk.errors(models, self.weighted_test()))
+
+    def rank_best(self, rank: int, lambdas: tuple, iterations: tuple) -> rankk.RankModel:
+        """The one of least hold-out error, saved and read back."""
+        key = (rank, lambdas, iterations)
+        if key not in self._rank_best:
+            chosen = rankk.best_model(self.rank_models(*key), self.rank_errors(*key))
+            path = self.workspace.path(f"best_rank_{rank}_{len(self._rank_best)}")
+            rankk.save(chosen, path)
+            self._rank_best[key] = rankk.load(self.workspace.spark, path)
+        return self._rank_best[key]
+
     def published(self) -> str:
         """Root under which the best model is the current one."""
         if self._published is None:

@@ -149,6 +149,85 @@ def _rank2(lam: float = 0.05, steps: int = 4) -> str:
 
 RANK2 = SPLIT + ",\n" + _rank2()
 
+
+def _solved(sums: str, key: str, rank: int) -> str:
+    """``f0 f1 ...`` of the equations in ``sums(key, a<i>_<j>, b<i>)`` by elimination, row after row."""
+    out, ranks = sums, range(rank)
+    for j in ranks:
+        below = range(j + 1, rank)
+        new = [f"a{i}_{k} - a{i}_{j} / a{j}_{j} * a{j}_{k} as a{i}_{k}" for i in below for k in below]
+        new += [f"b{i} - a{i}_{j} / a{j}_{j} * b{j} as b{i}" for i in below]
+        names = [x.rsplit(" ", 1)[1] for x in new]
+        keep = f"* exclude ({', '.join(names)})" if names else "*"
+        out = f"select {', '.join([keep, *new])} from ({out})"
+    for i in reversed(ranks):
+        top = "".join(f" - a{i}_{k} * f{k}" for k in range(i + 1, rank))
+        out = f"select *, (b{i}{top}) / a{i}_{i} as f{i} from ({out})"
+    return f"select {key}, {', '.join(f'f{i}' for i in ranks)} from ({out})"
+
+
+def _any_rank(rank: int, lam: float, steps: int, mark: str) -> str:
+    """Tables ``<mark>p<step>`` and ``<mark>q<step>`` of user and item factors."""
+    h = [f"((cast(userId as bigint) * {37 * c}) % 101) / 101.0::double - 0.5 as f{c}" for c in range(1, rank)]
+    first = ", ".join(["userId", "cast(1 as double) as f0", *h])
+    parts = [f"{mark}p0 as materialized (select {first} from (select distinct userId from train))"]
+    sums = [
+        f"sum(f{max(i, j)} * f{min(i, j)})" + (f" + {lam}::double * count(*)" if i == j else "") + f" as a{i}_{j}"
+        for i in range(rank) for j in range(rank)
+    ]
+    sums += [f"sum(rating * f{i}) as b{i}" for i in range(rank)]
+    for step in range(1, steps + 1):
+        for new, old, key, other in (
+            (f"{mark}q{step}", f"{mark}p{step - 1}", "movieId", "userId"),
+            (f"{mark}p{step}", f"{mark}q{step}", "userId", "movieId"),
+        ):
+            grouped = f"select {key}, {', '.join(sums)} from train join {old} using ({other}) group by {key}"
+            parts.append(f"{new} as materialized ({_solved(grouped, key, rank)})")
+    return ",\n".join(parts)
+
+
+def _sides(users: str, items: str, columns: list[str], places: int) -> str:
+    one = "select '{}' as part, {} as id, " + ", ".join(f"round({c}, {places}) as {c}" for c in columns) + " from {}"
+    return one.format("user", "userId", users) + " union all " + one.format("item", "movieId", items)
+
+
+def _listed(users: str, items: str, rank: int, wanted: str = "true", n: int = 5) -> str:
+    """A CTE ``listed``: the ``n`` best items of users, every pair scored."""
+    score = " + ".join(f"u.f{c} * i.f{c}" for c in range(rank))
+    return f"""listed as (
+  select userId, cast(rank as int) as rank, movieId, rating from (
+    select *, row_number() over (partition by userId order by round(rating, 9) desc, movieId) as rank
+    from (select userId, movieId, {score} as rating from {users} u cross join {items} i where {wanted}))
+  where rank <= {n})"""
+
+
+# Fixed values of the checked queries: lambdas and steps of the rank-3 grid, lambda and steps at rank 8.
+RANK3_LAMBDAS, RANK3_STEPS, RANK8_LAMBDA, RANK8_STEPS = (0.02, 0.05), (2, 4), 0.05, 2
+RANK8 = SPLIT + ",\n" + _any_rank(8, RANK8_LAMBDA, RANK8_STEPS, "")
+RANK3 = ",\n".join(
+    [SPLIT]
+    + [_any_rank(3, lam, RANK3_STEPS[-1], "ab"[k]) for k, lam in enumerate(RANK3_LAMBDAS)]
+    + [
+        "grid3 as materialized ("
+        + " union all ".join(
+            f"""select {lam}::double as lam, {step} as steps, '{"ab"[k]}{step}' as model, count(*) as n,
+  sqrt(avg((rating - (u.f0 * i.f0 + u.f1 * i.f1 + u.f2 * i.f2)) ** 2)) as rmse
+  from test join {"ab"[k]}p{step} u using (userId) join {"ab"[k]}q{step} i using (movieId)"""
+            for k, lam in enumerate(RANK3_LAMBDAS) for step in RANK3_STEPS
+        )
+        + ")",
+        "best3 as materialized (select * from grid3 order by rmse, lam, steps limit 1)",
+    ]
+    + [
+        f"{name} as materialized ("
+        + " union all ".join(
+            f"select * from {m}{side}{step} where '{m}{step}' = (select model from best3)" for m in "ab" for step in RANK3_STEPS
+        )
+        + ")"
+        for name, side in (("u3", "p"), ("i3", "q"))
+    ]
+)
+
 ALS = SPLIT + ",\n" + _als()
 
 # A product with a positive factor is largest for the largest factors, with a negative one for
@@ -342,6 +421,33 @@ union all select 'item', movieId, round(f0, 4), round(f1, 4) from q4""",
             RANK2,
             """select round(sqrt(avg((rating - u.f0 * i.f0 - u.f1 * i.f1) ** 2)), 4) as rmse, count(*) as n
 from test join p4 u using (userId) join q4 i using (movieId)""",
+        ),
+        "als_rank2_topn_all": _sql(
+            RANK2, _listed("p4", "q4", 2), "select userId, rank, movieId, round(rating, 4) as rating from listed"
+        ),
+        "als_rank8_factors": _sql(
+            RANK8, _sides(f"p{RANK8_STEPS}", f"q{RANK8_STEPS}", [f"f{c}" for c in range(8)], 6)
+        ),
+        "als_rank8_equations": _sql(SPLIT, "select distinct userId, true as ok from train"),
+        "als_rank3_grid": _sql(
+            RANK3, 'select lam as "lambda", steps as iterations, round(rmse, 6) as rmse, n from grid3'
+        ),
+        "als_rank3_saved": _sql(RANK3, _sides("u3", "i3", ["f0", "f1", "f2"], 6) + """
+union all select 'params', 0, lam, steps::double, round(rmse, 6) from best3"""),
+        "als_rank3_topn_all": _sql(
+            RANK3, _listed("u3", "i3", 3), "select userId, rank, movieId, round(rating, 6) as rating from listed"
+        ),
+        "als_rank3_topn_one": _sql(
+            RANK3,
+            _listed("u3", "i3", 3, f"userId = {NTH}"),
+            "select userId, rank, movieId, round(rating, 6) as rating from listed",
+        ),
+        "als_rank3_topn_titles": _sql(
+            RANK3,
+            MOVIES,
+            _listed("u3", "i3", 3),
+            """select userId, rank, movieId, round(rating, 6) as rating, title
+from listed left join movies using (movieId)""",
         ),
         "als_rmse_holdout": _sql(ALS, "select round(rmse, 6) as rmse, n from best"),
         "als_rmse_overlap": _sql(

@@ -139,8 +139,8 @@ def brute(users, items, n):
             s = 0.0
             for x, y in zip(a, b, strict=True):
                 s += x * y
-            scores.append((-np.round(s, bestitems.DIGITS), m))
-        out += [(u, place, m, -float(s)) for place, (s, m) in enumerate(sorted(scores)[:n], 1)]
+            scores.append((-np.round(s, bestitems.DIGITS), m, s))
+        out += [(u, place, m, s) for place, (_, m, s) in enumerate(sorted(scores)[:n], 1)]
     return sorted(out)
 
 
