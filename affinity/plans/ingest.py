@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from affinity.operators import clean
 from affinity.schemas import TABLES
+from affinity.sinks import versions
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,8 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
     """Clean ``lines`` as ``table`` under ``path``; ``name`` registers the kept rows.
 
     Kept and rejected lines go to two folders of one write, and are counted on the
-    way. The catalog table lies over the kept files; nothing is copied into it.
+    way. The catalog table lies over the kept files; nothing is copied into it. Each call
+    writes a version of its own, and the table is switched to it at the end.
     """
     spark = lines.sparkSession
     columns = TABLES[table].names
@@ -44,19 +46,22 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
         "reason",
         F.when(reason.isNull(), "kept").otherwise("rejected").alias("status"),
     )
-    with _open_writers(spark, 2):  # one for each status, so rows need not be sorted by it
-        split.write.mode("overwrite").partitionBy("status").parquet(path)
+    found = versions.Versions(spark, path)
 
-    kept_path = f"{path}/status=kept"
+    def write(to: str) -> None:
+        with _open_writers(spark, 2):  # one for each status, so rows need not be sorted by it
+            split.write.partitionBy("status").parquet(to)
+
+    here = found.write(write)
+    kept_path = f"{here}/status=kept"
     counts = seen.get
-    if name:
-        spark.sql(f"drop table if exists {name}")
     if not counts["kept"]:
-        spark.createDataFrame([], TABLES[table]).write.mode("overwrite").parquet(kept_path)
+        spark.createDataFrame([], TABLES[table]).write.parquet(kept_path)
     if name:
-        spark.catalog.createTable(name, path=kept_path, source="parquet", schema=TABLES[table])
+        versions.switch(spark, name, kept_path, TABLES[table])
+    found.retain(here)
     stored = spark.read.schema(f"{_ddl(table)}, value string, reason string, status string")
-    everything = stored.parquet(path)
+    everything = stored.parquet(here)
     return Ingested(
         everything.filter(F.col("status") == "kept").select(*columns),
         everything.filter(F.col("status") == "rejected").select("value", "reason"),

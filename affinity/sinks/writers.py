@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import JdbcTarget
 from affinity.functions.messages import user_id
+from affinity.sinks import versions
 
 # Rows of one output file when few files are asked for.
 FILE_ROWS = 5_000_000
@@ -28,12 +29,8 @@ def write_few_files(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> int
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Replace a table with the rows of ``df``; ``path`` makes it an external one."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Replace a table with the rows of ``df``, in one step for its readers; see ``versions``."""
+    return versions.replace(df, table, path)
 
 
 def pending_rows(results: DataFrame, stored: DataFrame, run_id: str) -> DataFrame:
