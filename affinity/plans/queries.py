@@ -140,13 +140,14 @@ def ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables of raw files in which no line can be kept: they are there, and empty."""
+    """Tables of raw files, a line per customer, in which none can be kept: they are there, and empty."""
     s = stages(spark, sf_dir)
     parts = []
     for table in ("links", "movies", "ratings"):
         name = f"{table}_{uuid.uuid4().hex[:8]}"
         lines = s.workspace.text_stage(
-            f"wrong/{table}", lambda t=table: views.wrong_lines(spark, sf_dir, t)
+            f"wrong/{table}",
+            lambda t=table: views.wrong_lines(spark, sf_dir, t, "customer", "c_custkey", "c_name"),
         )
         done = ingest.ingest(lines, table, _fresh(s, f"nothing-{table}"), name)
         stored = spark.table(name).agg(F.count(F.lit(1)).alias("stored"))

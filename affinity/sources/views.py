@@ -57,18 +57,21 @@ WRONG_LINES = {
 }
 
 
-def wrong_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def wrong_lines(
+    spark: SparkSession, sf_dir: str, table: str, source: str = "nation", key: str = "n_nationkey", name: str = "n_name"
+) -> DataFrame:
     """A line of each nation that is short, has a field too many, a null one or no last one.
 
-    Only in tags is the second form no error: a tag may hold commas.
+    Or of each row of another ``source`` with a ``key`` and a ``name``. Only in tags is the second
+    form no error: a tag may hold commas.
     """
-    key, value = F.col("n_nationkey"), None
+    key, value = F.col(key), None
     for case, line in enumerate(WRONG_LINES[table]):
         text = F.lit(line)
-        for mark, column in (("{k}", key.cast("string")), ("{name}", F.col("n_name"))):
+        for mark, column in (("{k}", key.cast("string")), ("{name}", F.col(name))):
             text = F.replace(text, F.lit(mark), column)
         value = (F if value is None else value).when(key % 4 == case, text)
-    return _table(spark, sf_dir, "nation").select(value.alias("value"))
+    return _table(spark, sf_dir, source).select(value.alias("value"))
 
 
 def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,12 +64,13 @@ WRONG = {
 REASONS = ("too few fields", "too many fields", "bad value", "empty last field")
 
 
-def _wrong(table: str) -> str:
-    return "\nunion all\n".join(
+def _wrong(table: str, source: str = "nation", key: str = "n_nationkey", name: str = "n_name") -> str:
+    nations = "\nunion all\n".join(
         f"select '{table}' as table_name, {line} as value, '{reason}' as reason from nation where n_nationkey % 4 = {case}"
         for case, (line, reason) in enumerate(zip(WRONG[table], REASONS, strict=True))
         if line
     )
+    return nations.replace("from nation", f"from {source}").replace("n_nationkey", key).replace("n_name", name)
 
 POPULAR = """popular as (
   select cast(row_number() over (order by c desc, movieId) as int) as rank, movieId, c
@@ -325,7 +326,7 @@ union all select 'ratings', concat_ws('|', userId, movieId, rating, timestamp) f
 union all select 'tags', concat_ws('|', userId, movieId, tag, timestamp) from tags""",
         ),
         "ingest_nothing": _sql(
-            f"wrong as ({' union all '.join(_wrong(t) for t in ('links', 'movies', 'ratings'))})",
+            f"wrong as ({' union all '.join(_wrong(t, 'customer', 'c_custkey', 'c_name') for t in ('links', 'movies', 'ratings'))})",
             """select table_name, cast(0 as bigint) as stored,
        count(*) filter (reason <> 'empty last field') as rejected,
        count(*) filter (reason = 'empty last field') as dropped
