@@ -157,6 +157,11 @@ def for_users(
     if users is not None:
         wanted = wanted.join(users.select("userId").distinct(), "userId", "left_semi")
     found = lists(workspace, wanted, model.items, model.columns, n, chunk_rows, name)
+    return exploded(found)
+
+
+def exploded(found: DataFrame) -> DataFrame:
+    """(userId, rank, movieId, rating) of lists (userId, ids, scores)."""
     each = F.posexplode(F.arrays_zip("ids", "scores")).alias("at", "one")
     return found.select("userId", each).select(
         "userId", (F.col("at") + 1).alias("rank"), F.col("one.ids").alias("movieId"), F.col("one.scores").alias("rating")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import Config
 from affinity.functions import messages
-from affinity.operators import anyrank, bestitems, clean, evaluate, factor, factor2, model, popular, rankk, serve
+from affinity.operators import anyrank, bestitems, clean, evaluate, factor, factor2, layers, model, popular, rankk, serve
 from affinity.plans import ingest
 from affinity.plans.stages import Stages
 from affinity.schemas import LINKS, TABLES
@@ -334,7 +334,7 @@ def als_rank2_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_rank2_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = stages(spark, sf_dir)
-    found = bestitems.for_users(s.workspace, _rank2(spark, sf_dir), name=_name("lists"))
+    found = layers.for_users(s.workspace, _rank2(spark, sf_dir), name=_name("angles"))
     return found.withColumn("rating", F.round("rating", 4))
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from affinity.operators import bestitems, evaluate, factor, factor2, rankk
+from affinity.operators import bestitems, evaluate, factor, factor2, layers, rankk
 from affinity.schemas import USER_RATING
 
 
@@ -185,3 +185,53 @@ def test_most_items_are_never_scored(spark, workspace):
     for u, *a in users[:10]:
         want = [m for v, _, m, _ in brute([(u, *a)], items, 5) if v == u]
         assert got[u] == want
+
+
+# Lists at rank 2, by angle
+
+
+def test_layers_hold_the_best_of_every_direction():
+    r = np.random.default_rng(3)
+    x, y = np.round(r.normal(size=(2, 400)), 1)  # many equal and collinear points
+    found = layers.peel(x, y, np.arange(400), 4)
+    kept = {i for _, _, ids in found for own in ids for i in own}
+    for angle in r.uniform(-np.pi, np.pi, 500):
+        score = np.cos(angle) * x + np.sin(angle) * y
+        assert set(np.lexsort((np.arange(400), -score))[:4]) <= kept
+
+
+@pytest.mark.parametrize("case", ["normal", "circle", "grid", "line", "two", "one", "same"])
+def test_lists_by_angle_equal_brute_force(spark, workspace, monkeypatch, case):
+    monkeypatch.setattr(layers, "FAN_IN", 2)
+    r = np.random.default_rng(7)
+    turn = r.uniform(0, 2 * np.pi, 300)
+    points_of = {
+        "normal": r.normal(size=(300, 2)), "circle": np.stack([np.cos(turn), np.sin(turn)], axis=1),
+        "grid": np.round(r.normal(size=(300, 2))), "line": np.stack([turn, 2 * turn], axis=1),
+        "two": np.array([[1.0, 2.0], [-3.0, 0.5]]), "one": np.array([[1.0, 2.0]]), "same": np.ones((30, 2)),
+    }
+    items = [(int(m), float(a), float(b)) for m, (a, b) in zip(r.permutation(900), points_of[case], strict=False)]
+    users = [(u, float(a), float(b)) for u, (a, b) in enumerate(r.normal(size=(60, 2)))]
+    # Directions that many points tie in, and none.
+    users += [(100, 0.0, 0.0), (101, 1.0, 0.0), (102, 0.0, -1.0), (103, 1.0, 1.0), (104, -2.0, 1.0), (105, -1.0, 0.0)]
+    model = Given(spark, users, items, 2)
+    got = layers.for_users(workspace, model, n=4, name=f"angles_{case}")
+    want = brute(users, items, 4)
+    assert [r[:3] for r in sorted(map(tuple, got.collect()))] == [r[:3] for r in want]
+    asked = spark.createDataFrame([(103,), (103,), (999,)], "userId int")
+    some = layers.for_users(workspace, model, asked, 4, name=f"asked_{case}")
+    assert [r[:3] for r in sorted(map(tuple, some.collect()))] == [r[:3] for r in want if r[0] == 103]
+
+
+def test_few_points_are_left_and_few_are_scored(spark, workspace):
+    items = [(i, float(a), float(b)) for i, (a, b) in enumerate(np.random.default_rng(2).normal(size=(20_000, 2)))]
+    model = Given(spark, [(1, 1.0, 0.5)], items, 2)
+    assert layers.outer(workspace, model.items, 5, "few").count() < 200
+
+
+def test_too_many_points_go_the_other_way(spark, workspace, monkeypatch):
+    monkeypatch.setattr(layers, "MOST_POINTS", 10)
+    users, items = points(1, 20, 2), points(2, 200, 2, 5)
+    model = Given(spark, users, items, 2)
+    got = layers.for_users(workspace, model, n=3, name="other_way")
+    assert sorted(map(tuple, got.collect())) == brute(users, items, 3)
