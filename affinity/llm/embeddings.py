@@ -1,5 +1,8 @@
 """Near-duplicate embeddings by cross-polytope hashing.
 
+Equal vectors are one *class*, known by its smallest vec_id; what follows deals with classes and
+counts their members, so that copies are never compared with one another.
+
 A table of the index turns vectors by fast Hadamard rotations (three times: random signs, then
 the Hadamard transform) and hashes them to the nearest of the 2 d signed axes, for each of k
 functions. A vector is stored in the bucket of its axes, and looks for partners there and in
@@ -26,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.llm import worker
 from affinity.llm.common import components, partitions, small, workspace
 
 # Tables at least, and probes of each.
@@ -38,8 +42,17 @@ MOST_TABLES = 100
 NEXT_AXES = 4
 # Vectors of a bucket that one task compares with one another.
 BLOCK = 2_000
+# Classes of several members that may be broadcast, with their vectors.
+BROADCAST_CLASSES = 20_000
 SEED = 20_231
-_ROWS = "width int, tab int, bucket long, probe int, vec_id long, vector binary, codes binary"
+_ROWS = "width int, tab int, bucket long, probe int, vec_id long, members long, vector binary, codes binary"
+
+
+def unit(rows: np.ndarray) -> np.ndarray:
+    """The rows as doubles of norm 1; scaled first, so that no square is too large or too small."""
+    rows = rows.astype(np.float64)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -135,11 +148,12 @@ def _hash(probes: int, layouts: dict[int, tuple[int, int]]):
     # Every table holds a copy of each vector.
     at_once = max(1, 1_000 * TABLES // max(tables for _, tables in layouts.values()))
 
+    @worker.lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, at_once):
                 batch = whole.slice(at, at_once)
-                ids = batch["vec_id"].to_numpy()
+                ids, members = batch["vec_id"].to_numpy(), batch["members"].to_numpy()
                 lists = batch["embedding"]
                 widths = np.diff(np.asarray(lists.offsets))
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
@@ -147,9 +161,8 @@ def _hash(probes: int, layouts: dict[int, tuple[int, int]]):
                 for width in np.unique(widths).tolist():
                     own = np.flatnonzero(widths == width)
                     rows = flat[(ends[own] - width)[:, None] + np.arange(width)]
-                    norms = np.sqrt((rows.astype(np.float64) ** 2).sum(axis=1))
                     functions, tables = layouts[width]
-                    codes = probe_codes(rows / norms[:, None], tables, probes, functions)
+                    codes = probe_codes(unit(rows), tables, probes, functions)
                     vectors = [r.tobytes() for r in rows]
                     packed = [c.tobytes() for c in codes]
                     n = len(own)
@@ -159,6 +172,7 @@ def _hash(probes: int, layouts: dict[int, tuple[int, int]]):
                          pa.array(codes.reshape(-1), pa.int64()),
                          pa.array(np.tile(np.arange(probes), n * tables), pa.int32()),
                          pa.array(np.repeat(ids[own], tables * probes), pa.int64()),
+                         pa.array(np.repeat(members[own], tables * probes), pa.int64()),
                          pa.array([v for v in vectors for _ in range(tables * probes)], pa.binary()),
                          pa.array([c for c in packed for _ in range(tables * probes)], pa.binary())],
                         names=[f.split()[0] for f in _ROWS.split(", ")],
@@ -168,11 +182,13 @@ def _hash(probes: int, layouts: dict[int, tuple[int, int]]):
 
 
 def _compare(probes: int, kind, least: float):
-    """Links of one bin: (a, b, n) with a partner in the forest, or a null b and a count."""
+    """Links of one bin: (a, b, n) with a partner in the forest, or a null b and a count of members."""
 
+    @worker.lean
     def run(table: pa.Table) -> pa.Table:
         cell = [table[c].to_numpy() for c in ("width", "tab", "bucket", "row_block", "own_block")]
         ids, probe = table["vec_id"].to_numpy(), table["probe"].to_numpy()
+        members = table["members"].to_numpy()
         stored = table["stored"].to_numpy(zero_copy_only=False).astype(bool)
         vectors, codes = table["vector"].to_pylist(), table["codes"].to_pylist()
         order = np.lexsort((ids, *cell))
@@ -187,9 +203,7 @@ def _compare(probes: int, kind, least: float):
             if len(own) == 0 or len(asks) == 0:
                 continue
             t = int(cell[1][rows[0]])
-            a, b = (np.stack([np.frombuffer(vectors[i], kind) for i in x]).astype(np.float64) for x in (asks, own))
-            a /= np.sqrt((a * a).sum(axis=1))[:, None]
-            b /= np.sqrt((b * b).sum(axis=1))[:, None]
+            a, b = (unit(np.stack([np.frombuffer(vectors[i], kind) for i in x])) for x in (asks, own))
             code_a, code_b = (
                 np.stack([np.frombuffer(codes[i], np.int64) for i in x]).reshape(len(x), -1, probes)
                 for x in (asks, own)
@@ -217,9 +231,10 @@ def _compare(probes: int, kind, least: float):
                     i = root[i]
                 return i
 
-            for p, q in zip(ids[asks[x]].tolist(), ids[own[y]].tolist(), strict=True):
-                counts[p] = counts.get(p, 0) + 1
-                counts[q] = counts.get(q, 0) + 1
+            many = zip(members[asks[x]].tolist(), members[own[y]].tolist(), strict=True)
+            for p, q, (m, n) in zip(ids[asks[x]].tolist(), ids[own[y]].tolist(), many, strict=True):
+                counts[p] = counts.get(p, 0) + n
+                counts[q] = counts.get(q, 0) + m
                 r, s = find(p), find(q)
                 if r != s:
                     root[max(r, s)] = min(r, s)
@@ -251,18 +266,23 @@ def near_duplicates(
     more. Without ``tables`` there are so many that about a hundredth of the pairs at just ``least``
     is missed, whatever the number of rows. ``n_links`` counts the other vec_ids linked directly, ``component_id`` is the
     smallest that links lead to, and the vector with that id is kept. Only vectors of equal
-    length are compared.
+    length are compared; numbers of any size are, as vectors are scaled before they are squared.
+    Equal vectors link whatever the index finds; ``least`` is 1 at most.
 
     Null, empty and zero vectors, and those with a null or non-finite component, link with
     nothing, and so do rows without a vec_id, whose component is null and which are kept.
     Of rows that repeat a vec_id one is indexed, and all get its result. An empty table gives
     an empty result; other columns are not read.
     """
+    if least > 1:
+        raise ValueError("no cosine is above 1")
     spark = vectors.sparkSession
     work = workspace(spark)
     rows = vectors.select("vec_id", "embedding")
     one = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    own = work.write("vectors", usable(one).dropDuplicates(["vec_id"]))
+    found = work.write("vectors", usable(one).dropDuplicates(["vec_id"]))
+    classes = found.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("members"))
+    own = work.write("classes", classes)
     sizes = own.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         links = spark.createDataFrame([], "a long, b long, n long")
@@ -296,10 +316,23 @@ def near_duplicates(
             .groupBy("bin")
             .applyInArrow(_compare(probes, kind, least), "a long, b long, n long"),
         )
-    counts = links.groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links")).filter("n_links > 0")
+    # What a class has, all its members have, and each other besides.
+    repeated = own.filter("members > 1")
+    n_repeated = repeated.count()
+    of_class = found.join(
+        small(repeated.select("embedding", F.col("vec_id").alias("rep"), "members"), n_repeated, BROADCAST_CLASSES),
+        "embedding", "left",
+    ).select("vec_id", F.coalesce("rep", "vec_id").alias("rep"), F.coalesce("members", F.lit(1)).alias("members"))
+    counts = links.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n")).filter("n > 0")
     linked = components(work, "components", links.filter("b is not null").select("a", "b"))
-    linked = linked.withColumnRenamed("id", "vec_id")
-    out = rows.select("vec_id").join(counts, "vec_id", "left").join(linked, "vec_id", "left")
+    linked = linked.withColumnRenamed("id", "rep")
+    facts = work.write("facts", counts.join(linked, "rep", "full"))
+    n_facts = facts.count()
+    linked = of_class.join(small(facts, n_facts), "rep", "left").select(
+        "vec_id", (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
+        F.coalesce("component", "rep").alias("component"),
+    ).filter("n_links > 0")
+    out = rows.select("vec_id").join(linked, "vec_id", "left")
     component = F.coalesce("component", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -240,6 +240,32 @@ def test_embeddings(spark, monkeypatch, block):
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("bound", [20_000, 0])
+def test_equal_embeddings_are_one_class(spark, monkeypatch, bound):
+    """Copies count as links of each other and of all near vectors, without being compared."""
+    monkeypatch.setattr(embeddings, "BROADCAST_CLASSES", bound)
+    x = np.random.default_rng(3).standard_normal(64)
+    near = x + np.random.default_rng(4).standard_normal(64) * 0.1
+    data = [(i, x.tolist()) for i in range(10, 6_010)] + [(i, near.tolist()) for i in range(7_000, 7_100)]
+    data += [(3, (-x).tolist()), (9_000, (2 * x).tolist())]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(df).collect()}
+    assert len(got) == len(data) and got.pop(3) == (0, 3, True)
+    assert set(got.values()) == {(6_100, 10, False), (6_100, 10, True)} and got[10][2]
+
+
+def test_numbers_of_any_size(spark):
+    data = [
+        (1, [1e200, 1e200]), (2, [1e200, 1e200 * 1.001]), (3, [1e-200, 1e-200]), (4, [1.0, 0.1]), (5, [0.1, 1.0]),
+        (6, [1e-310, 0.0]), (7, [1e308, 1e300]),
+    ]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (2, 4), 5: (0, 5), 6: (2, 4), 7: (2, 4)}
+    with pytest.raises(ValueError):
+        embeddings.near_duplicates(df, least=1.5)
+
+
 @pytest.mark.parametrize("k", [2, 3, 4])
 def test_embeddings_meet_whatever_the_number_of_functions(spark, monkeypatch, k):
     """Large tables have more functions; pairs are placed at the least cosine, or little above."""
