@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from affinity.operators.evaluate import best
 from affinity.operators.factor import GridFit
 from affinity.operators.popular import list_titles, ranked
+from affinity.operators.registry import Registry
 
 
 @dataclass(frozen=True)
@@ -67,22 +67,13 @@ def load(spark: SparkSession, path: str) -> Model:
 
 
 def publish(model: Model, root: str) -> str:
-    """Save under a new path and make it the current model of ``root``.
-
-    Paths are only ever added, so a reader never meets a half-replaced model.
-    """
-    path = f"{root}/models/{uuid.uuid4().hex}"
-    save(model, path)
-    entry = model.users.sparkSession.range(1).select(
-        F.lit(path).alias("path"), F.current_timestamp().alias("published_at")
-    )
-    entry.write.mode("append").parquet(f"{root}/published")
-    return path
+    """Save under a new path and make it the current model of ``root``; see ``registry``."""
+    registry = Registry(model.users.sparkSession, root)
+    return registry.publish(model.users, model.items, lambda path: save(model, path))
 
 
 def current_path(spark: SparkSession, root: str) -> str:
-    entries = spark.read.schema("path string, published_at timestamp").parquet(f"{root}/published")
-    return entries.agg(F.max_by("path", "published_at")).first()[0]
+    return Registry(spark, root).current().path
 
 
 def top_lists(items: DataFrame, n: int = 5) -> DataFrame:

@@ -14,6 +14,7 @@ from affinity.config import BROADCAST_ROWS
 from affinity.functions.messages import user_id
 from affinity.operators import model as models
 from affinity.operators.model import Model
+from affinity.operators.registry import Registry
 from affinity.operators.serve import (
     known_among,
     known_requests,
@@ -123,13 +124,13 @@ class CurrentModel:
     """
 
     def __init__(self, spark: SparkSession, root: str, popular: DataFrame, movies: DataFrame, n: int):
-        self.spark, self.root, self.n = spark, root, n
+        self.spark, self.registry, self.n = spark, Registry(spark, root), n
         self.popular, self.movies = popular, movies
         self._path: str | None = None
         self._loaded: tuple[Model, DataFrame] | None = None
 
     def get(self) -> tuple[Model, DataFrame]:
-        path = models.current_path(self.spark, self.root)
+        path = self.registry.current().path
         if path != self._path:
             model = models.load(self.spark, path)
             lists = serving_lists(model, self.popular, self.movies, self.n)
