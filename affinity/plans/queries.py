@@ -29,7 +29,7 @@ RANK2_LAMBDA, RANK2_STEPS = 0.05, 4
 # Rank, lambdas and steps of the grid at rank 3, and of one fit at rank 8.
 RANK3 = (3, (0.02, 0.05), (2, 4))
 RANK8 = (8, (0.05,), (2,))
-REPLAY_FILE = 10_000
+REPLAY_BATCH = 10_000
 REPLAY_ORDER = ["userId", "movieId", "rating"]
 
 _GOOD_LINES = {
@@ -485,14 +485,18 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole test half as a paced stream: which batch brings which message."""
     s = stages(spark, sf_dir)
-    inbox = _fresh(s, "replay")
-    rows = replay.numbered(s.workspace, _fresh(s, "numbered"), s.test(), REPLAY_ORDER)
-    replay.write_in_order(messages.encode(rows, TOPIC, "position"), inbox, REPLAY_FILE)
-    rows = stream.decoded(stream.read_messages(spark, "parquet", inbox, files_per_batch=1))
-    stream.by_batch(
-        rows, lambda batch: batch, f"{inbox}-out", f"{inbox}-checkpoint"
-    ).awaitTermination()
-    return spark.read.parquet(f"{inbox}-out").select("batch_id", "userId", "value")
+    log = _fresh(s, "replay")
+    runs = replay.runs(s.workspace, _name("runs"), s.test(), REPLAY_ORDER)
+    replay.write_log(messages.encode(runs, TOPIC, "range", "first", "until"), log)
+    rows = stream.decoded(
+        stream.read_messages(spark, "replay", log, offsets_per_batch=REPLAY_BATCH)
+    )
+    stream.to_the_end(
+        stream.by_batch(
+            rows, lambda batch: batch, f"{log}-out", f"{log}-checkpoint", interval="0 seconds"
+        )
+    )
+    return spark.read.parquet(f"{log}-out").select("batch_id", "userId", "value")
 
 
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:

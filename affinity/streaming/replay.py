@@ -1,4 +1,4 @@
-"""Replay of messages in a fixed order: a bounded head, or a whole table."""
+"""Replay of messages in a fixed order: a bounded head, or a whole table as a log to stream from."""
 
 from __future__ import annotations
 
@@ -17,11 +17,12 @@ def first_rows(rows: DataFrame, order: list[str], limit: int) -> DataFrame:
     return head.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
 
 
-def numbered(workspace: Workspace, name: str, rows: DataFrame, order: list[str]) -> DataFrame:
-    """All rows with their ``position`` from 0 in ``order``, which must tell all but copies apart.
+def runs(workspace: Workspace, name: str, rows: DataFrame, order: list[str]) -> DataFrame:
+    """All rows as runs of copies, with the positions from ``first`` to before ``until``.
 
-    Copies are one row with a count while the table is sorted into ranges; a range knows
-    where it starts from the counts of those before it. ``rows`` are read twice.
+    Positions count from 0 in ``order``, which must tell all but copies apart. A row with any
+    number of copies stays one run. Runs are in ranges of the order, ``range``, and sorted in
+    each; a range knows where it starts from the counts of those before it. ``rows`` are read twice.
     """
     alike = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
     ranges = max(1, -(-rows.count() // RANGE_ROWS))
@@ -30,57 +31,41 @@ def numbered(workspace: Workspace, name: str, rows: DataFrame, order: list[str])
         stage,
         alike.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_range", F.spark_partition_id())
+        .withColumn("range", F.spark_partition_id())
         # Counts up within a range, in the order of its rows.
         .withColumn("_nth", F.monotonically_increasing_id()),
     )
-    sizes = sorted_rows.groupBy("_range").agg(F.sum("_copies").alias("n"))
+    sizes = sorted_rows.groupBy("range").agg(F.sum("_copies").alias("n"))
     # One row per range: the window over all of them is small.
-    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
-    earlier = F.sum("_copies").over(
-        Window.partitionBy("_range").orderBy("_nth").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("range", F.coalesce(before, F.lit(0)).alias("_start"))
+    until = F.col("_start") + F.sum("_copies").over(
+        Window.partitionBy("range").orderBy("_nth").rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = sorted_rows.withColumn("_earlier", F.coalesce(earlier, F.lit(0))).join(
-        F.broadcast(starts), "_range"
+    return (
+        sorted_rows.join(F.broadcast(starts), "range")
+        .withColumn("until", until)
+        .select("range", (F.col("until") - F.col("_copies")).alias("first"), "until", *order)
     )
-    first = F.col("_start") + F.col("_earlier")
-    position = F.explode(F.sequence(first, first + F.col("_copies") - 1))
-    return placed.select(*order, position.alias("position"))
 
 
-def write_in_order(messages: DataFrame, path: str, per_file: int) -> int:
-    """Send (position, key, value) rows as files of ``per_file`` messages each.
+def write_log(messages: DataFrame, path: str) -> None:
+    """Write (range, first, until, key, value) runs where ``source.Replay`` reads them.
 
-    One job writes all files, a file per task and number. A file stream takes the oldest
-    file first, so the files then get times one second apart, in their order; with one file
-    to a batch the replay keeps it. Readers must be started afterwards.
+    One job writes a folder for each range, sorted; a list of the ranges' positions lies beside.
     """
-    spark = messages.sparkSession
-    number = F.floor(F.col("position") / per_file)
-    files = (messages.agg(F.max(number)).first()[0] or 0) + 1 if messages.head(1) else 0
-    rows = messages.withColumn("_file", number)
-    tasks = max(1, min(files, 8 * spark.sparkContext.defaultParallelism))
     (
-        rows.repartition(tasks, "_file")
-        .sortWithinPartitions("_file", "position")
-        .select("key", "value", "_file")
-        .write.mode("append")
-        .partitionBy("_file")
-        .parquet(path)
+        messages.sortWithinPartitions("range", "first")
+        .select("first", "until", "key", "value", "range")
+        .write.mode("overwrite")
+        .partitionBy("range")
+        .parquet(f"{path}/runs")
+    )
+    written = messages.sparkSession.read.schema("until long, first long, range int").parquet(f"{path}/runs")
+    (
+        written.groupBy("range")
+        .agg(F.min("first").alias("first"), F.max("until").alias("until"))
+        .coalesce(1)
+        .write.mode("overwrite")
+        .parquet(f"{path}/ranges")
     )
-    _in_order_of_time(spark, path)
-    return files
-
-
-def _in_order_of_time(spark, path: str) -> None:
-    """Give the files of ``_file=<number>`` folders ascending times; metadata only."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    folders = [f for f in fs.listStatus(root) if f.getPath().getName().startswith("_file=")]
-    now = int(jvm.java.lang.System.currentTimeMillis())
-    for folder in folders:
-        number = int(folder.getPath().getName().split("=")[1])
-        for file in fs.listStatus(folder.getPath()):
-            fs.setTimes(file.getPath(), now - 1_000 * (len(folders) - number), -1)

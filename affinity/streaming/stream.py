@@ -23,7 +23,7 @@ from affinity.operators.serve import (
     suggest,
 )
 from affinity.schemas import MESSAGE
-
+from affinity.streaming.source import Replay
 
 # Messages that one batch takes from a topic unless told otherwise.
 OFFSETS_PER_BATCH = 10_000_000
@@ -41,11 +41,11 @@ def read_messages(
 ) -> DataFrame:
     """A stream of (key, value) strings.
 
-    ``offsets_per_batch`` bounds what one batch takes from a topic, also after a pause;
+    ``offsets_per_batch`` bounds what one batch takes from a topic or log, also after a pause;
     ``options`` go to the reader as they are.
 
-    ``fmt`` is ``kafka`` (``location`` = brokers, ``topics`` = comma list) or a
-    file format (``location`` = folder).
+    ``fmt`` is ``kafka`` (``location`` = brokers, ``topics`` = comma list), ``replay`` (``location`` =
+    a log by ``replay.write_log``) or a file format (``location`` = folder).
     """
     if fmt == "kafka":
         reader = (
@@ -58,6 +58,10 @@ def read_messages(
             reader = reader.option("maxOffsetsPerTrigger", offsets_per_batch)
         stream = reader.options(**(options or {})).load()
         return stream.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    if fmt == Replay.name():
+        spark.dataSource.register(Replay)
+        reader = spark.readStream.format(fmt).option("messagesPerBatch", offsets_per_batch or 0)
+        return reader.options(**(options or {})).load(location)
     reader = spark.readStream.format(fmt).schema(MESSAGE).options(**(options or {}))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -72,6 +76,14 @@ def _trigger(interval: str | None) -> dict:
     return {"processingTime": interval} if interval else {"availableNow": True}
 
 
+def to_the_end(query: StreamingQuery) -> None:
+    """Let a query with an interval read all there is, then stop it; a failed batch raises."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, interval: str | None = None):
     """Append a stream to parquet, exactly once per checkpoint.
 
