@@ -1,14 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of all documents.
+"""Substring dedup by an exact look-up of every window of words, in place of a Lempel-Ziv parse.
 
-The reference is the corpus itself, in blocks by hash range: the index holds every window of
-``width`` words with the place of its first occurrence. A document is parsed from its start:
-a window that occurs earlier opens a factor, which is extended while the following windows
-occur at the following places of the same source. Where a factor ends, the windows over its
-boundary have been looked up as well, so a passage that continues in another source goes on
-as an overlapping factor. Factors have ``width`` words at least, and they cover exactly the
-words of all windows that occur earlier.
+Every window of ``width`` words is sent to a hash range with its place. There the windows that
+occur earlier get the place of their first occurrence, and that alone decides which words go.
+Neighbouring windows whose sources are neighbours too are then joined into spans for the report.
+Spans have ``width`` words at least, and they cover exactly the words of all windows that occur
+earlier.
 
-Windows are identified by 64 bits and their bucket's share of another, independent hash.
+Windows are identified by 64 bits and their bucket's share of another, independent hash; the words
+themselves are not compared.
 """
 
 from __future__ import annotations
