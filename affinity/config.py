@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -83,6 +84,19 @@ def session(config: Config = Config()) -> SparkSession:
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]):
+    """Session settings for the time of a block; what was set before comes back."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def may_broadcast(rows: int, columns: int = 1, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a counted table with ``columns`` numbers beside its key is small enough."""
     return rows * max(columns, BROADCAST_COLUMNS) <= limit * BROADCAST_COLUMNS

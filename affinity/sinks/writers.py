@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.config import JdbcTarget
+from affinity.config import JdbcTarget, settings
 from affinity.functions.messages import user_id
 from affinity.sinks import versions
 
-# Rows of one output file when few files are asked for.
+# Bytes, as they are shuffled, that go into one output file when few files are asked for,
+# and rows after which a file is closed in any case.
+FILE_BYTES = 128 << 20
 FILE_ROWS = 5_000_000
 
 
@@ -17,15 +19,29 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_few_files(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> int:
-    """One file while the rows fit into one, else as few as hold them.
+def write_few_files(
+    df: DataFrame, path: str, by: str | None = None, file_bytes: int = FILE_BYTES, file_rows: int = FILE_ROWS
+) -> int:
+    """One file while the rows fit into one, else as few as hold them; how many there are.
 
-    ``df`` is read twice, so pass something written.
+    The rows are read once: they are shuffled, and the sizes of the shuffle decide which parts
+    share a file and which are split. With ``by``, rows of one value lie together, and a value
+    with more than a file's bytes has files of its own. A part is split between the tasks
+    that made it, so a file may exceed ``file_bytes`` by what one of them sent.
     """
-    files = max(1, -(-df.count() // file_rows))
-    rows = df.coalesce(1) if files == 1 else df.repartition(files)
-    rows.write.mode("overwrite").parquet(path)
-    return files
+    sizes = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": min(file_bytes // 5, 1 << 20),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": file_bytes,
+    }
+    spark = df.sparkSession
+    with settings(spark, sizes):
+        rows = df.hint("rebalance", by) if by else df.hint("rebalance")
+        rows.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
+    return len(spark.read.schema(df.schema).parquet(path).inputFiles())
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinity.config import JdbcTarget, shared_folder
 from affinity.schemas import LINKS
@@ -14,11 +15,39 @@ def test_few_files(spark, workspace):
     df = workspace.write("rows", spark.range(1000))
     assert writers.write_few_files(df, workspace.path("one")) == 1
     assert writers.write_few_files(df, workspace.path("more"), file_rows=300) == 4
+    assert writers.write_few_files(df.limit(0), workspace.path("none")) <= 1
     for name in ("one", "more"):
         assert spark.read.parquet(workspace.path(name)).count() == 1000
     assert spark.read.parquet(workspace.path("one")).inputFiles().__len__() == 1
 
 
+@pytest.mark.parametrize("by", [None, "k"])
+def test_files_by_size_are_written_in_one_pass(spark, workspace, by):
+    """Nine tenths of the rows have one key: its rows are split, and small parts share a file."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 200_000, 1, 16).selectExpr(
+        "cast(if(id % 10 = 0, id, 7) as int) as k", "xxhash64(id) as a", "xxhash64(id, 1) as b"
+    )
+    path = workspace.path(f"sized-{by}")
+    files = writers.write_few_files(rows.mapInArrow(count, rows.schema), path, by, file_bytes=600_000)
+    assert seen.value == 200_000
+    stored = spark.read.parquet(path)
+    assert sorted(stored.collect()) == sorted(rows.collect())
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    # Some 24 bytes a row, so 25,000 rows fit; parts are split between what single tasks sent.
+    assert 4 <= files <= 16 and max(sizes) <= 30_000
+    if by:
+        named = stored.filter("k <> 7").select("k", F.input_file_name().alias("file")).distinct()
+        assert named.count() == 20_000
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true") == "true"
+
+
 def test_replace_table(spark, workspace):
     path = workspace.path("t")
     writers.replace_table(spark.range(5), "replaced", path)
