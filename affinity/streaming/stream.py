@@ -23,6 +23,7 @@ from affinity.operators.serve import (
     suggest,
 )
 from affinity.schemas import MESSAGE
+from affinity.streaming.progress import Report
 from affinity.streaming.source import Replay
 
 # Messages that one batch takes from a topic unless told otherwise.
@@ -166,23 +167,29 @@ def by_batch(
     out: str,
     checkpoint: str,
     interval: str | None = None,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Write ``answer(batch)`` of every batch to its own folder.
 
     A batch that runs again after a failure replaces its own folder, so its rows
-    are never repeated.
+    are never repeated. A ``report`` counts decoded messages and answers.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The answer looks at a batch more than once; read it from the source once.
         batch.persist()
         try:
-            answer(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            found, path = answer(batch), f"{out}/batch_id={batch_id}"
+            if report:
+                report.write(batch_id, found, path)
+            else:
+                found.write.mode("overwrite").parquet(path)
         finally:
             batch.unpersist()
 
+    rows = report.asked(stream) if report else stream
     return (
-        stream.writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval))
         .start()
@@ -195,6 +202,7 @@ def serve(
     out: str,
     checkpoint: str,
     interval: str | None = None,
+    report: Report | None = None,
 ) -> StreamingQuery:
     """Answer every batch of messages with the model that is current then."""
 
@@ -202,4 +210,4 @@ def serve(
         model, lists = current.get()
         return suggest(batch, model, lists, _few(batch))
 
-    return by_batch(decoded(messages), answer, out, checkpoint, interval)
+    return by_batch(decoded(messages), answer, out, checkpoint, interval, report)
