@@ -68,12 +68,8 @@ _RULES = {
 }
 
 
-def classify(lines: DataFrame, table: str) -> DataFrame:
-    """``value``, the typed columns of ``table`` and ``reason`` (null for a kept line)."""
-    record_of, typed_of = _RULES[table]
+def _classified(records: DataFrame, table: str, wrong: Column, typed: list[Column]) -> DataFrame:
     names = TABLES[table].names
-    records = lines.select("value", record_of(F.col("value")).alias("_record"))
-    wrong, typed = typed_of(F.col("_record"))
     # A row made by ``inline`` is computed once: filters on it are not pushed below
     # and do not parse the line again.
     parsed = F.struct(wrong.alias("_wrong"), *[c.alias(n) for c, n in zip(typed, names)])
@@ -87,6 +83,42 @@ def classify(lines: DataFrame, table: str) -> DataFrame:
     return rows.withColumn("reason", reason).drop("_wrong")
 
 
+def classify(lines: DataFrame, table: str) -> DataFrame:
+    """``value``, the typed columns of ``table`` and ``reason`` (null for a kept line)."""
+    record_of, typed_of = _RULES[table]
+    records = lines.select("value", record_of(F.col("value")).alias("_record"))
+    return _classified(records, table, *typed_of(F.col("_record")))
+
+
+# How a CSV field becomes a value of each type of the schemas.
+_TYPED = {"integer": to_int, "double": to_double, "string": strip}
+_CORRUPT = "_corrupt"
+
+
+def classify_csv(lines: DataFrame, table: str) -> DataFrame:
+    """The same for CSV records: any field may be quoted, and a quote inside it is doubled.
+
+    Parsing is permissive. The record itself is kept where it has not as many fields as the
+    table has columns, and its delimiters outside quotes then tell which way it is wrong.
+    """
+    schema = TABLES[table]
+    texts = ", ".join(f"{name} string" for name in [*schema.names, _CORRUPT])
+    # With this mark for null, a field that is empty is null and one that is quoted and empty is "".
+    options = {"escape": '"', "nullValue": "\x00", "columnNameOfCorruptRecord": _CORRUPT}
+    record = F.from_csv(F.col("value"), texts, options)
+    records = lines.select("value", record.alias("_record"))
+    corrupt = F.col(f"_record.{_CORRUPT}")
+    bare = F.regexp_replace(corrupt, '"[^"]*"', "")
+    n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    wrong = (
+        F.when(n_fields < len(schema), TOO_FEW)
+        .when(n_fields > len(schema), TOO_MANY)
+        .when(corrupt.isNotNull(), BAD_VALUE)
+    )
+    typed = [_TYPED[f.dataType.typeName()](F.col(f"_record.{f.name}")) for f in schema]
+    return _classified(records, table, wrong, typed)
+
+
 def kept(classified: DataFrame, table: str) -> DataFrame:
     return classified.filter(F.col("reason").isNull()).select(*TABLES[table].names)
 

@@ -1,13 +1,14 @@
-"""Raw lines to a catalog table and a reject table, in one pass over the lines."""
+"""Raw or CSV lines to a catalog table and a reject table, in one pass over the lines."""
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from affinity.config import settings
 from affinity.operators import clean
 from affinity.schemas import TABLES
 from affinity.sinks import versions
@@ -22,9 +23,18 @@ class Ingested:
     rejected: int
 
 
-def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) -> Ingested:
+def ingest(
+    lines: DataFrame,
+    table: str,
+    path: str,
+    name: str | None = None,
+    classify: Callable[[DataFrame, str], DataFrame] = clean.classify,
+) -> Ingested:
     """Clean ``lines`` as ``table`` under ``path``; ``name`` registers the kept rows.
 
+    ``classify`` tells how lines are read: ``clean.classify``, or ``clean.classify_csv`` for
+    those of ``readers.csv_lines``.
+
     Kept and rejected lines go to two folders of one write, and are counted on the
     way. The catalog table lies over the kept files; nothing is copied into it. Each call
     writes a version of its own, and the table is switched to it at the end.
@@ -33,7 +43,7 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
     columns = TABLES[table].names
     reason = F.col("reason")
     seen = Observation(f"ingest {table}")
-    rows = clean.classify(lines, table).observe(
+    rows = classify(lines, table).observe(
         seen,
         F.count_if(reason.isNull()).alias("kept"),
         F.count_if(reason == clean.EMPTY_LAST).alias("dropped"),
@@ -49,7 +59,7 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
     found = versions.Versions(spark, path)
 
     def write(to: str) -> None:
-        with _open_writers(spark, 2):  # one for each status, so rows need not be sorted by it
+        with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": 2}):  # one for each status, so rows need not be sorted by it
             split.write.partitionBy("status").parquet(to)
 
     here = found.write(write)
@@ -69,19 +79,5 @@ def ingest(lines: DataFrame, table: str, path: str, name: str | None = None) ->
     )
 
 
-@contextmanager
-def _open_writers(spark, n: int):
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, n)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def _ddl(table: str) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table])

@@ -17,7 +17,7 @@ from affinity.plans.stages import Stages
 from affinity.schemas import LINKS, TABLES
 from affinity.sinks import writers
 from affinity.sources import readers, views
-from affinity.streaming import replay, stream
+from affinity.streaming import progress, replay, stream
 from affinity.workspace import Workspace
 
 CONFIG = Config()
@@ -160,6 +160,38 @@ def ingest_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
+_CSV_TABLES = {
+    "links": views.links_table,
+    "movies": views.movies,
+    "ratings": views.ratings,
+    "tags": views.tags_table,
+}
+
+
+def csv_lines(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """CSV files of a table with headers, and a broken record for every customer beside them."""
+    s = stages(spark, sf_dir)
+    path = _fresh(s, f"csv-{table}")
+    as_it_is = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    _CSV_TABLES[table](spark, sf_dir).write.options(**as_it_is).csv(f"{path}/good", header=True)
+    views.wrong_lines(spark, sf_dir, table, "customer", "c_custkey", "c_name").write.text(f"{path}/broken")
+    return readers.csv_lines(spark, [f"{path}/good", f"{path}/broken"], TABLES[table])
+
+
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files put into catalog tables: the rows kept there, and the rejected records."""
+    s = stages(spark, sf_dir)
+    parts = []
+    for table in _CSV_TABLES:
+        name = f"{table}_{uuid.uuid4().hex[:8]}"
+        lines = csv_lines(spark, sf_dir, table)
+        done = ingest.ingest(lines, table, _fresh(s, f"from-csv-{table}"), name, clean.classify_csv)
+        kept = _as_text(spark.table(name), table)
+        parts.append(kept.select("table_name", F.lit(None).cast("string").alias("reason"), F.col("fields").alias("value")))
+        parts.append(done.rejects.select(F.lit(table).alias("table_name"), "reason", "value"))
+    return reduce(DataFrame.union, parts)
+
+
 def links_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links as CSV with a header, filtered, written as few files, read back."""
     s = stages(spark, sf_dir)
@@ -531,6 +563,27 @@ def stream_serve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests replayed in the order of their text and served: what each batch took and gave."""
+    s = stages(spark, sf_dir)
+    log = _fresh(s, "report")
+    runs = replay.runs(s.workspace, _name("request-runs"), requests(spark, sf_dir), ["value"])
+    replay.write_log(runs.withColumn("key", F.lit(TOPIC)), log)
+    rows = stream.read_messages(spark, "replay", log, offsets_per_batch=REPLAY_BATCH)
+    current = stream.CurrentModel(spark, s.published(), s.popular(), s.movies, CONFIG.list_size)
+    report = progress.Report(spark)
+    try:
+        query = stream.serve(
+            rows, current, f"{log}-out", f"{log}-checkpoint", interval="0 seconds", report=report
+        )
+        stream.to_the_end(query)
+        report.settled(query)
+        return report.table()
+    finally:
+        report.close()
+        current.close()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_links": _cleaned("links"),
     "clean_movies": _cleaned("movies"),
@@ -541,6 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_tables": ingest_tables,
     "ingest_rows": ingest_rows,
     "ingest_nothing": ingest_nothing,
+    "csv_ingest": csv_ingest,
     "links_not_null": links_not_null,
     "table_roundtrip": table_roundtrip,
     "ratings_count": ratings_count,
@@ -588,4 +642,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_replay": stream_replay,
     "stream_route": stream_route,
     "stream_serve": stream_serve,
+    "stream_report": stream_report,
 }

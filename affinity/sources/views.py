@@ -136,6 +136,16 @@ def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tags_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole document texts as tags, with line breaks made blanks; null texts stay null."""
+    return _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("int").alias("userId"),
+        F.col("n_chars").cast("int").alias("movieId"),
+        F.translate("text", "\n\r", "  ").alias("tag"),
+        (F.col("doc_id") + 1442943290).cast("int").alias("timestamp"),
+    )
+
+
 def visitor_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Site events as messages of visitors without ratings (ids below zero).
 

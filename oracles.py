@@ -72,6 +72,15 @@ def _wrong(table: str, source: str = "nation", key: str = "n_nationkey", name: s
     )
     return nations.replace("from nation", f"from {source}").replace("n_nationkey", key).replace("n_name", name)
 
+
+def _broken_csv() -> str:
+    """The same lines of customers; in CSV a comma in a tag outside quotes is one field too many."""
+    surplus = f"concat_ws(',', {_K}, {_K}, n_name, ' ' || n_name, {_K})"
+    tags = f"select 'tags' as table_name, {surplus} as value, 'too many fields' as reason from nation where n_nationkey % 4 = 1"
+    tags = tags.replace("from nation", "from customer").replace("n_nationkey", "c_custkey").replace("n_name", "c_name")
+    return "\nunion all\n".join([_wrong(t, "customer", "c_custkey", "c_name") for t in WRONG] + [tags])
+
+
 POPULAR = """popular as (
   select cast(row_number() over (order by c desc, movieId) as int) as rank, movieId, c
   from (select movieId, count(*) as c from train group by movieId order by c desc, movieId limit 5))"""
@@ -331,6 +340,25 @@ union all select 'tags', concat_ws('|', userId, movieId, tag, timestamp) from ta
        count(*) filter (reason <> 'empty last field') as rejected,
        count(*) filter (reason = 'empty last field') as dropped
 from wrong group by table_name""",
+        ),
+        "csv_ingest": _sql(
+            RATINGS,
+            CATALOGUE,
+            f"""tags as (
+  select cast(doc_id as varchar) as id, coalesce(cast(n_chars as varchar), '') as n,
+         trim(translate(text, chr(10) || chr(13), '  '), {BLANKS}) as tag,
+         cast(doc_id + 1442943290 as varchar) as timestamp
+  from documents)""",
+            f"broken as ({_broken_csv()})",
+            """select table_name, reason, value from broken
+union all select 'links', case when p_size = 1 then 'empty last field' end,
+  case when p_size = 1 then concat(p_partkey, ',', p_partkey * 7 + 100000, ',')
+       else concat_ws('|', p_partkey, p_partkey * 7 + 100000, p_partkey * 3) end from part
+union all select 'movies', null, concat_ws('|', movieId, title, genres) from catalogue
+union all select 'ratings', null, concat_ws('|', userId, movieId, rating, timestamp) from ratings
+union all select 'tags', case when tag is null or n = '' then 'bad value' end,
+  case when tag is null or n = '' then concat(id, ',', n, ',', tag, ',', timestamp)
+       else concat_ws('|', id, n, tag, timestamp) end from tags""",
         ),
         "links_not_null": """select cast(p_partkey as int) as movieId, cast(p_partkey * 7 + 100000 as int) as imdbId,
        cast(p_partkey * 3 as int) as tmdbId from part where p_size <> 1""",
@@ -530,4 +558,13 @@ left join (select userId, 'model' as kind, rank, movieId from topn
   on l.userId = a.userId and l.kind = a.source
 left join movies m on m.movieId = l.movieId""",
         ),
+        "stream_report": _sql(
+            SPLIT,
+            REQUESTS,
+            """select cast(floor((position - 1) / 10000) as bigint) as batch_id, count(userId) as kept,
+       count(*) filter (userId is null) as rejected,
+       5 * count(distinct userId) + cast(bool_or(userId is null) as int) as answered
+from (select *, row_number() over (order by value) as position from requests)
+group by batch_id""",
+        ),
     }

@@ -3,6 +3,8 @@
 import pytest
 
 from affinity.operators import clean
+from affinity.schemas import TABLES
+from affinity.sources import readers
 
 
 def classified(spark, table, *lines):
@@ -99,3 +101,59 @@ def test_ingest_writes_both_tables_in_one_pass(spark, workspace):
     ]
     again = ingest(lines.limit(0), "links", workspace.path("none"))
     assert again.kept == 0 and again.table.count() == 0
+
+
+@pytest.mark.parametrize(
+    "table, line, row",
+    [
+        ("movies", '1,"Who, me ""now""?",A|B', (1, 'Who, me "now"?', "A|B")),
+        ("tags", '1,2,"a, ""b"", c",10', (1, 2, 'a, "b", c', 10)),
+        ("tags", '1,2,"",10', (1, 2, "", 10)),
+        ("links", '"1"," 0114 ",3', (1, 114, 3)),
+        ("ratings", "1,2,3.5,4", (1, 2, 3.5, 4)),
+    ],
+)
+def test_csv_records_are_kept(spark, table, line, row):
+    df = spark.createDataFrame([(line,)], "value string")
+    assert [tuple(r) for r in clean.kept(clean.classify_csv(df, table), table).collect()] == [row]
+
+
+@pytest.mark.parametrize(
+    "table, line, why",
+    [
+        ("links", "1,2", clean.TOO_FEW),
+        ("links", "x", clean.TOO_FEW),
+        ("links", "1,2,3,4", clean.TOO_MANY),
+        ("links", "1,2,3,4,5,6", clean.TOO_MANY),
+        ("links", "1,,3", clean.BAD_VALUE),
+        ("links", "1,x,3", clean.BAD_VALUE),
+        ("links", "1,2,99999999999", clean.BAD_VALUE),
+        ("links", "1,2,", clean.EMPTY_LAST),
+        ("movies", '1,"a, b"', clean.TOO_FEW),
+        ("movies", '1,"a, ""b"", c",D,E', clean.TOO_MANY),
+        ("movies", "movieId,name,genres", clean.BAD_VALUE),
+        ("tags", "1,2,a, b,10", clean.TOO_MANY),
+        ("tags", "1,2,,10", clean.BAD_VALUE),
+        ("ratings", "1,2,NaN,4", clean.BAD_VALUE),
+    ],
+)
+def test_broken_csv_records_are_rejected_whole(spark, table, line, why):
+    df = spark.createDataFrame([(line,)], "value string")
+    found = clean.rejected(clean.classify_csv(df, table)).collect()
+    assert [tuple(r) for r in found] == [(line, why)]
+
+
+@pytest.mark.parametrize("line", ['1,"open, end,A', '1,"a" b,A', '1,a"b,A', '"', '1,"a""', ""])
+def test_no_csv_record_is_lost_or_raises(spark, line):
+    df = spark.createDataFrame([(line,)], "value string")
+    assert clean.classify_csv(df, "movies").count() == 1
+
+
+def test_csv_lines_leave_out_headers_only(spark, workspace):
+    path = workspace.path("csv-headers")
+    lines = ["movieId,imdbId,tmdbId", "1,2,3", "imdbId,movieId,tmdbId", "", "movieId,imdbId,tmdbId", "4,5,6,7"]
+    spark.createDataFrame([(x,) for x in lines], "value string").repartition(3).write.text(path)
+    found = [r["value"] for r in readers.csv_lines(spark, path, TABLES["links"]).collect()]
+    assert sorted(found) == ["1,2,3", "4,5,6,7", "imdbId,movieId,tmdbId"]
+    every = readers.csv_lines(spark, path, TABLES["links"], header=False)
+    assert every.count() == 5
