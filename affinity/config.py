@@ -26,6 +26,9 @@ TASK_ROWS = 50_000
 # Rows that one bucket or one group of a join key may hold before it is split.
 GROUP_ROWS = 4_000_000
 
+# Pairs above which a fit walks through blocks of factors and broadcasts none.
+WALK_PAIRS = 1_000_000
+
 # Fixed value: the number of buckets Spark allows a table by default.
 MAX_BUCKETS = 100_000
 

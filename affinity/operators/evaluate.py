@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import may_broadcast
 from affinity.operators.factor import GridFit
+from affinity.operators.walk import Walked
 
 
 def weighted(rows: DataFrame) -> DataFrame:
@@ -56,6 +57,9 @@ def grid_errors(fit: GridFit, rows: DataFrame) -> DataFrame:
     """
     points = fit.points()
     columns = [name for _, _, name in points]
+    if fit.walked:
+        scores = [(fit.walked.users.columns.index(c),) for c in columns]
+        return _error_table(walked_squares(fit.walked, rows, scores), points)
     users = fit.users.select("userId", *[F.col(c).alias(f"u_{c}") for c in columns])
     items = fit.items.select("movieId", *[F.col(c).alias(f"v_{c}") for c in columns])
     joined = _lookup(
@@ -69,6 +73,35 @@ def grid_errors(fit: GridFit, rows: DataFrame) -> DataFrame:
             for c in columns
         ],
     )
+    return _error_table(errors, points)
+
+
+def walked_squares(fit: Walked, rows: DataFrame, scores: list[tuple[int, ...]]) -> DataFrame:
+    """(n, e0, e1, ...): the error of every score, by a walk through the blocks of both sides' factors.
+
+    A score is the sum of products of the two sides' factors in the columns it names.
+    """
+    laid = fit.lay_out(rows.select("userId", "movieId", "rating", "weight"))
+
+    def terms(values, own, other):
+        rating, weight = (v.astype("float64") for v in values)
+        out = [weight]
+        for columns in scores:
+            error = rating - sum(own[c] * other[c] for c in columns)
+            out.append(weight * error * error)
+        return out
+
+    names = ["weight", *[f"e{i}" for i in range(len(scores))]]
+    found = fit.sums(laid, names, terms, by_key=False)
+    total = F.sum("weight")
+    return found.agg(
+        F.coalesce(total, F.lit(0.0)).cast("long").alias("n"),
+        *[F.sqrt(F.sum(e) / F.when(total > 0, total)).alias(e) for e in names[1:]],
+    )
+
+
+def _error_table(errors: DataFrame, points: list[tuple[float, int, str]]) -> DataFrame:
+    errors = errors.toDF("n", *[name for _, _, name in points])
     table = F.array(
         *[
             F.struct(

@@ -13,8 +13,10 @@ as its longest run. Users start at 1, the one-dimensional unit vector.
 
 The ratings are laid out once, hashed on the user, and never shuffled again:
 item factors are broadcast to them when their number is known to be small, and
-otherwise joined with a second layout hashed on the item. Pairs (user, item) rated
-more than once are one row there, and count once per rating.
+otherwise joined with a second layout hashed on the item. Beyond ``WALK_PAIRS`` pairs
+tasks read the factors block by block in place of that (``walk``): a step then neither
+broadcasts nor shuffles. Pairs (user, item) rated more than once are one row, and
+count once per rating.
 """
 
 from __future__ import annotations
@@ -34,25 +36,29 @@ from affinity.config import (
     MAX_BUCKETS,
     PERSIST_ROWS,
     TASK_ROWS,
+    WALK_PAIRS,
     may_broadcast,
 )
+from affinity.operators import walk
 from affinity.workspace import Workspace
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes above which a table is not broadcast, not persisted, or a group is split."""
+    """Sizes above which a table is not broadcast, not persisted, a group is split, or blocks are walked."""
 
     broadcast_rows: int = BROADCAST_ROWS
     persist_rows: int = PERSIST_ROWS
     group_rows: int = GROUP_ROWS
+    walk_pairs: int = WALK_PAIRS
 
 
 @dataclass(frozen=True)
 class GridFit:
     """Factors of every grid point, one column ``f<iterations>_<lambda index>`` each.
 
-    ``user_rows`` and ``item_rows`` bound the rows of the two tables from above.
+    ``user_rows`` and ``item_rows`` bound the rows of the two tables from above. ``walked`` has
+    both tables by blocks, after a fit that walked.
     """
 
     users: DataFrame
@@ -61,6 +67,7 @@ class GridFit:
     item_rows: int
     lambdas: tuple[float, ...]
     iterations: tuple[int, ...]
+    walked: walk.Walked | None = None
 
     def points(self) -> list[tuple[float, int, str]]:
         return [
@@ -172,13 +179,20 @@ def _quotient(top: str, bottom: str) -> str:
     return f"if({bottom} > 0, {top} / ({bottom}), 0D)"
 
 
+def _solved(sums: DataFrame, key: str, lambdas: Sequence[float]) -> DataFrame:
+    """Factors ``f0 f1 ...`` from ``sums(key, n, top0, bottom0, ...)``."""
+    factors = [
+        f"{_quotient(f'top{j}', f'bottom{j} + {lam!r}D * n')} as f{j}" for j, lam in enumerate(lambdas)
+    ]
+    return sums.selectExpr(key, *factors)
+
+
 def _solve(joined: DataFrame, key: str, lambdas: Sequence[float]) -> DataFrame:
     """Factors ``f0 f1 ...`` of ``key`` from rows with the other side's factors."""
-    sums, factors = ["sum(n) as n"], []
-    for j, lam in enumerate(lambdas):
+    sums = ["sum(n) as n"]
+    for j in range(len(lambdas)):
         sums += [f"sum(s * f{j}) as top{j}", f"sum(n * f{j} * f{j}) as bottom{j}"]
-        factors.append(f"{_quotient(f'top{j}', f'bottom{j} + {lam!r}D * n')} as f{j}")
-    return joined.groupBy(key).agg(*map(F.expr, sums)).selectExpr(key, *factors)
+    return _solved(joined.groupBy(key).agg(*map(F.expr, sums)), key, lambdas)
 
 
 def _first_items(pairs: DataFrame, lambdas: Sequence[float]) -> DataFrame:
@@ -215,6 +229,9 @@ def fit_grid(
             F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")
         ),
     )
+    total = pairs.count()
+    if total > limits.walk_pairs:
+        return _walked_grid(workspace, pairs, total, lambdas, iterations, limits, name)
     by_user = _layout(workspace, name, pairs, "userId", "movieId", limits, len(lambdas))
     by_item = _layout(workspace, name, pairs, "movieId", "userId", limits, len(lambdas))
 
@@ -246,6 +263,34 @@ def fit_grid(
     return fit
 
 
+def _walked_grid(
+    workspace: Workspace, pairs: DataFrame, total: int, lambdas: tuple, iterations: tuple, limits: Limits, name: str
+) -> GridFit:
+    """The same fit, with every half-step a walk through the blocks of the other side's factors."""
+    steps = walk.Steps(workspace, name, pairs, total, limits.group_rows)
+    wanted = {"n": ("n", ())}
+    for j in range(len(lambdas)):
+        wanted |= {f"top{j}": ("s", (j,)), f"bottom{j}": ("n", (j, j))}
+    users = None
+    snapshots = {"userId": [], "movieId": []}
+    for step in range(1, iterations[-1] + 1):
+        items = _solved(steps.half("movieId", users, wanted), "movieId", lambdas)
+        items = steps.write(f"items_{step}", items, "movieId")
+        users = _solved(steps.half("userId", items, wanted), "userId", lambdas)
+        users = steps.write(f"users_{step}", users, "userId")
+        if step in iterations:
+            for factors in (users, items):
+                named = [f"f{j} as f{step}_{j}" for j in range(len(lambdas))]
+                snapshots[factors.key].append(factors.table.selectExpr(factors.key, *named))
+    users, items = (
+        steps.write(f"factors_{key}", reduce(lambda a, b: a.join(b, key), snapshots[key]), key)
+        for key in ("userId", "movieId")
+    )
+    rows = (users.table.count(), items.table.count())
+    walked = walk.Walked(workspace, users, items, steps.blocks, f"{name}/walk")
+    return GridFit(users.table, items.table, *rows, lambdas, iterations, walked)
+
+
 def equation_gaps(model, train: DataFrame, item_rows: int) -> DataFrame:
     """(userId, gap): how far each user factor is from solving its own equation."""
     items = model.items.select("movieId", F.col("factor").alias("v"))
