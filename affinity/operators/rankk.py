@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.config import may_broadcast
-from affinity.operators.evaluate import best, root_mean_square
+from affinity.operators import walk
+from affinity.operators.evaluate import best, root_mean_square, walked_squares
 from affinity.operators.factor import Limits, _layout, _with_factors, _write_factors
 from affinity.workspace import Workspace
 
@@ -42,6 +43,7 @@ class RankModel:
     user_rows: int
     item_rows: int
     rmse: float | None = None
+    walked: walk.Walked | None = None  # both sides by blocks, after a fit that walked
 
     @property
     def columns(self) -> list[str]:
@@ -113,9 +115,12 @@ def fit(
         f"{name}/pairs",
         train.groupBy("userId", "movieId").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")),
     )
+    first = _start(pairs.select("userId").distinct(), rank)
+    total = pairs.count()
+    if total > limits.walk_pairs:
+        return _walked_fit(workspace, pairs, total, first, rank, lambdas, iterations, limits, name)
     by_user = _layout(workspace, name, pairs, "userId", "movieId", limits, rank)
     by_item = _layout(workspace, name, pairs, "movieId", "userId", limits, rank)
-    first = _start(pairs.select("userId").distinct(), rank)
     first = _write_factors(workspace, f"{name}/users_0", first, by_user)
     out = []
     for number, lam in enumerate(lambdas):
@@ -134,12 +139,43 @@ def fit(
     return out
 
 
+def _walked_fit(
+    workspace: Workspace, pairs: DataFrame, total: int, first: DataFrame, rank: int,
+    lambdas: Sequence[float], iterations: list[int], limits: Limits, name: str,
+) -> list[RankModel]:
+    """The same models, with every half-step a walk through the blocks of the other side's factors."""
+    steps = walk.Steps(workspace, name, pairs, total, limits.group_rows)
+    wanted = {"n": ("n", ())}
+    wanted |= {f"a{i}_{j}": ("n", (i, j)) for i in range(rank) for j in range(i + 1)}
+    wanted |= {f"b{i}": ("s", (i,)) for i in range(rank)}
+
+    def half(key: str, other: walk.Factors, lam: float, part: str) -> walk.Factors:
+        more = {f"a{i}_{i}": F.expr(f"a{i}_{i} + {lam!r}D * n") for i in range(rank)}
+        return steps.write(part, solved(steps.half(key, other, wanted).withColumns(more), key, rank), key)
+
+    first = steps.write("users_0", first, "userId")
+    user_rows, out = first.table.count(), []
+    for number, lam in enumerate(lambdas):
+        users = first
+        for step in range(1, iterations[-1] + 1):
+            items = half("movieId", users, lam, f"{number}_{step}_items")
+            users = half("userId", items, lam, f"{number}_{step}_users")
+            if step in iterations:
+                walked = walk.Walked(workspace, users, items, steps.blocks, f"{name}/walk")
+                rows = (user_rows, items.table.count())
+                out.append(RankModel(users.table, items.table, rank, lam, step, *rows, walked=walked))
+    return out
+
+
 def _dot(model: RankModel) -> str:
     return " + ".join(f"u{c} * v{c}" for c in range(model.rank))
 
 
 def error(model: RankModel, rows: DataFrame) -> DataFrame:
     """(lambda, iterations, rmse, n) on weighted rows; ids unknown to the model are left out."""
+    if model.walked:
+        found = walked_squares(model.walked, rows, [tuple(range(model.rank))])
+        return found.select(F.lit(model.lam).alias("lambda"), F.lit(model.iterations).alias("iterations"), F.col("e0").alias("rmse"), "n")
     users = model.users.selectExpr("userId", *[f"f{c} as u{c}" for c in range(model.rank)])
     items = model.items.selectExpr("movieId", *[f"f{c} as v{c}" for c in range(model.rank)])
     for table, key, n in ((users, "userId", model.user_rows), (items, "movieId", model.item_rows)):
@@ -187,6 +223,8 @@ def load(spark: SparkSession, path: str) -> RankModel:
 
 def equation_gaps(model: RankModel, train: DataFrame) -> DataFrame:
     """(userId, gap): the largest residual of each user's own equations, per rating."""
+    if model.walked:
+        return _walked_gaps(model, train)
     users = model.users.selectExpr("userId", *[f"f{c} as u{c}" for c in range(model.rank)])
     items = model.items.selectExpr("movieId", *[f"f{c} as v{c}" for c in range(model.rank)])
     if may_broadcast(model.item_rows, model.rank):
@@ -196,3 +234,18 @@ def equation_gaps(model: RankModel, train: DataFrame) -> DataFrame:
     sums = [F.sum(F.expr(f"miss * v{c} + {model.lam!r}D * n * u{c}")).alias(f"g{c}") for c in range(model.rank)]
     gaps = rows.groupBy("userId").agg(F.sum("n").alias("n"), *sums)
     return gaps.select("userId", F.greatest(F.lit(0.0), *[F.expr(f"abs(g{c}) / n") for c in range(model.rank)]).alias("gap"))
+
+
+def _walked_gaps(model: RankModel, train: DataFrame) -> DataFrame:
+    pairs = train.groupBy("userId", "movieId").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"))
+    ranks, lam = range(model.rank), model.lam
+
+    def terms(values, own, other):
+        n, s = (v.astype("float64") for v in values)
+        miss = n * sum(own[c] * other[c] for c in ranks) - s
+        return [n, *[miss * other[c] + lam * n * own[c] for c in ranks]]
+
+    names = ["n", *[f"g{c}" for c in ranks]]
+    laid = model.walked.lay_out(pairs.select("userId", "movieId", "n", "s"))
+    gaps = model.walked.sums(laid, names, terms)
+    return gaps.select("userId", F.greatest(F.lit(0.0), *[F.expr(f"abs(g{c}) / n") for c in ranks]).alias("gap"))
