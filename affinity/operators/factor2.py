@@ -16,7 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.evaluate import root_mean_square
+from affinity.operators import walk
+from affinity.operators.evaluate import root_mean_square, walked_squares
 from affinity.operators.factor import Limits, _layout, _with_factors, _write_factors
 from affinity.workspace import Workspace
 
@@ -25,6 +26,7 @@ from affinity.workspace import Workspace
 class Rank2:
     users: DataFrame  # userId int, f0 double, f1 double
     items: DataFrame  # movieId int, f0 double, f1 double
+    walked: walk.Walked | None = None  # both sides by blocks, after a fit that walked
 
     @property
     def columns(self) -> list[str]:
@@ -36,6 +38,12 @@ def _start(keys: DataFrame) -> DataFrame:
     return keys.select("userId", F.lit(1.0).alias("f0"), second.alias("f1"))
 
 
+def _solved(sums: DataFrame, key: str) -> DataFrame:
+    return sums.selectExpr(
+        key, "(p * c - q * b) / (a * c - b * b) as f0", "(q * a - p * b) / (a * c - b * b) as f1"
+    )
+
+
 def _solve(joined: DataFrame, key: str, lam: float) -> DataFrame:
     sums = joined.groupBy(key).agg(
         F.expr(f"sum(n * f0 * f0) + {lam!r}D * sum(n)").alias("a"),
@@ -44,9 +52,25 @@ def _solve(joined: DataFrame, key: str, lam: float) -> DataFrame:
         F.expr("sum(s * f0)").alias("p"),
         F.expr("sum(s * f1)").alias("q"),
     )
-    return sums.selectExpr(
-        key, "(p * c - q * b) / (a * c - b * b) as f0", "(q * a - p * b) / (a * c - b * b) as f1"
-    )
+    return _solved(sums, key)
+
+
+def _walked_fit(
+    workspace: Workspace, pairs: DataFrame, total: int, lam: float, iterations: int, limits: Limits, name: str
+) -> Rank2:
+    """The same model, with every half-step a walk through the blocks of the other side's factors."""
+    steps = walk.Steps(workspace, name, pairs, total, limits.group_rows)
+    wanted = {"n": ("n", ()), "a": ("n", (0, 0)), "b": ("n", (0, 1)), "c": ("n", (1, 1)), "p": ("s", (0,)), "q": ("s", (1,))}
+    more = {c: F.expr(f"{c} + {lam!r}D * n") for c in ("a", "c")}
+
+    def half(key: str, other: walk.Factors, part: str) -> walk.Factors:
+        return steps.write(part, _solved(steps.half(key, other, wanted).withColumns(more), key), key)
+
+    users = steps.write("users_0", _start(pairs.select("userId").distinct()), "userId")
+    for step in range(1, iterations + 1):
+        items = half("movieId", users, f"items_{step}")
+        users = half("userId", items, f"users_{step}")
+    return Rank2(users.table, items.table, walk.Walked(workspace, users, items, steps.blocks, f"{name}/walk"))
 
 
 def fit(
@@ -67,6 +91,9 @@ def fit(
             F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s")
         ),
     )
+    total = pairs.count()
+    if total > limits.walk_pairs:
+        return _walked_fit(workspace, pairs, total, lam, iterations, limits, name)
     by_user = _layout(workspace, name, pairs, "userId", "movieId", limits, 2)
     by_item = _layout(workspace, name, pairs, "movieId", "userId", limits, 2)
     users = _start(pairs.select("userId").distinct())
@@ -84,6 +111,8 @@ def fit(
 
 def error(model: Rank2, rows: DataFrame) -> DataFrame:
     """(rmse, n) on weighted rows; ids unknown to the model are left out."""
+    if model.walked:
+        return walked_squares(model.walked, rows, [(0, 1)]).select(F.col("e0").alias("rmse"), "n")
     users = model.users.selectExpr("userId", "f0 as u0", "f1 as u1")
     items = model.items.selectExpr("movieId", "f0 as v0", "f1 as v1")
     weight = F.col("weight")
