@@ -40,9 +40,9 @@ def new_requests(requests: DataFrame, known: DataFrame) -> DataFrame:
     return readable.join(known.select("userId"), "userId", "left_anti")
 
 
-def per_user(requests: DataFrame) -> DataFrame:
-    """Each user once with the number of requests: a busy user is one row."""
-    return requests.groupBy("userId").agg(F.count(F.lit(1)).alias("requests"))
+def per_user(requests: DataFrame, *within: str) -> DataFrame:
+    """Each user once (``within`` each value of other columns) with the number of requests: a busy user is one row."""
+    return requests.groupBy("userId", *within).agg(F.count(F.lit(1)).alias("requests"))
 
 
 def serving_lists(model: Model, popular: DataFrame, movies: DataFrame, n: int = 5) -> DataFrame:
@@ -62,13 +62,13 @@ def fallback(users: DataFrame, popular: DataFrame, movies: DataFrame, n: int = 5
 
 
 def suggest(
-    requests: DataFrame, model: Model, lists: DataFrame, few: bool = False
+    requests: DataFrame, model: Model, lists: DataFrame, few: bool = False, within: tuple[str, ...] = ()
 ) -> DataFrame:
-    """(userId, requests, source, rank, movieId, title) for decoded requests.
+    """(userId, requests, source, rank, movieId, title) for decoded requests, by the columns ``within`` if any.
 
     Malformed requests come back as one row without a user.
     """
-    asked = per_user(requests)
+    asked = per_user(requests, *within)
     routed = asked.join(known_among(model.users, asked, few), "userId", "left")
     known = F.col("factor").isNotNull()
     source = (
@@ -83,5 +83,5 @@ def suggest(
         routed.withColumn("source", source)
         .withColumn("direction", to_list)
         .join(F.broadcast(lists), "direction", "left")
-        .select("userId", "requests", "source", "rank", "movieId", "title")
+        .select("userId", "requests", "source", "rank", "movieId", "title", *within)
     )

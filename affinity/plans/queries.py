@@ -30,6 +30,9 @@ RANK2_LAMBDA, RANK2_STEPS = 0.05, 4
 RANK3 = (3, (0.02, 0.05), (2, 4))
 RANK8 = (8, (0.05,), (2,))
 REPLAY_BATCH = 10_000
+# Whole batches that one trigger takes, and messages of them that a task reads.
+BATCHES_TOGETHER = 100
+REPLAY_TASK = 100_000
 REPLAY_ORDER = ["userId", "movieId", "rating"]
 
 _GOOD_LINES = {
@@ -514,21 +517,27 @@ def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _numbered_batches(spark: SparkSession, log: str) -> DataFrame:
+    """The log in batches of REPLAY_BATCH messages, of which a trigger takes many."""
+    return stream.read_messages(
+        spark, "replay", log, offsets_per_batch=REPLAY_BATCH,
+        options={"messagesPerTask": str(REPLAY_TASK)}, batches_together=BATCHES_TOGETHER,
+    )
+
+
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole test half as a paced stream: which batch brings which message."""
     s = stages(spark, sf_dir)
     log = _fresh(s, "replay")
     runs = replay.runs(s.workspace, _name("runs"), s.test(), REPLAY_ORDER)
     replay.write_log(messages.encode(runs, TOPIC, "range", "first", "until"), log)
-    rows = stream.decoded(
-        stream.read_messages(spark, "replay", log, offsets_per_batch=REPLAY_BATCH)
-    )
+    rows = stream.decoded(_numbered_batches(spark, log))
     stream.to_the_end(
         stream.by_batch(
             rows, lambda batch: batch, f"{log}-out", f"{log}-checkpoint", interval="0 seconds"
         )
     )
-    return spark.read.parquet(f"{log}-out").select("batch_id", "userId", "value")
+    return spark.read.parquet(f"{log}-out").select(F.col("batch").cast("int").alias("batch_id"), "userId", "value")
 
 
 def stream_route(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -569,7 +578,7 @@ def stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _fresh(s, "report")
     runs = replay.runs(s.workspace, _name("request-runs"), requests(spark, sf_dir), ["value"])
     replay.write_log(runs.withColumn("key", F.lit(TOPIC)), log)
-    rows = stream.read_messages(spark, "replay", log, offsets_per_batch=REPLAY_BATCH)
+    rows = _numbered_batches(spark, log)
     current = stream.CurrentModel(spark, s.published(), s.popular(), s.movies, CONFIG.list_size)
     report = progress.Report(spark)
     try:

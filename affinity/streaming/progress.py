@@ -33,7 +33,8 @@ class Report(StreamingQueryListener):
     """The counts of every finished batch of one query, also over its restarts.
 
     A batch counts when the query reports it as done. One that runs again after a failure
-    counts once, with the numbers of its last run. ``close`` takes the listener away.
+    counts once, with the numbers of its last run. Where a trigger takes several numbered batches
+    (``source``), each of them is counted by itself. ``close`` takes the listener away.
     """
 
     def __init__(self, spark: SparkSession, enough: Callable[[Counts], bool] | None = None):
@@ -41,7 +42,8 @@ class Report(StreamingQueryListener):
         self._name = f"asked-{uuid.uuid4().hex[:8]}"
         self._lock = threading.Condition()
         self._answered: dict[int, int] = {}
-        self._batches: dict[int, Counts] = {}
+        self._numbered: dict[int, list[Counts]] = {}
+        self._batches: dict[int, list[Counts]] = {}  # by trigger
         self._ended: set[str] = set()
         self._stopping = False
         spark.streams.addListener(self)
@@ -53,12 +55,24 @@ class Report(StreamingQueryListener):
             self._name, F.count_if(known).alias("kept"), F.count_if(~known).alias("rejected")
         )
 
-    def write(self, batch_id: int, answer: DataFrame, path: str) -> None:
-        """Write the answer to a batch, and count its rows."""
+    def write(self, batch_id: int, answer: DataFrame, path: str, numbered: DataFrame | None = None) -> None:
+        """Write the answer to a batch, and count its rows; those of every batch of ``numbered`` messages."""
         seen = Observation()
         answer.observe(seen, F.count(F.lit(1)).alias("answered")).write.mode("overwrite").parquet(path)
+        counts = None if numbered is None else self._by_number(numbered, answer, path)
         with self._lock:
             self._answered[batch_id] = seen.get["answered"]
+            if counts is not None:
+                self._numbered[batch_id] = counts
+
+    def _by_number(self, messages: DataFrame, answer: DataFrame, path: str) -> list[Counts]:
+        """Counts of the batches of one trigger: as many rows as it takes batches."""
+        known = F.col("userId").isNotNull()
+        asked = messages.groupBy("batch").agg(F.count_if(known).alias("kept"), F.count_if(~known).alias("rejected"))
+        written = self.spark.read.schema(answer.schema).parquet(path)
+        answered = written.groupBy("batch").agg(F.count(F.lit(1)).alias("answered"))
+        rows = asked.join(answered, "batch", "left").collect()
+        return [Counts(r["batch"], r["kept"], r["rejected"], r["answered"] or 0) for r in rows]
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -72,9 +86,9 @@ class Report(StreamingQueryListener):
         with self._lock:
             if found is None or batch not in self._answered:
                 return
-            counts = Counts(batch, found["kept"], found["rejected"], self._answered[batch])
-            self._batches[batch] = counts
-            self._stopping |= bool(self._enough and self._enough(counts))
+            whole = Counts(batch, found["kept"], found["rejected"], self._answered[batch])
+            self._batches[batch] = self._numbered.get(batch, [whole])
+            self._stopping |= bool(self._enough and any(map(self._enough, self._batches[batch])))
             self._lock.notify_all()
 
     def onQueryTerminated(self, event) -> None:
@@ -108,7 +122,14 @@ class Report(StreamingQueryListener):
 
     def batches(self) -> list[Counts]:
         with self._lock:
-            return [self._batches[batch] for batch in sorted(self._batches)]
+            found: dict[int, Counts] = {}
+            for c in (c for trigger in self._batches.values() for c in trigger):
+                # A batch at the end of a log that has grown since comes in two triggers.
+                was = found.get(c.batch_id, Counts(c.batch_id, 0, 0, 0))
+                found[c.batch_id] = Counts(
+                    c.batch_id, was.kept + c.kept, was.rejected + c.rejected, was.answered + c.answered
+                )
+            return [found[batch] for batch in sorted(found)]
 
     def table(self) -> DataFrame:
         """One row per batch."""

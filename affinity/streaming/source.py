@@ -5,8 +5,12 @@ before which everything has been read, so a restarted query goes on where its ch
 batch is planned as slices of positions; a task opens the folders of the ranges that its slice
 touches, and the file statistics keep it to the runs that it needs.
 
+With ``batchesTogether`` the log is numbered: message i is in batch i div ``messagesPerBatch``, which
+comes as a column ``batch``, and one trigger takes up to so many whole batches. What a trigger costs by
+itself is then paid once for all of them.
+
 Options: ``path``; ``messagesPerBatch``, what one batch takes (0, the default: all there is);
-``messagesPerTask``. The trigger's interval sets the pace. A query with ``availableNow`` asks for
+``messagesPerTask``; ``batchesTogether``. The trigger's interval sets the pace. A query with ``availableNow`` asks for
 the newest offset only once, so there ``messagesPerBatch`` bounds the whole run: end a paced replay
 with ``stream.to_the_end`` in its place.
 """
@@ -56,8 +60,11 @@ class ReplayReader(DataSourceStreamReader):
         self.path = options["path"]
         self.per_batch = int(options.get("messagesPerBatch", 0))
         self.per_task = int(options.get("messagesPerTask", MESSAGES_PER_TASK))
+        self.together = int(options.get("batchesTogether", 0))
         if self.per_batch < 0 or self.per_task < 1:
             raise ValueError("messagesPerBatch must be 0 or more, messagesPerTask 1 or more")
+        if self.together < 0 or (self.together and not self.per_batch):
+            raise ValueError("batchesTogether must be 0 or more, and needs messagesPerBatch")
         self.planned = 0
 
     def _ranges(self) -> np.ndarray:
@@ -69,9 +76,10 @@ class ReplayReader(DataSourceStreamReader):
         return {"position": 0}
 
     def latestOffset(self) -> dict:
-        """The end of the log, or one batch beyond what has been planned."""
+        """The end of the log, or one trigger's batches beyond what has been planned."""
         end = int(self._ranges()[:, 1].max(initial=0))
-        return {"position": min(end, self.planned + self.per_batch) if self.per_batch else end}
+        step = self.per_batch * max(self.together, 1)
+        return {"position": min(end, (self.planned // step + 1) * step if self.together else self.planned + step) if step else end}
 
     def partitions(self, start: dict, end: dict) -> list[Slice]:
         # A restarted query asks once for the empty batch at the end of its checkpoint.
@@ -85,11 +93,17 @@ class ReplayReader(DataSourceStreamReader):
             runs = _open(f"{self.path}/runs/range={number}")
             for batch in runs.to_batches(columns=["first", "until", "key", "value"], filter=wanted):
                 first, until = (batch[c].to_numpy() for c in ("first", "until"))
-                ends = np.cumsum(np.minimum(until, high) - np.maximum(first, low))
+                start = np.maximum(first, low)
+                ends = np.cumsum(np.minimum(until, high) - start)
                 for at in range(0, int(ends[-1]) if len(ends) else 0, HANDED_OVER):
                     some = np.arange(at, min(at + HANDED_OVER, ends[-1]))
-                    rows = pa.array(np.searchsorted(ends, some, side="right"))
-                    yield batch.select(["key", "value"]).take(rows)
+                    run = np.searchsorted(ends, some, side="right")
+                    rows = batch.select(["key", "value"]).take(pa.array(run))
+                    if self.together:
+                        # A run ends where its last position is taken.
+                        position = np.minimum(until, high)[run] - (ends[run] - some)
+                        rows = rows.append_column("batch", pa.array(position // self.per_batch, pa.int64()))
+                    yield rows
 
 
 class Replay(DataSource):
@@ -98,7 +112,8 @@ class Replay(DataSource):
         return "replay"
 
     def schema(self) -> str:
-        return "key string, value string"
+        numbered = int(self.options.get("batchesTogether", 0))
+        return "key string, value string" + (", batch long" if numbered else "")
 
     def streamReader(self, schema) -> ReplayReader:
         return ReplayReader(self.options)

@@ -39,9 +39,13 @@ def read_messages(
     starting: str = "latest",
     offsets_per_batch: int | None = OFFSETS_PER_BATCH,
     options: dict[str, str] | None = None,
+    batches_together: int = 0,
 ) -> DataFrame:
     """A stream of (key, value) strings.
 
+    With ``batches_together``, a log comes in numbered batches of ``offsets_per_batch`` messages, so
+    many to a trigger; their number is the column ``batch`` (``source``).
+
     ``offsets_per_batch`` bounds what one batch takes from a topic or log, also after a pause;
     ``options`` go to the reader as they are.
 
@@ -62,6 +66,8 @@ def read_messages(
     if fmt == Replay.name():
         spark.dataSource.register(Replay)
         reader = spark.readStream.format(fmt).option("messagesPerBatch", offsets_per_batch or 0)
+        if batches_together:
+            reader = reader.option("batchesTogether", batches_together)
         return reader.options(**(options or {})).load(location)
     reader = spark.readStream.format(fmt).schema(MESSAGE).options(**(options or {}))
     if files_per_batch:
@@ -70,7 +76,12 @@ def read_messages(
 
 
 def decoded(messages: DataFrame) -> DataFrame:
-    return messages.select("key", "value", user_id(F.col("value")).alias("userId"))
+    return messages.select("key", "value", user_id(F.col("value")).alias("userId"), *_numbered(messages))
+
+
+def _numbered(messages: DataFrame) -> tuple[str, ...]:
+    """The column with the number of a message's batch, where a trigger takes several."""
+    return ("batch",) if "batch" in messages.columns else ()
 
 
 def _trigger(interval: str | None) -> dict:
@@ -169,7 +180,7 @@ def by_batch(
     interval: str | None = None,
     report: Report | None = None,
 ) -> StreamingQuery:
-    """Write ``answer(batch)`` of every batch to its own folder.
+    """Write ``answer(batch)`` of every batch to its own folder, or of all batches of a trigger to one.
 
     A batch that runs again after a failure replaces its own folder, so its rows
     are never repeated. A ``report`` counts decoded messages and answers.
@@ -179,9 +190,10 @@ def by_batch(
         # The answer looks at a batch more than once; read it from the source once.
         batch.persist()
         try:
-            found, path = answer(batch), f"{out}/batch_id={batch_id}"
+            numbered = _numbered(batch)
+            found, path = answer(batch), f"{out}/{'trigger' if numbered else 'batch_id'}={batch_id}"
             if report:
-                report.write(batch_id, found, path)
+                report.write(batch_id, found, path, batch if numbered else None)
             else:
                 found.write.mode("overwrite").parquet(path)
         finally:
@@ -208,6 +220,6 @@ def serve(
 
     def answer(batch: DataFrame) -> DataFrame:
         model, lists = current.get()
-        return suggest(batch, model, lists, _few(batch))
+        return suggest(batch, model, lists, _few(batch), _numbered(batch))
 
     return by_batch(decoded(messages), answer, out, checkpoint, interval, report)

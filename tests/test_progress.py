@@ -74,3 +74,24 @@ def test_a_failed_batch_is_counted_when_it_is_done(spark, workspace, log):
         assert report.settled(again) == expected(6)
     finally:
         report.close()
+
+
+@pytest.mark.parametrize("together", [2, 4, 100])
+def test_batches_of_one_trigger_are_counted_each(spark, workspace, log, together):
+    report = progress.Report(spark)
+    out = workspace.path(f"together-{together}")
+    try:
+        messages = stream.read_messages(
+            spark, "replay", log, offsets_per_batch=25, options={"messagesPerTask": "7"}, batches_together=together
+        )
+        query = stream.by_batch(
+            stream.decoded(messages), lambda b: b.filter("userId is not null"), out, f"{out}-checkpoint",
+            interval="0 seconds", report=report,
+        )
+        stream.to_the_end(query)
+        assert report.settled(query) == expected(6)
+        assert len({p["batchId"] for p in query.recentProgress if p["numInputRows"]}) == -(-6 // together)
+    finally:
+        report.close()
+    rows = spark.read.parquet(out).select("batch", F.expr("int(userId)").alias("u")).collect()
+    assert sorted((r.batch, r.u) for r in rows) == [(i // 25, i) for i in range(150) if i % 10]
