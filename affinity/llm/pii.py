@@ -2,12 +2,11 @@
 
 The model learns from windows of text labelled with the base spans. Into most of them a form is
 planted that the patterns do not know (other separators, no ``+``, ``at`` for ``@``, IPv6), with the
-label of its kind, or a number that is no personal data (``forms``). Documents are decoded in
-overlapping windows; each character takes its tag from the window in which it is farthest from an
-edge, and spans are read off the tags of the whole document. Windows are decoded that have a sign
-of personal data, which is a digit, an ``@``, a bracketed ``at`` or ``dot``, or the word ``dot``, and
-those beside them; the others are all outside. A form without any such sign (a spelled-out
-phone) is not found.
+label of its kind, or a number that is no personal data (``forms``). Documents are decoded whole,
+in overlapping windows that are longer than those of the training, so that fewer characters are
+decoded twice; each character takes its tag from the window in which it is farthest from an edge, and
+spans are read off the tags of the whole document. Only the training sample prefers windows with a sign
+of personal data (a digit, an ``@``, a bracketed ``at`` or ``dot``, or the word ``dot``).
 """
 
 from __future__ import annotations
@@ -27,10 +26,14 @@ from affinity.llm.tagger import PAD, Tagger, codes
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
 WIDTH, STRIDE = 96, 48
+# Windows in which documents are decoded.
+DECODED_WIDTH, DECODED_STRIDE = 288, 240
 # Bounded sample that the model learns from, and steps of training.
 TRAINING_WINDOWS, STEPS = 3_000, 220
+# Windows of a document in the sample, drawn from all of it, beside those with a sign.
+ANY_WINDOWS = 8
 # Windows that are decoded together.
-DECODED = 1_024
+DECODED = 512
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -93,31 +96,38 @@ def tags_of(length: int, spans: list[Span]) -> np.ndarray:
     return tags
 
 
-def window_starts(text: str, length: int) -> list[int]:
-    """Starts of the windows with a sign of personal data, and of those beside them."""
-    n = max(1, -(-(length - WIDTH) // STRIDE) + 1)
-    near: set[int] = set()
+def window_starts(text: str, length: int, width: int = WIDTH, stride: int = STRIDE) -> list[int]:
+    """Starts of windows that hold every character; none for an empty text."""
+    n = max(1, -(-(length - width) // stride) + 1)
+    return [k * stride for k in range(n)] if length else []
+
+
+def sample_starts(text: str) -> list[int]:
+    """Starts of the windows to learn from: those with a sign, those beside them, and some drawn from all."""
+    n = len(window_starts(text, len(text)))
+    draw = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    near = {(draw + i * n // ANY_WINDOWS) % n for i in range(ANY_WINDOWS)}
     for m in _SIGN.finditer(text):
         last = min(m.start() // STRIDE, n - 1)
         near.update(range(max(last - 2, 0), min(last + 2, n)))
     return [k * STRIDE for k in sorted(near)]
 
 
-def cut(values: np.ndarray, starts: list[int], fill: int) -> np.ndarray:
-    out = np.full((len(starts), WIDTH), fill, np.uint8)
+def cut(values: np.ndarray, starts: list[int], fill: int, width: int = WIDTH) -> np.ndarray:
+    out = np.full((len(starts), width), fill, np.uint8)
     for row, s in zip(out, starts, strict=True):
-        part = values[s : s + WIDTH]
+        part = values[s : s + width]
         row[: len(part)] = part
     return out
 
 
-def reconcile(length: int, starts: list[int], tags: np.ndarray) -> np.ndarray:
+def reconcile(length: int, starts: list[int], tags: np.ndarray, stride: int = STRIDE) -> np.ndarray:
     """One tag for every character, each from the window it is most central in."""
-    out = np.zeros(length, np.int8)
-    margin = (WIDTH - STRIDE) // 2
+    out, width = np.zeros(length, np.int8), tags.shape[1]
+    margin = (width - stride) // 2
     for s, row in zip(starts, tags, strict=True):
         low = 0 if s == 0 else margin
-        high = WIDTH if s + WIDTH >= length else WIDTH - margin
+        high = width if s + width >= length else width - margin
         high = min(high, length - s)
         out[s + low : s + high] = row[low:high]
     return out
@@ -163,7 +173,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for text in batch["text"].to_pylist():
             if text and _SIGN.search(text):
                 x, y = codes(text), tags_of(len(text), base_spans(text)[0])
-                starts = window_starts(text, len(text))
+                starts = sample_starts(text)
                 for a, b in zip(cut(x, starts, PAD), cut(y, starts, 0), strict=True):
                     packed = a.tobytes()
                     rows.append((zlib.crc32(packed), packed, b.tobytes()))
@@ -206,7 +216,7 @@ def find(texts: list[str | None], model: Tagger | None) -> Iterator[tuple[list[S
     windows: list[np.ndarray] = []
 
     def flush() -> Iterator[tuple[list[Span], list[Span]]]:
-        tags = np.zeros((0, WIDTH), np.int8)
+        tags = np.zeros((0, DECODED_WIDTH), np.int8)
         if windows:
             x = np.concatenate(windows)
             tags = np.concatenate([model.decode(x[i : i + DECODED]) for i in range(0, len(x), DECODED)])
@@ -215,7 +225,7 @@ def find(texts: list[str | None], model: Tagger | None) -> Iterator[tuple[list[S
             if not starts:
                 yield base, base
                 continue
-            own = reconcile(len(text), starts, tags[at : at + len(starts)])
+            own = reconcile(len(text), starts, tags[at : at + len(starts)], DECODED_STRIDE)
             at += len(starts)
             yield base, all_spans(text, base, failed, own)
         waiting.clear()
@@ -224,10 +234,10 @@ def find(texts: list[str | None], model: Tagger | None) -> Iterator[tuple[list[S
     for text in texts:
         text = text or ""
         base, failed = base_spans(text)
-        starts = window_starts(text, len(text)) if model else []
+        starts = window_starts(text, len(text), DECODED_WIDTH, DECODED_STRIDE) if model else []
         waiting.append((text, base, failed, starts))
         if starts:
-            windows.append(cut(codes(text), starts, PAD))
+            windows.append(cut(codes(text), starts, PAD, DECODED_WIDTH))
         if sum(map(len, windows)) >= DECODED:
             yield from flush()
     yield from flush()

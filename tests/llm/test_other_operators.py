@@ -418,6 +418,21 @@ def test_windows_reconcile_to_the_tags_they_were_cut_from():
     assert sorted(pii.spans_of(tags), key=lambda s: s[1]) == sorted(pii.base_spans(body)[0], key=lambda s: s[1])
 
 
+def test_every_character_is_decoded():
+    """Also where nothing is near that looks like personal data, and in texts of any length."""
+
+    class Everything(Tagger):
+        def decode(self, x):
+            seen.append(int((x != pii.PAD).sum()))
+            return np.full(x.shape, 8, np.int8)  # inside of a phone
+
+    for n in (1, 95, 96, 97, 287, 288, 289, 528, 529, 5_000):
+        seen, body = [], ("no sign here " * 400)[:n]
+        assert next(pii.find([body], Everything(pii.TAGS))) == ([], [("phone", 0, len(body.rstrip()))])
+        assert sum(seen) >= n
+    assert list(pii.find([None, ""], Everything(pii.TAGS))) == [([], []), ([], [])]
+
+
 def test_failed_matches_bar_no_other_span():
     """Digits of these spans are cards that failed their check."""
     for kind, body, before, after in (
