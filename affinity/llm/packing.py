@@ -52,6 +52,7 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(tokenizer: str, end_id: int, capacity: int):
+    @worker.trimmed
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = Encoder.of(tokenizer), TaskContext.get().partitionId()
         met = np.zeros(capacity + 1, np.int64)
@@ -60,9 +61,7 @@ def _pieces(tokenizer: str, end_id: int, capacity: int):
             for at in range(0, batch.num_rows, BLOCK):
                 block = batch.slice(at, BLOCK)
                 rows = []
-                for doc_id, ids in zip(
-                    block.column(0).to_pylist(), encoder.encode(block.column(1).to_pylist()), strict=True
-                ):
+                for doc_id, ids in zip(block.column(0).to_pylist(), encoder.each(block.column(1)), strict=True):
                     ids = np.concatenate([ids, end]).astype("<u4")
                     for number, (start, length) in enumerate(cut(len(ids), capacity)):
                         crc = zlib.crc32(ids[start : start + length].tobytes())
@@ -226,6 +225,7 @@ def sequences(
 ) -> DataFrame:
     """(sequence_id, ids): the packed sequences themselves, for rows with different doc_ids."""
 
+    @worker.trimmed
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         for batch in batches:
@@ -233,7 +233,7 @@ def sequences(
                 block = batch.slice(at, BLOCK)
                 ids = [
                     np.append(x, np.uint32(end_id)).astype(np.int32)
-                    for x in encoder.encode(block["text"].to_pylist())
+                    for x in encoder.each(block["text"])
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [block["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]

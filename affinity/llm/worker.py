@@ -20,7 +20,7 @@ _kept: dict[Any, Any] = {}
 def keep(key: Any, make: Callable[[], Any]) -> Any:
     """The kept value of ``key``; nothing else stays kept."""
     if key not in _kept:
-        _kept.clear()
+        release()
         _kept[key] = make()
     return _kept[key]
 
@@ -44,6 +44,16 @@ def release() -> None:
     trim()
 
 
+def trimmed(run: Callable) -> Callable:
+    """A function on batches that gives back after each what it freed, but for what it keeps."""
+
+    @wraps(run)
+    def wrapped(batches):
+        return _ending(run(_trimming(batches)))
+
+    return wrapped
+
+
 def lean(run: Callable) -> Callable:
     """A function on batches, or on one group, that starts and ends with as little memory as it can.
 
@@ -65,3 +75,9 @@ def lean(run: Callable) -> Callable:
 def _ending(batches: Iterator) -> Iterator:
     yield from batches
     trim()
+
+
+def _trimming(batches: Iterator) -> Iterator:
+    for batch in batches:
+        yield batch
+        trim()

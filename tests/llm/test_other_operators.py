@@ -6,8 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from affinity.llm import embeddings, forms, langid, packing, pii, tokenfiles, urls
+from affinity.llm import embeddings, forms, langid, packing, pii, tokenfiles, tokens, urls
 from affinity.llm.tagger import Tagger
 from affinity.llm.tokens import Encoder, byte_bpe_path
 from llm_cases import collected, frame, rows, texts, words
@@ -471,3 +472,48 @@ def test_long_documents_have_the_same_trigrams(monkeypatch):
     monkeypatch.setattr(langid.text, "SLICE_BYTES", 50)
     for a, b in zip(whole, langid.trigrams(body, offsets), strict=True):
         assert a.tolist() == b.tolist()
+
+
+def test_encoder_encodes_a_word_once_and_few_texts():
+    """Neither line ends nor punctuation make new pieces, and new pieces share a text."""
+
+    class Recorder:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode(self, text, **how):
+            self.texts.append(text)
+            return self.tokenizer.encode(text, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    own = [f"w{i}x" for i in range(400)]
+    bodies = [f"{a}{end}{b} {a}" for a, b in zip(own, own[1:], strict=False) for end in (".\n", ", ", "\n\n", "; ", "! ")]
+    encoder = Encoder(byte_bpe_path())
+    encoder.tokenizer = Recorder(plain := encoder.tokenizer)
+    got = encoder.encode(pa.array(bodies))
+    assert [g.tolist() for g in got] == [plain.encode(b, add_special_tokens=False).ids for b in bodies]
+    assert sum(map(len, encoder.tokenizer.texts)) < 5 * sum(map(len, own))
+    assert len(encoder.tokenizer.texts) < 2 * len(own)  # first words of texts stand alone
+
+
+def test_encoder_with_added_tokens_marks_and_foreign_blanks():
+    bodies = [
+        "a<|endoftext|> b, <|endoftext|>, c", "endoftext|> b|c", "a’ b “c” d", "x \n\ny", "x   y.z", "x　\t\ty",
+        "it's 'street a'll 5's é's é,b", "a\x0bb !\x0c\x0c?", "", " ", "\n", ".", " .", "a ", "a.\n", "x\x1c  y", "x\x85  y",
+    ]
+    encoder = Encoder(byte_bpe_path())
+    for given in ([*bodies, None], *([b] for b in bodies), pa.array(["gone", None, *bodies]).slice(1)):
+        want = [plain_ids(t) for t in (given if isinstance(given, list) else given.to_pylist())]
+        assert [g.tolist() for g in encoder.encode(given)] == want
+
+
+def test_encoder_forgets_pieces_and_stays_right(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 50)
+    monkeypatch.setattr(tokens, "LOOKED_UP", 300)
+    encoder = Encoder(byte_bpe_path())
+    for body, got in zip(texts(), encoder.each(texts()), strict=True):
+        assert got.tolist() == plain_ids(body)
+        assert len(encoder.known) <= 50 + 300 or len(body) > 300
