@@ -11,6 +11,8 @@ import numpy as np
 # Characters: ASCII, any other, and padding.
 OTHER, PAD = 128, 129
 HIDDEN = 16
+# How much better a path must be to be taken without a search; sums of 288 scores are rounded by far less.
+SURE = 0.25
 
 
 def codes(text: str) -> np.ndarray:
@@ -141,37 +143,81 @@ class Tagger:
         return self
 
     def _scores(self, x) -> np.ndarray:
-        """The emissions (time, windows, tags), both directions in one pass and without memory."""
+        """The emissions (time, windows, tags), both directions in one pass and without memory.
+
+        They lie in memory as (time, tags, windows).
+        """
         h, (t_max, n) = HIDDEN, x.shape
-        # A sigmoid is half of a hyperbolic tangent of half its argument, and a half.
+        # A sigmoid is half of a hyperbolic tangent of half its argument, and a half. Gates are kept at twice
+        # their value and so are states: halving them is left to the weights and to the cell, and exact.
+        # Each gate is one block of memory, for both directions and all windows.
         scale = np.repeat(np.float32([0.5, 1]), [3 * h, h])
         given = np.concatenate([self.p["in_f"], self.p["in_b"]]) * scale
-        rec = np.stack([self.p["rec_f"], self.p["rec_b"]]) * scale
-        at = np.stack([x, x[::-1]], axis=1).astype(np.int32)
+        given = np.ascontiguousarray(given.reshape(-1, 4, h).transpose(1, 0, 2))
+        rec = np.stack([self.p["rec_f"], self.p["rec_b"]]) * scale * np.float32(0.5)
+        rec = np.ascontiguousarray(rec.reshape(2, h, 4, h).transpose(2, 0, 1, 3))
+        at = np.stack([x, x[::-1]], axis=1).astype(np.intp)
         at[:, 1] += PAD + 1
         out = np.empty((t_max, 2, n, h), np.float32)
-        state, cell = np.zeros((2, n, h), np.float32), np.zeros((2, n, h), np.float32)
+        state, cell, part = np.zeros((3, 2, n, h), np.float32)
+        z, taken = np.empty((2, 4, 2, n, h), np.float32)
+        (i, f, o, g), gates = z, z[:3]
         for t in range(t_max):
-            z = state @ rec
-            z += given[at[t]]
+            np.matmul(state, rec, out=z)
+            for table, to in zip(given, taken, strict=True):
+                np.take(table, at[t], axis=0, out=to, mode="clip")
+            z += taken
             np.tanh(z, out=z)
-            gates = z[:, :, : 3 * h]
-            gates *= 0.5
-            gates += 0.5
-            cell *= gates[:, :, h : 2 * h]
-            cell += gates[:, :, :h] * z[:, :, 3 * h :]
-            state = gates[:, :, 2 * h :] * np.tanh(cell)
-            out[t] = state
-        ends, weights = out[::-1, 1], self.p["out"]
-        return out[:, 0] @ weights[:h] + ends @ weights[h:] + self.p["bias"]
+            gates += 1
+            np.multiply(i, g, out=part)
+            cell *= f
+            cell += part
+            cell *= 0.5
+            state = out[t]
+            np.tanh(cell, out=part)
+            np.multiply(o, part, out=state)
+        weights = self.p["out"].T * np.float32(0.5)
+        e = np.matmul(weights[:, :h], out[:, 0].transpose(0, 2, 1))
+        e += np.matmul(weights[:, h:], out[::-1, 1].transpose(0, 2, 1))
+        e += self.p["bias"][:, None]
+        return e.transpose(0, 2, 1)
+
+    def _surely_outside(self, e) -> np.ndarray:
+        """Windows in which tag 0 throughout is better, beyond any rounding, than all other tags.
+
+        All other tags count as one, with the best score and the best ways of any of them. What its best
+        path has gained on that of tag 0 must be less than the way back costs, at every character,
+        and nothing at the last.
+        """
+        trans, first = self.p["trans"], self.p["first"]
+        into = trans[0, 1:].max() - trans[0, 0]
+        on = trans[1:, 1:].max() - trans[0, 0]
+        back = trans[1:, 0].max() - trans[0, 0]
+        ahead = e[:, 1:].max(axis=1) - e[:, 0]
+        best = ahead[0] + (first[1:].max() - first[0])
+        most = np.full_like(best, -np.inf)
+        for row in ahead[1:]:
+            np.maximum(most, best, out=most)
+            best += on
+            np.maximum(best, into, out=best)
+            best += row
+        return np.maximum(most + back, best) < -SURE
 
     def decode(self, x) -> np.ndarray:
         """The best tags (windows, time) of windows of characters ``x``, by Viterbi.
 
         Scores are kept by tag and window, and the best way into a tag is looked for only where the
-        best path takes it. Of equal ways the smaller tag counts.
+        best path takes it. Of equal ways the smaller tag counts. Windows that are surely
+        outside of all spans need no search.
         """
-        e = np.ascontiguousarray(self._scores(x.T).transpose(0, 2, 1))
+        e = self._scores(x.T).transpose(0, 2, 1)
+        out = np.zeros(x.shape, np.int8)
+        open_ = np.flatnonzero(~self._surely_outside(e))
+        if len(open_):
+            out[open_] = self._search(np.ascontiguousarray(e[:, :, open_]))
+        return out
+
+    def _search(self, e) -> np.ndarray:
         t_max, k, n = e.shape
         trans = self.p["trans"]
         best = np.empty_like(e)

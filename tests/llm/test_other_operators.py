@@ -517,3 +517,35 @@ def test_encoder_forgets_pieces_and_stays_right(monkeypatch):
     for body, got in zip(texts(), encoder.each(texts()), strict=True):
         assert got.tolist() == plain_ids(body)
         assert len(encoder.known) <= 50 + 300 or len(body) > 300
+
+
+def test_only_windows_that_may_hold_spans_are_searched(tagger):
+    """All get the tags of the search."""
+    searched = []
+
+    class Counting(Tagger):
+        def _search(self, e):
+            searched.append(e.shape[2])
+            return super()._search(e)
+
+    model = Counting(pii.TAGS)
+    model.p = tagger.p
+    plain = " ".join(w for s in sentences(4, 400) for w in s.split() if w.isalpha())
+    x = pii.cut(pii.codes(plain), pii.window_starts(plain, len(plain)), pii.PAD)
+    x = np.concatenate([x, labelled(sentences(2, 50))[0]])
+    got = model.decode(x)
+    e = np.ascontiguousarray(tagger._scores(x.T).transpose(0, 2, 1))
+    assert (got == Tagger._search(tagger, e)).all() and got.any()
+    assert 0 < sum(searched) < len(x) * 0.7
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_windows_said_to_be_outside_are_so(seed):
+    """For models that were not trained, whose spans come and go, and scores on both sides of the bound."""
+    r = np.random.default_rng(seed)
+    model = Tagger(5, seed=seed)
+    model.p["trans"] *= 5
+    e = r.standard_normal((12, 5, 400)).astype(np.float32)
+    e[:, 0] += np.linspace(0, 25, 400, dtype=np.float32)
+    sure = model._surely_outside(e)
+    assert 0 < sure.sum() < 400 and not model._search(e)[sure].any()
