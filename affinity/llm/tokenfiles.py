@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.llm import worker
 from affinity.llm.common import fresh, partitions
 from affinity.llm.tokens import Encoder
 
@@ -49,6 +50,7 @@ def _part(folder: str, part: int, kind: str) -> str:
 
 
 def _writer(folder: str, tokenizer: str, end_id: int | None):
+    @worker.trimmed
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         task = TaskContext.get()
@@ -66,7 +68,7 @@ def _writer(folder: str, tokenizer: str, end_id: int | None):
                     doc_ids = block.column(0)
                     n_null += doc_ids.null_count
                     i.write(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes())
-                    for ids in encoder.encode(block.column(1).to_pylist()):
+                    for ids in encoder.each(block.column(1)):
                         o.write(np.uint64(n_ids).tobytes())
                         b.write(ids.astype(kind).tobytes() + end.tobytes())
                         n_ids += len(ids) + len(end)
