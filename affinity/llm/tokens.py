@@ -190,7 +190,7 @@ class Encoder:
                     continue
                 ends = np.cumsum(self.bytes_of[own])
                 wanted = offsets[a + 1 : b + 1] - offsets[a]
-                last = np.minimum(np.searchsorted(ends, wanted), len(own) - 1)
+                last = np.searchsorted(ends, wanted)
                 if last[-1] == len(own) - 1 and (ends[last] == wanted).all():
                     ids.append(own)
                     sizes.append(np.diff(last, prepend=-1))

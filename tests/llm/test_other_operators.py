@@ -12,6 +12,7 @@ from affinity.llm import embeddings, forms, langid, packing, pii, tokenfiles, to
 from affinity.llm.tagger import Tagger
 from affinity.llm.tokens import Encoder, byte_bpe_path
 from llm_cases import collected, frame, rows, texts, words
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 # URLs
 
@@ -549,3 +550,15 @@ def test_windows_said_to_be_outside_are_so(seed):
     e[:, 0] += np.linspace(0, 25, 400, dtype=np.float32)
     sure = model._surely_outside(e)
     assert 0 < sure.sum() < 400 and not model._search(e)[sure].any()
+
+
+def test_encoder_of_a_vocabulary_that_lacks_bytes(tmp_path):
+    """Such bytes have no ids, so the lengths of the tokens do not tell where pieces end."""
+    small = Tokenizer(models.BPE(vocab={"a": 0, "b": 1, "Ġ": 2, "ab": 3}, merges=[("a", "b")]))
+    small.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    small.save(path := str(tmp_path / "small.json"))
+    bodies = ["ab a b", "xyz qqq ab", "ab xab, b.", "zz\nyy\nxx", ""]
+    got = Encoder(path).encode(bodies)
+    assert not Encoder(path).whole
+    assert [g.tolist() for g in got] == [small.encode(b).ids for b in bodies]
+    assert [g.tolist() for b in bodies for g in Encoder(path).encode([b])] == [small.encode(b).ids for b in bodies]
