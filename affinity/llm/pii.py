@@ -32,8 +32,8 @@ DECODED_WIDTH, DECODED_STRIDE = 288, 240
 TRAINING_WINDOWS, STEPS = 3_000, 220
 # Windows of a document in the sample, drawn from all of it, beside those with a sign.
 ANY_WINDOWS = 8
-# Windows that are decoded together.
-DECODED = 512
+# Windows of texts that are decoded together.
+DECODED = 4_096
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -114,11 +114,8 @@ def sample_starts(text: str) -> list[int]:
 
 
 def cut(values: np.ndarray, starts: list[int], fill: int, width: int = WIDTH) -> np.ndarray:
-    out = np.full((len(starts), width), fill, np.uint8)
-    for row, s in zip(out, starts, strict=True):
-        part = values[s : s + width]
-        row[: len(part)] = part
-    return out
+    padded = np.concatenate([values.astype(np.uint8), np.full(width, fill, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, width)[np.asarray(starts, np.intp)]
 
 
 def reconcile(length: int, starts: list[int], tags: np.ndarray, stride: int = STRIDE) -> np.ndarray:
@@ -190,11 +187,12 @@ def fit(docs: DataFrame, windows: int = TRAINING_WINDOWS, steps: int = STEPS) ->
     Documents with a digit or ``@`` are counted, and about twice as many as windows are wanted
     are drawn; each has a window at least. Equal windows count once. Each has its own planted form.
     """
-    rich = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    share = 2 * windows / max(rich.count(), 1)
+    docs, rich = docs.select("doc_id", "text"), F.col("text").rlike("[0-9@]")
+    share = 2 * windows / max(docs.filter(rich).count(), 1)
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     drawn = (
-        rich.filter(draw < share)
+        docs.filter(draw < share)
+        .filter(rich)
         .select("text")
         .mapInArrow(_training_rows, "draw long, x binary, y binary")
         .distinct()
@@ -218,16 +216,19 @@ def find(texts: list[str | None], model: Tagger | None) -> Iterator[tuple[list[S
     def flush() -> Iterator[tuple[list[Span], list[Span]]]:
         tags = np.zeros((0, DECODED_WIDTH), np.int8)
         if windows:
-            x = np.concatenate(windows)
-            tags = np.concatenate([model.decode(x[i : i + DECODED]) for i in range(0, len(x), DECODED)])
+            tags = model.decode(np.concatenate(windows))
         at = 0
         for text, base, failed, starts in waiting:
             if not starts:
                 yield base, base
                 continue
-            own = reconcile(len(text), starts, tags[at : at + len(starts)], DECODED_STRIDE)
+            own = tags[at : at + len(starts)]
             at += len(starts)
-            yield base, all_spans(text, base, failed, own)
+            if own.any():
+                own = reconcile(len(text), starts, own, DECODED_STRIDE)
+                yield base, all_spans(text, base, failed, own)
+            else:
+                yield base, base
         waiting.clear()
         windows.clear()
 

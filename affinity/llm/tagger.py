@@ -13,6 +13,13 @@ OTHER, PAD = 128, 129
 HIDDEN = 16
 # How much better a path must be to be taken without a search; sums of 288 scores are rounded by far less.
 SURE = 0.25
+# What a state of ``_by_tangent`` and of ``_by_exponential`` is in true ones, and the factors of the
+# arguments of sigmoids and of tangents there.
+TANGENT, EXPONENTIAL = (2, 0.5, 1), (1, -1, -2)
+# numpy's tangents of 32-bit numbers are vectors with AVX-512 only, its exponentials without it too.
+FAST_TANGENT = "AVX512_SKX" in np.show_config(mode="dicts")["SIMD Extensions"].get("found", ())
+# Windows that are scored together, few enough that a step's numbers stay in a core's cache.
+SCORED = 512
 
 
 def codes(text: str) -> np.ndarray:
@@ -29,6 +36,43 @@ def _lse(x, axis):
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _by_tangent(z, cell, part, state) -> None:
+    """The next cell, and twice the next state, from halves of sigmoids' arguments and from those of tangents.
+
+    A sigmoid is half of a hyperbolic tangent of half its argument, and a half. Gates are kept at twice
+    their value: halving them is left to the weights and to the cell, and exact.
+    """
+    i, f, o, g = z
+    np.tanh(z, out=z)
+    z[:3] += 1
+    np.multiply(i, g, out=part)
+    cell *= f
+    cell += part
+    cell *= 0.5
+    np.tanh(cell, out=part)
+    np.multiply(o, part, out=state)
+
+
+def _by_exponential(z, cell, part, state) -> None:
+    """The next cell at -2 times its value, and the next state, from -1 and -2 times the arguments.
+
+    A sigmoid is 1 / (1 + exp(-a)) and tanh(a) is 2 / (1 + exp(-2a)) - 1, also where the exponential is infinite.
+    """
+    i, f, o, g = z
+    np.exp(z, out=z)
+    z += 1
+    np.divide(4, g, out=part)
+    np.subtract(2, part, out=part)
+    part /= i
+    cell /= f
+    cell += part
+    np.exp(cell, out=part)
+    part += 1
+    np.divide(2, part, out=part)
+    part -= 1
+    np.divide(part, o, out=state)
+
+
 class Tagger:
     def __init__(self, n_tags: int, seed: int = 7):
         random = np.random.default_rng(seed)
@@ -145,40 +189,37 @@ class Tagger:
     def _scores(self, x) -> np.ndarray:
         """The emissions (time, windows, tags), both directions in one pass and without memory.
 
-        They lie in memory as (time, tags, windows).
+        They lie in memory as (time, tags, windows). Outputs become emissions at once, so that a step
+        works on little more than its gates.
         """
         h, (t_max, n) = HIDDEN, x.shape
-        # A sigmoid is half of a hyperbolic tangent of half its argument, and a half. Gates are kept at twice
-        # their value and so are states: halving them is left to the weights and to the cell, and exact.
         # Each gate is one block of memory, for both directions and all windows.
-        scale = np.repeat(np.float32([0.5, 1]), [3 * h, h])
+        step, (times, *factors) = (_by_tangent, TANGENT) if FAST_TANGENT else (_by_exponential, EXPONENTIAL)
+        scale = np.repeat(np.float32(factors), [3 * h, h])
         given = np.concatenate([self.p["in_f"], self.p["in_b"]]) * scale
         given = np.ascontiguousarray(given.reshape(-1, 4, h).transpose(1, 0, 2))
-        rec = np.stack([self.p["rec_f"], self.p["rec_b"]]) * scale * np.float32(0.5)
+        rec = np.stack([self.p["rec_f"], self.p["rec_b"]]) * (scale / times)
         rec = np.ascontiguousarray(rec.reshape(2, h, 4, h).transpose(2, 0, 1, 3))
-        at = np.stack([x, x[::-1]], axis=1).astype(np.intp)
+        weights = self.p["out"].reshape(2, h, self.n_tags) / np.float32(times)
+        at = np.stack([x, x[::-1]], axis=1).astype(np.uint16)
         at[:, 1] += PAD + 1
-        out = np.empty((t_max, 2, n, h), np.float32)
-        state, cell, part = np.zeros((3, 2, n, h), np.float32)
-        z, taken = np.empty((2, 4, 2, n, h), np.float32)
-        (i, f, o, g), gates = z, z[:3]
-        for t in range(t_max):
-            np.matmul(state, rec, out=z)
-            for table, to in zip(given, taken, strict=True):
-                np.take(table, at[t], axis=0, out=to, mode="clip")
-            z += taken
-            np.tanh(z, out=z)
-            gates += 1
-            np.multiply(i, g, out=part)
-            cell *= f
-            cell += part
-            cell *= 0.5
-            state = out[t]
-            np.tanh(cell, out=part)
-            np.multiply(o, part, out=state)
-        weights = self.p["out"].T * np.float32(0.5)
-        e = np.matmul(weights[:, :h], out[:, 0].transpose(0, 2, 1))
-        e += np.matmul(weights[:, h:], out[::-1, 1].transpose(0, 2, 1))
+        now = np.empty((2, n), np.intp)
+        state, cell, part, taken = np.zeros((4, 2, n, h), np.float32)
+        z = np.empty((4, 2, n, h), np.float32)
+        both = np.empty((2, n, self.n_tags), np.float32)
+        e = np.zeros((t_max, n, self.n_tags), np.float32)
+        with np.errstate(over="ignore"):
+            for t in range(t_max):
+                np.copyto(now, at[t])
+                np.matmul(state, rec, out=z)
+                for table, gate in zip(given, z, strict=True):
+                    table.take(now, axis=0, out=taken, mode="clip")
+                    gate += taken
+                step(z, cell, part, state)
+                np.matmul(state, weights, out=both)
+                e[t] += both[0]
+                e[t_max - 1 - t] += both[1]
+        e = np.ascontiguousarray(e.transpose(0, 2, 1))
         e += self.p["bias"][:, None]
         return e.transpose(0, 2, 1)
 
@@ -194,27 +235,43 @@ class Tagger:
         on = trans[1:, 1:].max() - trans[0, 0]
         back = trans[1:, 0].max() - trans[0, 0]
         ahead = e[:, 1:].max(axis=1) - e[:, 0]
-        best = ahead[0] + (first[1:].max() - first[0])
-        most = np.full_like(best, -np.inf)
-        for row in ahead[1:]:
-            np.maximum(most, best, out=most)
-            best += on
-            np.maximum(best, into, out=best)
-            best += row
-        return np.maximum(most + back, best) < -SURE
+        # Staying from the first character to each, and the best place to have come from tag 0 or to have begun.
+        begun = ahead[0] + (first[1:].max() - first[0])
+        stayed = ahead + on
+        stayed[0] = 0
+        np.cumsum(stayed, axis=0, out=stayed)
+        best = np.empty_like(ahead)
+        best[0] = begun
+        np.subtract(into - on, stayed[:-1], out=best[1:])
+        np.maximum.accumulate(best, axis=0, out=best)
+        best += stayed
+        return np.maximum(best[:-1].max(axis=0, initial=-np.inf) + back, best[-1]) < -SURE
 
     def decode(self, x) -> np.ndarray:
         """The best tags (windows, time) of windows of characters ``x``, by Viterbi.
 
         Scores are kept by tag and window, and the best way into a tag is looked for only where the
         best path takes it. Of equal ways the smaller tag counts. Windows that are surely
-        outside of all spans need no search.
+        outside of all spans need no search. Any number of windows is taken: they are scored in equal parts
+        of ``SCORED`` at most, and those to be searched wait for each other.
         """
-        e = self._scores(x.T).transpose(0, 2, 1)
         out = np.zeros(x.shape, np.int8)
-        open_ = np.flatnonzero(~self._surely_outside(e))
-        if len(open_):
-            out[open_] = self._search(np.ascontiguousarray(e[:, :, open_]))
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def search() -> None:
+            if waiting:
+                rows, scores = zip(*waiting, strict=True)
+                out[np.concatenate(rows)] = self._search(np.concatenate(scores, axis=2))
+                waiting.clear()
+
+        for rows in np.array_split(np.arange(len(x)), max(1, -(-len(x) // SCORED))):
+            e = self._scores(x[rows].T).transpose(0, 2, 1)
+            open_ = np.flatnonzero(~self._surely_outside(e))
+            if len(open_):
+                waiting.append((rows[open_], e[:, :, open_]))
+            if sum(len(r) for r, _ in waiting) >= SCORED:
+                search()
+        search()
         return out
 
     def _search(self, e) -> np.ndarray:

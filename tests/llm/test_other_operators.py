@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from affinity.llm import embeddings, forms, langid, packing, pii, tokenfiles, tokens, urls
+from affinity.llm import tagger as tagger_module
 from affinity.llm.tagger import Tagger
 from affinity.llm.tokens import Encoder, byte_bpe_path
 from llm_cases import collected, frame, rows, texts, words
@@ -540,6 +541,44 @@ def test_only_windows_that_may_hold_spans_are_searched(tagger):
     assert 0 < sum(searched) < len(x) * 0.7
 
 
+def test_windows_are_scored_in_equal_parts_and_searched_together(tagger):
+    """No part is a remainder of few windows, and those to be searched wait for those of other texts."""
+    scored, searched = [], []
+
+    class Counting(Tagger):
+        def _scores(self, x):
+            scored.append(x.shape[1])
+            return super()._scores(x)
+
+        def _search(self, e):
+            searched.append(e.shape[2])
+            return super()._search(e)
+
+    model = Counting(pii.TAGS)
+    model.p = tagger.p
+    bodies = [" ".join(sentences(seed, 12)) for seed in range(200)]
+    each = [next(pii.find([body], model)) for body in bodies]
+    windows, found = sum(scored), sum(searched)
+    scored.clear(), searched.clear()
+    assert list(pii.find(bodies, model)) == each
+    assert sum(scored) == windows > 600 and min(scored) > 256 and max(scored) <= 512
+    assert sum(searched) == found and len(searched) <= 1 + found // 512
+
+
+@pytest.mark.parametrize("fast", [True, False])
+@pytest.mark.parametrize("size", [1, 5, 400])
+def test_scores_are_those_of_the_training(monkeypatch, fast, size):
+    """By tangents and by exponentials, also where gates are so sure that exponentials are infinite."""
+    monkeypatch.setattr(tagger_module, "FAST_TANGENT", fast)
+    x = labelled(sentences(2, 20))[0].T
+    model = Tagger(pii.TAGS, seed=3)
+    model.p = {k: v * np.float32(size if k.startswith("in") else 1) for k, v in model.p.items()}
+    with np.errstate(over="ignore"):
+        want = model._emissions(x)[0]
+    got = model._scores(x)
+    assert np.isfinite(got).all() and np.abs(got - want).max() < 1e-3
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_windows_said_to_be_outside_are_so(seed):
     """For models that were not trained, whose spans come and go, and scores on both sides of the bound."""
